@@ -54,7 +54,7 @@ def presence_masks(values: Mapping[str, Sequence], where: Column, prefix: str) -
     masks = []
     for k in range(-(-size // _BITS)):
         here = where & known & (index >= k * _BITS) & (index < (k + 1) * _BITS)
-        bit = F.shiftleft_by(F.lit(1).cast("long"), (index - k * _BITS).cast("int"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (index - k * _BITS).cast("int"))
         masks.append(F.bit_or(F.when(here, bit)).alias(f"{prefix}{k}"))
     return masks
 

@@ -50,6 +50,9 @@ class TicketColumns:
     hours: str = "zhalobi_lifetime_hours"
     count: str = "cnt_zhalobi"
 
+    def flag_names(self) -> list[str]:
+        return [*self.status_flags, *self.priority_flags]
+
     def flag_columns(self) -> dict[str, Column]:
         """0/1 columns of status and priority."""
         pairs = [(self.status, self.status_flags), (self.priority, self.priority_flags)]
@@ -120,7 +123,7 @@ def with_ticket_flags(
 
 
 def flag_names(n: int = 5, cols: TicketColumns = TicketColumns()) -> list[str]:
-    return [*cols.flag_columns(), *[slot_name(cols.count, k) for k in range(n)]]
+    return [*cols.flag_names(), *[slot_name(cols.count, k) for k in range(n)]]
 
 
 def per_request(
@@ -143,34 +146,46 @@ def per_account(
     )
 
 
-def request_statistics(
+def contract_statistics(
     df: DataFrame,
-    accounts: DataFrame,
     as_of: date,
     n: int = 5,
     *,
     kind: str | None = CONTRACT_TYPE,
     cols: TicketColumns = TicketColumns(),
 ) -> DataFrame:
-    """Per account and contract, the statistics of its unambiguous requests.
+    """Per contract, the statistics of its unambiguous requests.
 
     A request that names one contract belongs to it entirely, so guard, request
-    level and contract level are three aggregations in a row and only then do
-    the accounts join, by a contract number that is unique on the request side.
-    Many rows of one request or contract are combined before each shuffle.
+    level and contract level are plain aggregations in a row. Many rows of one
+    request or contract are combined before each shuffle.
     """
     contract = F.col(cols.contract)
-    flagged = with_ticket_flags(scoped_rows(df, as_of, n, kind=kind, cols=cols), as_of, n, cols)
+    rows = scoped_rows(df, as_of, n, kind=kind, cols=cols).where(contract.isNotNull())
     names = [*flag_names(n, cols), cols.hours]
     requests = (
-        flagged.where(contract.isNotNull())
+        with_ticket_flags(rows, as_of, n, cols)
         .groupBy(cols.request)
         .agg(
-            F.min(contract).alias(cols.contract),
+            F.min(contract).alias("_lo"),
             F.max(contract).alias("_hi"),
             *[F.max(c).alias(c) for c in names],
         )
-        .where(F.col(cols.contract) == F.col("_hi"))
+        .where(F.col("_lo") == F.col("_hi"))
+        .withColumnRenamed("_lo", cols.contract)
     )
-    contracts = per_account(requests, [cols.contract], n, cols)
+    return per_account(requests, [cols.contract], n, cols)
+
+
+def request_statistics(
+    df: DataFrame,
+    accounts: DataFrame,
+    as_of: date,
+    n: int = 5,
+    *,
+    kind: str | None = CONTRACT_TYPE,
+    cols: TicketColumns = TicketColumns(),
+) -> DataFrame:
+    """:func:`contract_statistics` brought onto the distinct accounts of each contract."""
+    contracts = contract_statistics(df, as_of, n, kind=kind, cols=cols)
     return attach_by(accounts.distinct(), contracts, cols.contract)

@@ -179,7 +179,7 @@ def entity_spec(
             "total_live_dur", "is_closed", "is_archive", "is_contract_closed_flg", "live_dur_contract",
             *durations,
             *[f"has_opened_{s}" for s in SERVICES],
-            f"min_{cols.hours}", f"max_{cols.hours}", *cols.flag_columns(),
+            f"min_{cols.hours}", f"max_{cols.hours}", *cols.flag_names(),
             *[slot_name("pay_class", k) for k in range(n)],
             *categorical.one_hot_names(equipment), "had_old_eq", "had_block_eq",
             "bb_rent_amount", "tv_rent_amount", "tlf_rent_amount", "tv_line_coast", "tv_mult_coast",
@@ -238,8 +238,7 @@ def fixed_mart(
     accounts = identities.select(*ACCOUNT).distinct()
     contracts = enrich(accounts, latest_contracts(sources["contracts"], ties), ACCOUNT)
 
-    contract_numbers = contracts.select(cols.contract).where(F.col(cols.contract).isNotNull())
-    requests = tickets.request_statistics(sources["complaints"], contract_numbers, as_of, cols=cols)
+    requests = tickets.contract_statistics(sources["complaints"], as_of, cols=cols)
     wide = enrich_nullable(contracts, requests, [cols.contract], ACCOUNT)
     wide = enrich_nullable(wide, profile_block(sources["profiles"]), PROFILE_KEY, ACCOUNT)
     wide = assemble(
