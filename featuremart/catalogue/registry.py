@@ -6,7 +6,6 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featuremart.catalogue.roles import ROLES, TABLES
@@ -38,15 +37,15 @@ def plain(df: DataFrame) -> DataFrame:
     """Only bigint, double and string columns, which all engines render alike."""
     out = []
     for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
+        expr = f"`{f.name}`"
         if isinstance(f.dataType, T.IntegralType):
-            column = column.cast("bigint")
+            expr = f"cast({expr} as bigint)"
         elif isinstance(f.dataType, T.FractionalType):
-            column = column.cast("double")
+            expr = f"cast({expr} as double)"
         elif isinstance(f.dataType, (T.DateType, T.TimestampNTZType)):
-            column = column.cast("date").cast("string")
-        out.append(column.alias(f.name))
-    return df.select(*out)
+            expr = f"cast(cast({expr} as date) as string)"
+        out.append(f"{expr} as `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def query(name: str, sql: str | None = None, roles: tuple[str, ...] = ()):

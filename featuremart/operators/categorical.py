@@ -62,9 +62,7 @@ def presence_masks(values: Mapping[str, Sequence], where: Column, prefix: str) -
 def presence_columns(values: Mapping[str, Sequence], prefix: str) -> list[Column]:
     """The 0/1 columns held in the masks of :func:`presence_masks`."""
     return [
-        F.coalesce(F.shiftright(F.col(f"{prefix}{i // _BITS}"), i % _BITS).bitwiseAND(F.lit(1)), F.lit(0))
-        .cast("int")
-        .alias(name)
+        F.expr(f"cast(coalesce(shiftright({prefix}{i // _BITS}, {i % _BITS}) & 1, 0) as int) as `{name}`")
         for i, name in enumerate(one_hot_names(values))
     ]
 
