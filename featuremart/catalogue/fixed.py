@@ -14,7 +14,6 @@ from featuremart.catalogue.registry import (
     in_month,
     in_months,
     query,
-    role_sql,
     with_ctes,
 )
 from featuremart.catalogue.roles import FIXED_SOURCES
@@ -788,5 +787,3 @@ def entity_rollup(t: Tables):
     return rollup_entity(rows, ["o_custkey"], spec)
 
 
-def fixed_roles() -> dict[str, str]:
-    return {name: role_sql(name) for name in FIXED_SOURCES}
