@@ -50,23 +50,26 @@ def presence_masks(values: Mapping[str, Sequence], where: Column, prefix: str) -
     for name, allowed in values.items():
         index = index * len(allowed) + F.array_position(F.lit(list(allowed)), F.col(name)) - 1
     known = reduce(lambda a, b: a & b, [F.col(n).isin(list(v)) for n, v in values.items()])
-    size = len(one_hot_names(values))
     masks = []
-    for k in range(-(-size // _BITS)):
+    for k, name in enumerate(mask_names(values, prefix)):
         here = where & known & (index >= k * _BITS) & (index < (k + 1) * _BITS)
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), (index - k * _BITS).cast("int"))
-        masks.append(F.bit_or(F.when(here, bit)).alias(f"{prefix}{k}"))
+        masks.append(F.bit_or(F.when(here, bit).otherwise(F.lit(0).cast("long"))).alias(name))
     return masks
 
 
 def presence_columns(values: Mapping[str, Sequence], prefix: str) -> list[Column]:
-    """The 0/1 columns held in the masks of :func:`presence_masks`."""
+    """The 0/1 columns held in the masks of :func:`presence_masks`; null where the mask is null."""
     return [
-        F.expr(f"cast(coalesce(shiftright({prefix}{i // _BITS}, {i % _BITS}) & 1, 0) as int) as `{name}`")
+        F.expr(f"cast(shiftright({prefix}{i // _BITS}, {i % _BITS}) & 1 as int) as `{name}`")
         for i, name in enumerate(one_hot_names(values))
     ]
 
 
+def mask_names(values: Mapping[str, Sequence], prefix: str) -> list[str]:
+    return [f"{prefix}{k}" for k in range(-(-len(one_hot_names(values)) // _BITS))]
+
+
 def presence_matrix(
     df: DataFrame, keys: Sequence[str], values: Mapping[str, Sequence]
 ) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 # "first" is the first non-null value of a column that has one per entity. The
 # least value is that value, and stays the same on every run if there are more.
-RULES = {"first": "min", "max": "max", "min": "min", "sum": "sum"}
+# "bits" merges the packed flags of a presence matrix.
+RULES = {"first": "min", "max": "max", "min": "min", "sum": "sum", "bits": "bit_or"}
 
 
 def rollup_entity(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str]) -> DataFrame:
-    """One row per entity; ``spec`` maps each column to ``first``, ``max``, ``min`` or ``sum``."""
+    """One row per entity; ``spec`` maps each column to a rule of ``RULES``."""
     return df.groupBy(*keys).agg(*[F.expr(f"{RULES[rule]}(`{c}`) as `{c}`") for c, rule in spec.items()])

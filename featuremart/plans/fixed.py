@@ -38,6 +38,7 @@ DURATION_NAMES = {"spd": "spd", "tlf": "telef", "atv": "atv", "ctv": "ctv", "ict
 
 # Equipment and provision codes with a column of their own.
 EQUIPMENT_VALUES = {"equipment_type": list(range(1, 20)), "provide_type": [1, 2, 3, 4]}
+EQUIPMENT_MASK = "_equipment"
 
 
 def line_identities(
@@ -112,30 +113,40 @@ def traffic_block(traffic: DataFrame, as_of: date, align: str = "month") -> Data
     )
 
 
-def equipment_block(
+def equipment_masks(
     equipment: DataFrame, as_of: date, values: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES
 ) -> DataFrame:
-    """Presence matrix of accounts with current equipment, and flags over all history.
+    """:func:`equipment_block` with the presence matrix still packed into longs.
 
     One read and one shuffle: the current rows are told apart inside the
-    aggregates, and the matrix travels as two longs.
+    aggregates.
     """
     current = valid_on(as_of, "dt_from", "dt_to")
-    block = (
+    return (
         equipment.groupBy(*ACCOUNT)
         .agg(
-            *categorical.presence_masks(values, current, "_mask"),
+            *categorical.presence_masks(values, current, EQUIPMENT_MASK),
             F.max(F.when(current, 1)).alias("is_equip"),
             F.max(F.when(F.col("is_blocked") == 1, 1)).alias("had_block_eq"),
         )
         .where(F.col("is_equip") == 1)
+        .withColumn("had_old_eq", F.lit(1))
     )
-    return block.select(
-        *ACCOUNT,
-        *categorical.presence_columns(values, "_mask"),
-        "is_equip",
-        F.lit(1).alias("had_old_eq"),
-        "had_block_eq",
+
+
+def equipment_block(
+    equipment: DataFrame, as_of: date, values: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES
+) -> DataFrame:
+    """Presence matrix of accounts with current equipment, and flags over all history."""
+    return unpack_equipment(equipment_masks(equipment, as_of, values), values)
+
+
+def unpack_equipment(
+    df: DataFrame, values: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES
+) -> DataFrame:
+    """Replace the packed equipment flags by one column per combination."""
+    return df.select("*", *categorical.presence_columns(values, EQUIPMENT_MASK)).drop(
+        *categorical.mask_names(values, EQUIPMENT_MASK)
     )
 
 
@@ -167,8 +178,10 @@ def entity_spec(
     equipment: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES,
     n: int = 5,
     cols: tickets.TicketColumns = tickets.TicketColumns(),
+    *,
+    packed: bool = False,
 ) -> dict[str, str]:
-    """Column -> rule of the final rollup."""
+    """Column -> rule of the final rollup; ``packed`` for equipment flags that are still masks."""
     durations = [f"live_dur_fix_{DURATION_NAMES[s]}" for s in SERVICES]
     complaint_slots = [slot_name(cols.count, k) for k in range(n)]
     rules = {
@@ -181,7 +194,7 @@ def entity_spec(
             *[f"has_opened_{s}" for s in SERVICES],
             f"min_{cols.hours}", f"max_{cols.hours}", *cols.flag_names(),
             *[slot_name("pay_class", k) for k in range(n)],
-            *categorical.one_hot_names(equipment), "had_old_eq", "had_block_eq",
+            *([] if packed else categorical.one_hot_names(equipment)), "had_old_eq", "had_block_eq",
             "bb_rent_amount", "tv_rent_amount", "tlf_rent_amount", "tv_line_coast", "tv_mult_coast",
             "customer_age",
         ],
@@ -194,6 +207,7 @@ def entity_spec(
             "lk_use_count", "lk_use_count_3m", "all_sr_count_30d", "complaint_sr_count_30d",
             "cm_sr_count_30d", "cm_sr_count_180d",
         ],
+        "bits": categorical.mask_names(equipment, EQUIPMENT_MASK) if packed else [],
     }
     return {c: rule for rule, names in rules.items() for c in names}
 
@@ -247,7 +261,7 @@ def fixed_mart(
             (lifetime_block(sources["lifetimes"], as_of), ACCOUNT),
             (payments_block(sources["payments"], as_of), ACCOUNT),
             (traffic_block(sources["traffic"], as_of, align), ACCOUNT),
-            (equipment_block(sources["equipment"], as_of), ACCOUNT),
+            (equipment_masks(sources["equipment"], as_of), ACCOUNT),
             (service_block(sources["services"], sources["discounts"], as_of), ACCOUNT),
         ],
     )
@@ -255,4 +269,6 @@ def fixed_mart(
     # an account without a number has no complaint row of its own
     request_columns = [c for c in requests.columns if c != cols.contract]
     joined = mask_by_role(joined, F.col("acc_num").isNotNull(), request_columns)
-    return finish_entities(joined, as_of, mobile=mobile)
+    # packed, the flags take two columns through the joins and the rollup, not 76
+    rolled = finish_entities(joined, as_of, mobile=mobile, spec=entity_spec(mobile, packed=True))
+    return unpack_equipment(rolled)

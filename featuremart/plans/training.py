@@ -19,6 +19,7 @@ from featuremart.operators.sampling import downsample
 from featuremart.operators.slots import month_slots, slot_name
 from featuremart.operators.snapshots import latest_by
 from featuremart.plans.fixed import ACCOUNT, line_identities
+from featuremart.sources.storage import checkpoint_dir
 from featuremart.sources.tables import export_parquet, replace_partition, write_table
 
 LABEL = "target_active_churn"
@@ -67,7 +68,12 @@ def positives_and_holdout(
     label: str = LABEL,
     seed: int = 0,
 ) -> DataFrame:
-    """A labelled set by row counts: ``n_positive`` rows as 1 and ``n_negative`` others as 0."""
+    """A labelled set by row counts: ``n_positive`` rows as 1 and ``n_negative`` others as 0.
+
+    The labels are checkpointed, since they are read several times.
+    """
+    checkpoint_dir(labels.sparkSession)
+    labels = labels.checkpoint()
     first = cap_rows(labels, n_positive, keys, seed)
     rest = cap_rows(holdout(labels, first, keys), n_negative, keys, seed)
     return stack(first.withColumn(label, F.lit(1)), rest.withColumn(label, F.lit(0)))
