@@ -23,13 +23,16 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self._folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in ROLES:
             used = {t: getattr(self, t) for t in TABLES if "{" + t + "}" in ROLES[name]}
             return self.spark.sql(ROLES[name], **used)
         if name in TABLES:
-            return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+            if name not in self._read:
+                self._read[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+            return self._read[name]
         raise AttributeError(name)
 
 

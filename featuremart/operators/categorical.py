@@ -182,7 +182,7 @@ def category_matrix(
     return wide.select(
         *keys,
         *[
-            F.coalesce(F.col(f"`{source.format(v, i)}`"), F.lit(0.0)).alias(name.format(v))
+            F.expr(f"coalesce(`{source.format(v, i)}`, 0d) as `{name.format(v)}`")
             for v in values
             for i, name in enumerate(metrics.values())
         ],

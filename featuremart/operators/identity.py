@@ -13,6 +13,8 @@ def dual_identity(
     common: Sequence[str],
     roles: Mapping[int, Mapping[str, str]],
     flag: str,
+    *,
+    distinct: bool = True,
 ) -> DataFrame:
     """Each row once per role, without duplicates.
 
@@ -28,7 +30,8 @@ def dual_identity(
             for value, columns in roles.items()
         ]
     )
-    return df.select(*common, F.inline(versions)).distinct()
+    stacked = df.select(*common, F.inline(versions))
+    return stacked.distinct() if distinct else stacked
 
 
 def mask_by_role(df: DataFrame, when: Column, columns: Sequence[str]) -> DataFrame:

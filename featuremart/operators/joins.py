@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A joined row set whose size is known and small enough to send to every task.
@@ -35,20 +35,24 @@ def assemble(base: DataFrame, blocks: Iterable[tuple[DataFrame, Sequence[str]]])
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], *, share: float = 0.01, min_rows: int = 10_000_000
-) -> list[Row]:
-    """Key values that hold at least ``share`` of all rows and at least ``min_rows``.
+    df: DataFrame, keys: Sequence[str], *, max_keys: int = 1000, min_rows: int = 10_000_000
+) -> DataFrame | None:
+    """The most frequent keys with at least ``min_rows`` rows, or None if there are none.
 
-    There can be no more than ``1 / share`` of them, which bounds the fetch.
+    At most ``max_keys`` are fetched, so every other key holds less than
+    ``1 / max_keys`` of the rows or fewer than ``min_rows``.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_n")).scalar()
-    hot = counts.where((F.col("_n") >= min_rows) & (F.col("_n") >= F.lit(share) * total))
-    return hot.drop("_n").collect()
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows)
+    found = counts.orderBy(F.col("_n").desc()).limit(max_keys).drop("_n").collect()
+    return df.sparkSession.createDataFrame(found, df.select(*keys).schema) if found else None
 
 
-def _matches(row: Row, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(row[k])) for k in keys])
+def _same_key(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+
+
+def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(prefix + k) for k in keys])
 
 
 def enrich_skewed(
@@ -56,23 +60,28 @@ def enrich_skewed(
     right: DataFrame,
     keys: Sequence[str],
     *,
-    share: float = 0.01,
+    counted: DataFrame | None = None,
+    max_keys: int = 1000,
     min_rows: int = 10_000_000,
 ) -> DataFrame:
     """Left join onto rows where a few keys may hold a large part of ``base``.
 
     ``right`` must be unique on the keys. Rows with a hot key meet their at most
-    ``1 / share`` partners by broadcast and never gather in one task; all others
+    ``max_keys`` partners by broadcast and never gather in one task; all others
     take the normal shuffled join. Adaptive execution splits skew only in a join
     directly above two shuffles, which a join onto an aggregate is not.
+
+    The keys are counted in one pass when the plan is built, in ``counted`` if a
+    cheaper frame with the same keys is at hand.
     """
-    hot = hot_keys(base.select(*keys), keys, share=share, min_rows=min_rows)
-    if not hot:
+    hot = hot_keys(base if counted is None else counted, keys, max_keys=max_keys, min_rows=min_rows)
+    if hot is None:
         return enrich(base, right, keys)
-    is_hot = reduce(lambda a, b: a | b, [_matches(row, keys) for row in hot])
-    few = F.broadcast(right.where(is_hot))
-    return enrich(base.where(is_hot), few, keys).unionByName(
-        enrich(base.where(~is_hot), right, keys)
+    few = F.broadcast(_prefixed(hot, keys, "_hot_"))
+    is_hot = _same_key(keys, "_hot_")
+    partners = F.broadcast(right.join(few, is_hot, "left_semi"))
+    return enrich(base.join(few, is_hot, "left_semi"), partners, keys).unionByName(
+        enrich(base.join(few, is_hot, "left_anti"), right, keys)
     )
 
 
@@ -150,9 +159,7 @@ def holdout(
     used = taken.select(*keys).distinct()
     if not null_safe:
         return df.join(used, list(keys), "left_anti")
-    other = used.select(*[F.col(k).alias(f"_taken_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_taken_{k}")) for k in keys])
-    return df.join(other, same, "left_anti")
+    return df.join(_prefixed(used, keys, "_taken_"), _same_key(keys, "_taken_"), "left_anti")
 
 
 def fill_typed(

@@ -42,7 +42,12 @@ EQUIPMENT_MASK = "_equipment"
 
 
 def line_identities(
-    df: DataFrame, mobile: str = "mobile", fixed: str = "fix", number: str = "personal_account_number"
+    df: DataFrame,
+    mobile: str = "mobile",
+    fixed: str = "fix",
+    number: str = "personal_account_number",
+    *,
+    distinct: bool = True,
 ) -> DataFrame:
     """Both identities of each row: ``is_{mobile}`` 1 with the mobile account, 0 with the fixed one."""
     return dual_identity(
@@ -57,6 +62,7 @@ def line_identities(
             },
         },
         f"is_{mobile}",
+        distinct=distinct,
     )
 
 
@@ -78,7 +84,10 @@ def identity_base(
     """Identities valid on ``as_of`` with the attributes of the newest contract."""
     current = snapshot(stack(convergent_a, convergent_b), as_of)
     return enrich_skewed(
-        line_identities(current, mobile, fixed), latest_contracts(contracts, ties), ACCOUNT
+        line_identities(current, mobile, fixed),
+        latest_contracts(contracts, ties),
+        ACCOUNT,
+        counted=line_identities(current, mobile, fixed, distinct=False),
     )
 
 
@@ -249,8 +258,8 @@ def fixed_mart(
     """
     current = snapshot(stack(sources["convergent_a"], sources["convergent_b"]), as_of)
     identities = line_identities(current, mobile, fixed)
-    accounts = identities.select(*ACCOUNT).distinct()
-    contracts = enrich(accounts, latest_contracts(sources["contracts"], ties), ACCOUNT)
+    accounts = line_identities(current, mobile, fixed, distinct=False).select(*ACCOUNT)
+    contracts = enrich(accounts.distinct(), latest_contracts(sources["contracts"], ties), ACCOUNT)
 
     requests = tickets.contract_statistics(sources["complaints"], as_of, cols=cols)
     wide = enrich_nullable(contracts, requests, [cols.contract], ACCOUNT)
@@ -265,7 +274,7 @@ def fixed_mart(
             (service_block(sources["services"], sources["discounts"], as_of), ACCOUNT),
         ],
     )
-    joined = enrich_skewed(identities, wide, ACCOUNT)
+    joined = enrich_skewed(identities, wide, ACCOUNT, counted=accounts)
     # an account without a number has no complaint row of its own
     request_columns = [c for c in requests.columns if c != cols.contract]
     joined = mask_by_role(joined, F.col("acc_num").isNotNull(), request_columns)

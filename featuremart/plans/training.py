@@ -50,10 +50,11 @@ def churn_labels(
     ties = [f"{mobile}_msisdn", f"{mobile}_acc_id", f"{mobile}_id", f"{fixed}_acc_num"]
     newest = latest_by(rows, owner, "dt_from", [*ties, "personal_account_number", f"{mobile}_tariff_plan"])
     identities = line_identities(newest, mobile, fixed)
+    counted = line_identities(rows, mobile, fixed, distinct=False)
     # the row closed last is the one with the greatest close date
     closes = lifetimes.groupBy(*ACCOUNT).agg(F.max(F.col("dt_close").cast("date")).alias("dt_close"))
     pays = month_slots(payments, ACCOUNT, "dt", "amount", "pay", month, n=3)
-    facts = enrich_skewed(identities, full_merge([closes, pays], ACCOUNT), ACCOUNT)
+    facts = enrich_skewed(identities, full_merge([closes, pays], ACCOUNT), ACCOUNT, counted=counted)
     masked = mask_by_role(facts, F.col(f"is_{mobile}") == 0, [*ACCOUNT, "acc_num"])
     names = [slot_name("pay", k) for k in range(3)]
     lines = label_base(masked, label_keys(mobile), [*ACCOUNT, "acc_num"], names)

@@ -9,6 +9,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # the marts compile several hundred classes; with the default of 100 they are
+    # evicted and compiled again within a single query
+    "spark.sql.codegen.cache.maxEntries": "5000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

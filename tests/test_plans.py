@@ -25,8 +25,8 @@ def test_mart_does_not_depend_on_the_hot_key_split(t, monkeypatch):
 
     original = fixed.enrich_skewed
 
-    def eager(base, right, keys):
-        return original(base, right, keys, share=0.001, min_rows=5)
+    def eager(base, right, keys, **options):
+        return original(base, right, keys, max_keys=50, min_rows=5, **options)
 
     monkeypatch.setattr(fixed, "enrich_skewed", eager)
     split = fixed.fixed_mart(sources, AS_OF)
