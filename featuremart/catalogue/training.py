@@ -382,11 +382,12 @@ _ORDER_LABEL = "cast(date_trunc('month', o_orderdate) as date)"
     f"""
     with lab as (select distinct o_custkey, {_ORDER_LABEL} as m from orders),
     feat as (select o_custkey, {_ORDER_LABEL} as m, count(*) as n_orders from orders group by all),
-    mob as (select user_id, m, count(*) as n_events from events, (select distinct m from lab) group by all)
+    mob as (select o_custkey, m, cast(max(o_totalprice) as double) as top_price
+      from (select *, cast(date_trunc('month', o_orderdate) as date) as m from orders where o_orderstatus = 'F') group by 1, 2)
     select cast(0 as bigint) as mobile_id, lab.o_custkey as mobile_acc_id, lab.o_custkey as msisdn,
-      cast(lab.m as varchar) as table_business_month, n_orders, n_events
+      cast(lab.m as varchar) as table_business_month, n_orders, top_price
     from lab left join feat on lab.o_custkey = feat.o_custkey and feat.m = cast(lab.m - to_months(1) as date)
-    left join mob on lab.o_custkey = mob.user_id and mob.m = cast(lab.m - to_months(1) as date)
+    left join mob on lab.o_custkey = mob.o_custkey and mob.m = cast(lab.m - to_months(1) as date)
     """,
 )
 def training_point_in_time(t: Tables):
@@ -399,9 +400,10 @@ def training_point_in_time(t: Tables):
     ]
     labels = t.orders.select(*line, month).distinct()
     features = t.orders.groupBy(*line, month).agg(F.count("*").alias("n_orders"))
-    months = labels.select("table_business_month").distinct()
-    events = t.events.groupBy(F.col("user_id").alias("msisdn")).agg(F.count("*").alias("n_events"))
-    mobile_mart = events.join(F.broadcast(months))
+    finished = t.orders.where(F.col("o_orderstatus") == "F")
+    mobile_mart = finished.groupBy(F.col("o_custkey").alias("msisdn"), month).agg(
+        F.max("o_totalprice").alias("top_price")
+    )
     return training.training_set(labels, features, mobile_mart, lag=1)
 
 

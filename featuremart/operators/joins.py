@@ -17,11 +17,15 @@ def stack(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def enrich(base: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join; columns that both sides have besides the keys are refused."""
+def _refuse_clash(base: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
     clash = (set(base.columns) & set(right.columns)) - set(keys)
     if clash:
         raise ValueError(f"both sides have {sorted(clash)}")
+
+
+def enrich(base: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join; columns that both sides have besides the keys are refused."""
+    _refuse_clash(base, right, keys)
     return base.join(right, list(keys), "left")
 
 
@@ -85,19 +89,34 @@ def enrich_skewed(
     )
 
 
-def enrich_nullable(
-    base: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str]
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left join where many rows of ``base`` have a null key.
+    """Left, semi or anti join in which neither null keys nor hot keys fill one task.
 
-    Such rows match nothing, but would all hash to one task; a salt taken from
-    ``spread_by`` sends them everywhere.
+    The hash of the key joins too. For rows with a null key, which match nothing
+    but would all meet in one task, it is the hash of ``spread_by`` (the whole
+    row by default) instead. The extra key also has both sides shuffled for this
+    join alone, even where ``right`` is an aggregate, and between two such
+    shuffles adaptive execution splits the hot keys of ``left``.
     """
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salted = base.withColumn(
-        "_salt", F.when(missing, F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long"))
-    )
-    return enrich(salted, right.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"]).drop("_salt")
+    own = F.xxhash64(*(spread_by or left.columns))
+    placed = left.withColumn("_spread", F.when(missing, own).otherwise(F.xxhash64(*keys)))
+    other = right.withColumn("_spread", F.xxhash64(*keys))
+    return placed.join(other, [*keys, "_spread"], how).drop("_spread")
+
+
+def enrich_spread(
+    base: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`enrich` as a :func:`spread_join`."""
+    _refuse_clash(base, right, keys)
+    return spread_join(base, right, keys, "left", spread_by)
 
 
 def attach_history(
@@ -158,7 +177,7 @@ def holdout(
     """
     used = taken.select(*keys).distinct()
     if not null_safe:
-        return df.join(used, list(keys), "left_anti")
+        return spread_join(df, used, keys, "left_anti")
     return df.join(_prefixed(used, keys, "_taken_"), _same_key(keys, "_taken_"), "left_anti")
 
 

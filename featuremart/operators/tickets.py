@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.calendar import month_end, window_start
 from featuremart.functions.temporal import elapsed_hours, next_day, within_days
-from featuremart.operators.joins import attach_by
+from featuremart.operators.joins import attach_by, spread_join
 from featuremart.operators.slots import in_slot, slot_name
 
 # The texts in the request system.
@@ -106,7 +106,7 @@ def unambiguous(df: DataFrame, key: str, other: str) -> DataFrame:
 
 def keep_unambiguous(df: DataFrame, key: str, other: str) -> DataFrame:
     """Rows of the keys found by :func:`unambiguous`."""
-    return df.join(unambiguous(df, key, other), [key], "left_semi")
+    return spread_join(df, unambiguous(df, key, other), [key], "left_semi")
 
 
 def with_ticket_flags(

@@ -16,7 +16,7 @@ from featuremart.functions.temporal import days_since, valid_on
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
-from featuremart.operators.joins import assemble, enrich, enrich_nullable, enrich_skewed, stack
+from featuremart.operators.joins import assemble, enrich, enrich_skewed, enrich_spread, stack
 from featuremart.operators.rollup import rollup_entity
 from featuremart.operators.slots import month_slots, payment_block, slot_name
 from featuremart.operators.snapshots import (
@@ -262,8 +262,8 @@ def fixed_mart(
     contracts = enrich(accounts.distinct(), latest_contracts(sources["contracts"], ties), ACCOUNT)
 
     requests = tickets.contract_statistics(sources["complaints"], as_of, cols=cols)
-    wide = enrich_nullable(contracts, requests, [cols.contract], ACCOUNT)
-    wide = enrich_nullable(wide, profile_block(sources["profiles"]), PROFILE_KEY, ACCOUNT)
+    wide = enrich_spread(contracts, requests, [cols.contract], ACCOUNT)
+    wide = enrich_spread(wide, profile_block(sources["profiles"]), PROFILE_KEY, ACCOUNT)
     wide = assemble(
         wide,
         [

@@ -15,7 +15,7 @@ ORACLES = driver.oracle_sql()
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
 # Joins with a calendar or category table of a few rows.
-SPINES = {"calendar_spine", "row_numbers", "training_point_in_time"}
+SPINES = {"calendar_spine", "row_numbers"}
 
 
 @pytest.fixture(scope="module")

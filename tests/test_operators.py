@@ -295,9 +295,42 @@ def test_skewed_join_equals_the_plain_one(spark):
 def test_null_keys_are_spread(spark):
     base = spark.createDataFrame([(None, i) for i in range(100)] + [(1, 100)], "k int, i int")
     right = spark.createDataFrame([(1, "x"), (None, "never")], "k int, v string")
-    out = joins.enrich_nullable(base, right, ["k"], ["i"])
+    out = joins.enrich_spread(base, right, ["k"], ["i"])
     assert out.columns == ["k", "i", "v"]
     assert out.where("v is not null").count() == 1 and out.count() == 101
+    assert joins.spread_join(base, right, ["k"], "left_anti").count() == 100
+    assert joins.spread_join(base, right, ["k"], "left_semi").count() == 1
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_hot_key_is_split_next_to_an_aggregate(spark, eager_skew_handling, how):
+    """A third of the rows has one key; the right side is an aggregate."""
+    base = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 997).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("text")
+    )
+    right = spark.range(0, 3000).groupBy((F.col("id") % 900).alias("k")).agg(F.count("*").alias("n"))
+    out = joins.spread_join(base, right, ["k"], how)
+    out.count()
+    joined = joins.spread_join(base, right, ["k"], how)
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == base.join(right, ["k"], how).count()
 
 
 def test_full_merge_keeps_one_sided_keys(spark, rows):
