@@ -588,20 +588,20 @@ def complaint_rollup(t: Tables):
     return tickets.contract_statistics(t.complaints, AS_OF)
 
 
-_REMEDY_CTES = {
+_REQUEST_CTES = {
     "scope": _SCOPE,
     "guarded": _GUARDED,
     "owned": "select * from (select distinct billing_id, acc_id, acc_num, contract_num from base) join guarded using (contract_num)",
     "req": _per_request("billing_id, acc_id, acc_num, contract_num", "owned"),
-    "remedy": _per_account("billing_id, acc_id, acc_num, contract_num", "req"),
+    "request_stats": _per_account("billing_id, acc_id, acc_num, contract_num", "req"),
 }
 
 
 @query(
     "fixed_complaints",
     with_ctes(
-        {**_BASE_CTES, **_REMEDY_CTES},
-        "select * replace (cast(billing_id as bigint) as billing_id), cast(1 as bigint) as is_zhalobi from remedy",
+        {**_BASE_CTES, **_REQUEST_CTES},
+        "select * replace (cast(billing_id as bigint) as billing_id), cast(1 as bigint) as is_zhalobi from request_stats",
     ),
     ("convergent_a", "convergent_b", "contracts", "complaints"),
 )
@@ -737,7 +737,7 @@ def _mart_column(name: str, rule: str) -> str:
 
 MART_CTES = {
     **_BASE_CTES,
-    **_REMEDY_CTES,
+    **_REQUEST_CTES,
     **_SERVICE_CTES,
     "masked": f"""
     select base.* replace (case when is_mobile = 0 then billing_id end as billing_id,
@@ -748,7 +748,7 @@ MART_CTES = {
       serv.* exclude (billing_id, acc_id), prof.* exclude (billing_id, customer_id)
     from base left join ({_LIFETIME}) att using (billing_id, acc_id) left join ({_PAY}) pay using (billing_id, acc_id)
     left join ({_TRAFFIC}) tra using (billing_id, acc_id) left join ({_EQUIP}) equ using (billing_id, acc_id)
-    left join remedy rem using (billing_id, acc_id, acc_num, contract_num)
+    left join request_stats rem using (billing_id, acc_id, acc_num, contract_num)
     left join serv using (billing_id, acc_id) left join ({_PROFILE}) prof using (billing_id, customer_id)
     """,
     "fixed_mart": "select "

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featuremart.catalogue.registry import Tables, query
+from featuremart.catalogue import training as training_queries
+from featuremart.catalogue.registry import Tables, query, with_ctes
 from featuremart.operators.joins import spine
+from featuremart.plans import training
 from featuremart.sources.storage import scratch_path
 from featuremart.sources.tables import (
     ensure_db,
@@ -126,3 +128,31 @@ def report_fetch(t: Tables):
     """A small report taken to the driver and back."""
     report = fetch_small(t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n")))
     return t.spark.createDataFrame(report)
+
+
+_TARGETS = "mobile_id, mobile_acc_id, mobile_msisdn, target_active_churn, table_business_month"
+
+
+@query(
+    "target_table",
+    with_ctes(training_queries.COHORT_CTES, f"select {_TARGETS} from cohorts"),
+    training_queries.LABEL_ROLES,
+)
+def target_table(t: Tables):
+    """All cohort months written at once, then the first one again."""
+    name, _ = _table(t, "target_table")
+    targets = training_queries.targets_frame(t)
+    months = [c.month for c in training_queries.COHORTS]
+    training.target_table(targets, name, months)
+    training.target_table(targets, name, months[:1])
+    return refresh(t.spark, name)
+
+
+@query("saved_split", "select doc_id, cast(toxic as bigint) as toxic, lang from labels join documents using (doc_id)")
+def saved_split(t: Tables):
+    """A set stored as a table and exported from there."""
+    name, _ = _table(t, "saved_split")
+    path = scratch_path(t.spark, "saved_split")
+    rows = t.labels.select("doc_id", "toxic").join(t.documents.select("doc_id", "lang"), "doc_id")
+    training.save_split(rows, name, path)
+    return load_path(t.spark, path)

@@ -246,6 +246,7 @@ def fixed_mart(
     fixed: str = "fix",
     align: str = "month",
     ties: Sequence[str] = ("contract_id",),
+    equipment: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES,
     cols: tickets.TicketColumns = tickets.TicketColumns(),
 ) -> DataFrame:
     """One row per mobile line with all blocks.
@@ -270,7 +271,7 @@ def fixed_mart(
             (lifetime_block(sources["lifetimes"], as_of), ACCOUNT),
             (payments_block(sources["payments"], as_of), ACCOUNT),
             (traffic_block(sources["traffic"], as_of, align), ACCOUNT),
-            (equipment_masks(sources["equipment"], as_of), ACCOUNT),
+            (equipment_masks(sources["equipment"], as_of, equipment), ACCOUNT),
             (service_block(sources["services"], sources["discounts"], as_of), ACCOUNT),
         ],
     )
@@ -279,5 +280,5 @@ def fixed_mart(
     request_columns = [c for c in requests.columns if c != cols.contract]
     joined = mask_by_role(joined, F.col("acc_num").isNotNull(), request_columns)
     # packed, the flags take two columns through the joins and the rollup, not 76
-    rolled = finish_entities(joined, as_of, mobile=mobile, spec=entity_spec(mobile, packed=True))
-    return unpack_equipment(rolled)
+    spec = entity_spec(mobile, equipment, cols=cols, packed=True)
+    return unpack_equipment(finish_entities(joined, as_of, mobile=mobile, spec=spec), equipment)
