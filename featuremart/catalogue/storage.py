@@ -31,7 +31,7 @@ _ORDERS = "select o_orderkey, o_custkey, o_orderstatus from orders"
 
 def _table(t: Tables, name: str) -> tuple[str, str]:
     """A catalog name and a fresh folder for it."""
-    ensure_db(t.spark, DB)
+    ensure_db(t.spark, DB, scratch_path(t.spark, DB))
     t.spark.sql(f"DROP TABLE IF EXISTS {DB}.{name}")
     return f"{DB}.{name}", scratch_path(t.spark, name)
 

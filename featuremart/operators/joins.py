@@ -161,8 +161,7 @@ def spine(df: DataFrame, small: DataFrame, max_rows: int = MAX_SPINE_ROWS) -> Da
 
     The size of ``small`` is checked before it is broadcast.
     """
-    n = len(small.limit(max_rows + 1).collect())
-    if n > max_rows:
+    if small.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"a spine may have at most {max_rows} rows")
     return df.crossJoin(F.broadcast(small))
 

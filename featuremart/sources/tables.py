@@ -33,8 +33,10 @@ def row_numbers(spark: SparkSession, n: int, name: str = "id") -> DataFrame:
     return spark.range(n).withColumnRenamed("id", name)
 
 
-def ensure_db(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_db(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the namespace unless it exists; ``location`` is where its tables go."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def _sized(df: DataFrame, files: int | None) -> DataFrame:
