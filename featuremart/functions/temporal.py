@@ -60,9 +60,10 @@ def days_since(col: str, as_of: date) -> Column:
     return F.datediff(F.lit(as_of), F.col(col).cast("date"))
 
 
-def elapsed_hours(start: str, end: str, done: Column) -> Column:
+def elapsed_hours(start: str | Column, end: str | Column, done: Column) -> Column:
     """Hours from start to end where ``done`` holds, else 0; null if the end is missing."""
-    seconds = F.timestamp_diff("SECOND", F.col(start), F.col(end))
+    start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
+    seconds = F.timestamp_diff("SECOND", start, end)
     return F.when(done, seconds / F.lit(3600)).otherwise(F.lit(0.0))
 
 

@@ -118,7 +118,11 @@ def with_ticket_flags(
         for k in range(n)
     }
     done = F.col(cols.status).isin(list(cols.done))
-    hours = {cols.hours: elapsed_hours(cols.created, cols.closed, done)}
+    ends = [F.col(cols.created), F.col(cols.closed)]
+    if {t for c, t in df.dtypes if c in (cols.created, cols.closed)} == {"date"}:
+        # whole days, whatever clock changes the session's time zone has
+        ends = [c.cast("timestamp_ntz") for c in ends]
+    hours = {cols.hours: elapsed_hours(*ends, done)}
     return df.withColumns({**cols.flag_columns(), **hours, **slots})
 
 

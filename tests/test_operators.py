@@ -224,6 +224,17 @@ def test_request_statistics(spark):
     assert (got[8].complaints_num_priority_highest, got[8].max_zhalobi_lifetime_hours) == (1, 0.0)
 
 
+def test_hours_between_dates_ignore_clock_changes(spark):
+    df = complaint_rows(spark).where("request_id = 2")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # clocks changed on 2024-03-10
+    try:
+        moved = df.withColumn("closetime_dt_orig", F.lit(date(2024, 3, 12)))
+        hours = {r.zhalobi_lifetime_hours for r in tickets.with_ticket_flags(moved, AS_OF).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert hours == {7 * 24.0}
+
+
 def test_statistics_equal_the_stepwise_operators(spark):
     kept = tickets.keep_unambiguous(tickets.scoped(complaint_rows(spark), AS_OF), "request_id", "contract_num")
     flagged = tickets.with_ticket_flags(kept, AS_OF).where(F.col("contract_num").isNotNull())
