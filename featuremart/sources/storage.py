@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder.
+    """The session's checkpoint folder, from ``spark.checkpoint.dir``.
 
-    On a cluster it comes from ``spark.checkpoint.dir``. Only a local master
-    may fall back to a temporary folder, since there all tasks see the same disk.
+    A cluster must set it to a folder that all executors share. Only a local
+    master may do without: then a folder in the warehouse serves.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -20,9 +19,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="featuremart-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
