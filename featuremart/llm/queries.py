@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import line_dedup, mixing, sharding
+from featuremart.llm import line_dedup, mixing, quality_rules, secrets, sharding
 from featuremart.llm.common import table, word_count, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,14 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+# ---------------------------------------------------------------- 3: quality rules
+
+
+@query("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, folder, "documents"))
+
+
 # ---------------------------------------------------------------- 7: mixing
 
 #: Which sources form a domain, and the weights of nodes that are not 1.
@@ -110,6 +118,21 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "domain", "lang", "source", "token_count", "epochs_used")
 
 
+# ---------------------------------------------------------------- 8: secrets
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    listed = lambda spans: secrets.listing(spans)
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), of("random").alias("n_random"),
+    )
+
+
 # ---------------------------------------------------------------- 10: sharding
 
 SHARDS, SHARD_SEED = 40, 7
