@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import line_dedup, mixing, quality_rules, secrets, sharding
+from featuremart.llm import jaccard, line_dedup, mixing, quality_rules, secret_scan, sharding
 from featuremart.llm.common import table, word_count, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,9 +123,9 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_secrets")
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.scan(table(spark, folder, "documents"))
+    found = secret_scan.scan(table(spark, folder, "documents"))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
-    listed = lambda spans: secrets.listing(spans)
+    listed = lambda spans: secret_scan.listing(spans)
     base = F.filter("spans", lambda s: s["kind"] != "random")
     return found.select(
         "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
@@ -133,6 +133,16 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- 9: n-gram Jaccard join
+
+SHINGLE_WORDS, SIMILAR_PERCENT = 4, 85
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"), "doc_id", "text", SHINGLE_WORDS, SIMILAR_PERCENT)
+
+
 # ---------------------------------------------------------------- 10: sharding
 
 SHARDS, SHARD_SEED = 40, 7
