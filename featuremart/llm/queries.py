@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import jaccard, line_dedup, mixing, quality_rules, secret_scan, sharding
-from featuremart.llm.common import table, word_count, text_of
+from featuremart.llm import classifier, jaccard, line_dedup, mixing, pieces, quality_rules, secret_scan, sharding
+from featuremart.llm.common import remainder, table, text_of, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +64,31 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
 
+# ---------------------------------------------------------------- 5: quality classifier
+
+QUALITY_FROM = 0.3
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = classifier.train(docs, table(spark, folder, "labels"))
+    scored = classifier.classify(docs, model)
+    predicted = F.when(F.col("score") >= QUALITY_FROM, 1).otherwise(0)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+# ---------------------------------------------------------------- 6: pieces
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = pieces.load_vocabulary()
+    coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
+    both = pieces.decode(coded, vocabulary)
+    return both.select("doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces", (F.col("decoded") == text_of("text")).alias("same_text"))
+
+
 # ---------------------------------------------------------------- 7: mixing
 
 #: Which sources form a domain, and the weights of nodes that are not 1.
