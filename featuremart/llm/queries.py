@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import classifier, jaccard, line_dedup, mixing, pieces, quality_rules, secret_scan, sharding
+from featuremart.llm import classifier, jaccard, line_dedup, mixing, mixing_lm, pieces, quality_rules, secret_scan, sharding
 from featuremart.llm.common import remainder, table, text_of, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,15 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+# ---------------------------------------------------------------- 2: language model
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    out = mixing_lm.score(table(spark, folder, "documents"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 # ---------------------------------------------------------------- 3: quality rules
 
 
