@@ -29,5 +29,5 @@ def components(edges: DataFrame) -> DataFrame:
         now = checkpointed(small)
         state = tuple(now.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))).cast("bigint")).first())
         if state == last:
-            return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
+            return checkpointed(now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", "b").distinct()))
         last = state

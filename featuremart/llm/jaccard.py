@@ -34,10 +34,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.common import checkpointed, stored
+from featuremart.llm.common import checkpointed, small_enough, stored
 from featuremart.llm.components import components
 
-GROUPS = 32
+GROUPS = 256
+FOLDED = 32  # groups of a page's bounds: sums of every 32nd count
+IDS_SENT = 2_000_000  # ids of documents to verify that are sent to every task
 RATIO = 1.6  # size classes of the directory
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
 
@@ -119,10 +121,10 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
             for text in part["text"]:
                 s = shingles(text, words)
                 h = int(np.add.reduce(_mix(s ^ _MIX[0])).view(np.int64)) if len(s) else 0
-                rows.append((len(s), h, np.bincount(s.astype(np.int64) & (GROUPS - 1), minlength=GROUPS).tolist()))
+                rows.append((len(s), h, np.minimum(np.bincount(s.astype(np.int64) & (GROUPS - 1), minlength=GROUPS), 32767).astype(np.int16)))
             yield pd.DataFrame(rows, columns=["n", "h", "c"]).assign(id=part["id"].to_numpy())[["id", "n", "h", "c"]]
 
-    return docs.mapInPandas(run, "id bigint, n bigint, h bigint, c array<int>")
+    return docs.mapInPandas(run, "id bigint, n bigint, h bigint, c array<smallint>")
 
 
 def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -158,7 +160,9 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _minima(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda t, x: t + x)
+    """Sum of coordinate minima; the greatest count stands for itself and more."""
+    least = lambda x, y: F.when((x == 32767) & (y == 32767), F.lit(1 << 40)).otherwise(F.least(x, y).cast("bigint"))
+    return F.aggregate(F.zip_with(a, b, least), F.lit(0).cast("bigint"), lambda t, x: t + x)
 
 
 def _reaches(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -168,41 +172,52 @@ def _reaches(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
 def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` that are similar: bounded by their points, then compared in full."""
     side = lambda x: sketches.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}"), F.col("c").alias(f"c{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(_reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), percent))
-    near = near.where(_reaches(_minima(F.col("ca"), F.col("cb")), F.col("na"), F.col("nb"), percent))
+    sized = pairs.join(side("b"), "b").join(side("a"), "a").where(_reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), percent))
+    near = sized.where(_reaches(_minima(F.col("ca"), F.col("cb")), F.col("na"), F.col("nb"), percent))
     near = stored(near.select("a", "b", ((F.col("ha") == F.col("hb")) & (F.col("na") == F.col("nb"))).alias("same")), "jaccard-near")
     open_ = near.where("not same").select("a", "b").distinct()
-    wanted = open_.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(_sets(docs.join(wanted, "id", "left_semi"), words), "jaccard-sets")
-    of = lambda x: sets.select(F.col("id").alias(x), F.col("s").alias(f"s{x}"))
-    both = open_.join(of("a"), "a").join(of("b"), "b")
+
+    def of(x: str) -> DataFrame:
+        wanted = small_enough(checkpointed(open_.select(F.col(x).alias("id")).distinct()), IDS_SENT)
+        return _sets(docs.join(wanted, "id", "left_semi"), words).select(F.col("id").alias(x), F.col("s").alias(f"s{x}"))
+
+    both = open_.join(of("b"), "b").join(of("a"), "a")
     common = F.size(F.array_intersect("sa", "sb"))
     alike = both.where(_reaches(common.cast("bigint"), F.size("sa"), F.size("sb"), percent)).select("a", "b")
-    return near.where("same").select("a", "b").union(alike)
+    return checkpointed(near.where("same").select("a", "b").union(alike).distinct())
+
+
+def _best(tries: DataFrame, *per: str) -> DataFrame:
+    """Of the pairs ``a, id`` of each ``per``, the one that shares most keys, as ``a, b``."""
+    counted = tries.groupBy("a", *per).count()
+    best = counted.groupBy(*per).agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("m"))
+    return best.select((-F.col("m.a")).alias("a"), F.col("id").alias("b"))
 
 
 def _unfinished(members: DataFrame, found: DataFrame) -> DataFrame:
     """``key, id, comp`` of the keys that hold several components."""
-    placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    placed = stored(placed, "jaccard-placed")
+    placed = members.join(small_enough(found, IDS_SENT), "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     return stored(placed.join(stored(split, "jaccard-keys"), "key"), "jaccard-open")
 
 
 def _page_pairs(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents of different components that the pages' and points' bounds leave."""
-    full = stored(open_.join(sketches.select("id", "n", "c"), "id"), "jaccard-pages")
-    top = [F.max(F.get("c", i)).alias(f"t{i}") for i in range(GROUPS)]
+    """Pairs of documents of different components that the bounds of pages leave."""
+    folded = F.transform(F.sequence(F.lit(0), F.lit(FOLDED - 1)), lambda g: F.aggregate(F.sequence(g, F.lit(GROUPS - 1), F.lit(FOLDED)), F.lit(0), lambda t, i: t + F.get("c", i)))
+    points = stored(open_.select("id").distinct().join(sketches, "id").select("id", "n", folded.alias("c")), "jaccard-points")
+    full = open_.join(points, "id")
+    top = [F.max(F.get("c", i)).alias(f"t{i}") for i in range(FOLDED)]
     pages = full.groupBy("key", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), *top)
-    pages = stored(pages.select("key", "comp", "lo", "hi", F.array(*(f"t{i}" for i in range(GROUPS))).alias("t")), "jaccard-page")
+    pages = stored(pages.select("key", "comp", "lo", "hi", F.array(*(f"t{i}" for i in range(FOLDED))).alias("t")), "jaccard-page")
     side = lambda df, x: df.select("key", *(F.col(c).alias(f"{c}{x}") for c in df.columns if c != "key"))
     met = side(pages, "a").join(side(pages, "b"), "key").where("compa < compb")
     met = met.where(f"hia * 100 >= lob * {percent} and hib * 100 >= loa * {percent}")
-    met = met.where(_reaches(_minima(F.col("ta"), F.col("tb")), F.col("loa"), F.col("lob"), percent)).select("key", "compa", "compb")
-    met = stored(met, "jaccard-met")
-    left = met.join(side(full, "a"), ["key", "compa"])
-    both = left.join(side(full, "b"), ["key", "compb"])
-    both = both.where(_reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), percent) & _reaches(_minima(F.col("ca"), F.col("cb")), F.col("na"), F.col("nb"), percent))
+    met = met.where(_reaches(_minima(F.col("ta"), F.col("tb")), F.col("loa"), F.col("lob"), percent))
+    # one key of each pair of pages is not enough: the pages of another key hold other documents
+    met = stored(met.select("key", "compa", "compb"), "jaccard-met")
+    sized = stored(open_.join(points.select("id", "n"), "id"), "jaccard-sized")
+    both = met.join(side(sized, "a"), ["key", "compa"]).join(side(sized, "b"), ["key", "compb"])
+    both = both.where(_reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), percent))
     return both.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
@@ -220,23 +235,23 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     rows = _keys(light, words, percent)
     leaders = rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
     members = stored(rows.join(stored(leaders, "jaccard-leaders"), "key"), "jaccard-members")
+    verified = lambda pairs: _verified(pairs, sketches, light, words, percent)
 
-    tried = members.where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    edges = checkpointed(_verified(tried, sketches, light, words, percent))
-    found = checkpointed(components(edges))
-    members = members.select("key", "id")
-    # other leaders where a key still holds several components, then pages of these
-    open_ = _unfinished(members, found)
+    # each document with the leader it shares most keys with
+    edges = verified(_best(members.where("a <> id"), "id"))
+    found = components(edges)
+    open_ = _unfinished(members.select("key", "id"), found)
+    # where a key still holds several components, with another leader of each
     if not open_.isEmpty():
         last = open_.groupBy("key").agg(F.max_by("id", F.xxhash64("id")).alias("a"), F.max_by("comp", F.xxhash64("id")).alias("lead"))
-        pairs = open_.join(stored(last, "jaccard-second"), "key").where("comp <> lead").select("a", F.col("id").alias("b")).distinct()
-        edges = edges.union(checkpointed(_verified(pairs, sketches, light, words, percent)))
-        found = checkpointed(components(edges))
+        tries = open_.join(stored(last, "jaccard-second"), "key").where("comp <> lead")
+        edges = edges.union(verified(_best(tries, "id", "lead")))
+        found = components(edges)
         open_ = _unfinished(open_.select("key", "id"), found)
+    # and what is left by pages
     if not open_.isEmpty():
-        pairs = _page_pairs(open_, sketches, percent)
-        edges = edges.union(checkpointed(_verified(pairs, sketches, light, words, percent)))
-        found = checkpointed(components(edges))
+        edges = edges.union(verified(_page_pairs(open_, sketches, percent)))
+        found = components(edges)
     return sketches, found
 
 
