@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import classifier, jaccard, line_dedup, mixing, mixing_lm, pieces, quality_rules, secret_scan, sharding
+from featuremart.llm import classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, pieces, quality_rules, secret_scan, sharding
 from featuremart.llm.common import remainder, table, text_of, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,27 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
 
+# ---------------------------------------------------------------- 4: top-k search
+
+TOP, QUERY_STEP = 5, 50
+
+
+@query(
+    "op4_topk_search",
+    f"""
+    with good as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    pairs as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+        from good q join good c on q.vec_id <> c.vec_id where q.vec_id % {QUERY_STEP} = 0),
+    ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+    select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= {TOP}
+    """,
+)
+def op4_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = mtree.whole_vectors(table(spark, folder, "embeddings"))
+    return mtree.top_k(vectors, vectors.where(F.col("id") % QUERY_STEP == 0), TOP)
+
+
 # ---------------------------------------------------------------- 5: quality classifier
 
 QUALITY_FROM = 0.3
