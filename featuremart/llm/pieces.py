@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from featuremart.llm.common import fresh, small_enough, stored, text_of
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 8192
+CHUNK = 32_768
 NONE = -(1 << 60)  # no path
-MEMO = 300_000  # words remembered by a task
+MEMO = 400_000  # words remembered by a task
+LONGEST = 64  # characters of a remembered word
 STATES_SENT = 500_000  # boundary rows sent to every task
 
 
@@ -96,6 +97,13 @@ class Vocabulary:
         # a line end that no longer piece holds is a place of its own
         lone = all("\n" not in w for w in words if len(w) > 1)
         self.parts = re.compile(r"\n| +[^ \n]*|[^ \n]+" if lone else r" +[^ ]*|[^ ]+")
+        # the same tree in arrays: sorted (state, character) pairs, next states, pieces and scores of states
+        number = {"": 0} | {w: i for i, w in enumerate(self.trie, 1)}
+        steps = np.array([(number[w[:-1]] << 21) + ord(w[-1]) for w in self.trie], np.int64)
+        order = np.argsort(steps)
+        self.steps, self.next = steps[order], order + 1
+        hits = [(-1, NONE), *((-1, NONE) if h is None else h for h in self.trie.values())]
+        self.piece, self.value = np.array([h[0] for h in hits], np.int32), np.array([h[1] for h in hits], np.int64)
 
     def spell(self, char: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
@@ -134,6 +142,61 @@ class Vocabulary:
         ids.reverse()
         return ids, best[n]
 
+    def remember(self, texts, memo: dict) -> None:
+        """Put all words of the texts that are short enough into the memo, new ones in one vectorised pass."""
+        words = {w for t in texts for w in self.parts.findall(t) if len(w) <= LONGEST}
+        new = words - memo.keys()
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = words
+        new = sorted(new, key=len, reverse=True)
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            memo.update(zip(part, self.viterbi_all(part)))
+
+    def viterbi_all(self, words: list[str]) -> list[tuple[list[int], int]]:
+        """What :meth:`viterbi` gives for each word; ``words`` from long to short, none empty."""
+        sizes = np.array([len(w) for w in words])
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        n, deep = len(chars), min(self.reach, int(sizes[0]))
+        ends = np.repeat(starts + sizes, sizes)
+        score, piece = np.full((deep, n), NONE, np.int64), np.full((deep, n), -1, np.int32)
+        live, state = np.arange(n), np.zeros(n, np.int64)
+        for d in range(deep):  # all places at once walk down the tree
+            inside = live + d < ends[live]
+            live, state = live[inside], state[inside]
+            step = (state << 21) + chars[live + d]
+            j = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            hit = self.steps[j] == step
+            live, state = live[hit], self.next[j[hit]]
+            score[d, live], piece[d, live] = self.value[state], self.piece[state]
+        lone = score[0] == NONE
+        score[0, lone] = self.unknown
+        base = starts + np.arange(len(words))  # one place more per word
+        best, back, taken = np.full(n + len(words), NONE, np.int64), np.zeros(n + len(words), np.int64), np.full(n + len(words), -1, np.int32)
+        best[base] = 0
+        for p in range(int(sizes[0])):
+            m = int(np.searchsorted(-sizes, -p, side="left"))
+            here = best[base[:m] + p]
+            for d in range(min(deep, int(sizes[0]) - p)):
+                s = score[d, np.minimum(starts[:m] + p, n - 1)]
+                k = np.flatnonzero((s != NONE) & (here != NONE))
+                if not len(k):
+                    continue
+                to, value = base[k] + p + d + 1, here[k] + s[k]
+                more = value > best[to]
+                to, k = to[more], k[more]
+                best[to], back[to], taken[to] = value[more], d + 1, piece[d, starts[k] + p]
+        at, steps = sizes.copy(), []
+        while at.any():
+            place = base + at
+            steps.append(np.where(at > 0, taken[place], -2))
+            at -= np.where(at > 0, back[place], 0)
+        rows = np.array(steps[::-1]).T.tolist()
+        found = [([i for i in row if i != -2], b) for row, b in zip(rows, best[base + sizes].tolist())]
+        return [self.viterbi(w) if -1 in f[0] else f for w, f in zip(words, found)]
+
     def encode(self, text: str, memo: dict, stop: int | None = None) -> tuple[list[int], int]:
         """Pieces and score of a text; with ``stop``, its last piece starts before that place and ends at the end."""
         ids: list[int] = []
@@ -152,7 +215,7 @@ class Vocabulary:
             hit = memo.get(part)
             if hit is None:
                 hit = self.viterbi(part)
-                if len(part) <= 64:
+                if len(part) <= LONGEST:
                     if len(memo) >= MEMO:
                         memo.clear()
                     memo[part] = hit
@@ -251,66 +314,77 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     (size,) = fresh(docs, "size")
     sized = docs.withColumn(size, F.length(text_of(text)))
     short, giant = sized.where(F.col(size) < chunk).drop(size), sized.where(F.col(size) >= chunk).drop(size)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v, memo = Vocabulary(*shared.value), {}
-        for part in batches:
-            for at in range(0, len(part), 500):
-                rows = part.iloc[at : at + 500]
-                yield rows.assign(**{out: [np.array(v.encode(f" {t}", memo)[0] if t else [], np.int32) for t in rows[text]]})
-
-    done = short.mapInPandas(whole, f"{fields}, `{out}` array<int>")
-    return done.unionByName(_giants(giant, shared, vocabulary.reach, text, out, chunk))
-
-
-def _giants(docs: DataFrame, shared, reach: int, text: str, out: str, chunk: int) -> DataFrame:
-    """Encoding of texts by chunks, dealt to tasks one by one."""
-    row, at, part, at_end, states, pieces = fresh(docs, "row", "at", "part", "chunks", "states", "chunk_pieces")
-    marked = docs.withColumn(row, F.monotonically_increasing_id())
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for i, t in zip(b[row], b[text]):
-                t = f" {t}"
-                n = -(-len(t) // chunk)
-                for a in range(0, n, 64):
-                    ks = range(a, min(n, a + 64))
-                    yield pd.DataFrame({row: i, at: list(ks), at_end: n, part: [t[k * chunk : (k + 1) * chunk + reach - 1] for k in ks]})
-
-    # rows keep their number in the stored table, so a retry can't renumber them
-    marked = stored(marked, "giant-texts")
-    cut = marked.select(row, text).mapInPandas(split, f"`{row}` bigint, `{at}` int, `{at_end}` int, `{part}` string")
-    chunks = cut.repartition(row, at)
-
-    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = []
+            for at in range(0, len(texts), 500):
+                part = [f" {t}" if t else "" for t in texts.iloc[at : at + 500]]
+                v.remember(part, memo)
+                found += [np.array(v.encode(t, memo)[0], np.int32) for t in part]
+            yield pd.Series(found, dtype=object)
+
+    done = short.withColumn(out, F.pandas_udf(whole, "array<int>")(F.col(text)))
+    return done.unionByName(_giants(giant, shared, vocabulary, text, out, chunk))
+
+
+def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str, chunk: int) -> DataFrame:
+    """Encoding of texts by chunks, which are dealt to tasks one by one.
+
+    The chunks are stored once, with the row's other columns on its first chunk. Texts are shuffled twice in
+    all: when dealt, and when put together again with their pieces.
+    """
+    row, at, part, rest, pieces = fresh(docs, "row", "at", "part", "rest", "pieces")
+    reach, kind = vocabulary.reach, np.dtype(np.uint16 if len(vocabulary.pieces) <= 1 << 16 else np.uint32)
+    others = [c for c in docs.columns if c != text]
+
+    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([[t[k : k + chunk + reach - 1] for k in range(0, len(t), chunk)] for t in (f" {t}" for t in texts)], dtype=object)
+
+    def matrices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v, memo = Vocabulary(*shared.value), {}
-        for b in batches:
-            m = [v.transfer(t, min(chunk, len(t)), memo).ravel() for t in b[part]]
-            yield pd.DataFrame({row: b[row], at: b[at], "m": m})
+        for texts in batches:
+            v.remember(texts, memo)
+            yield pd.Series([v.transfer(t, min(chunk, len(t)), memo).tobytes() for t in texts], dtype=object)
 
     def combine(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(at)
-        s = boundary_states(np.stack(group["m"].to_numpy()).reshape(len(group), reach, reach))
+        s = boundary_states(np.frombuffer(b"".join(group["m"]), np.int64).reshape(len(group), reach, reach))
         return pd.DataFrame({row: group[row], at: group[at], "s": s[:-1], "e": s[1:]})
 
-    scored = chunks.mapInPandas(matrices, f"`{row}` bigint, `{at}` int, m array<bigint>")
-    found = scored.groupBy(row).applyInPandas(combine, f"`{row}` bigint, `{at}` int, s int, e int")
-    found = small_enough(stored(found, "boundary-states"), STATES_SENT)
-
-    def backtrace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def backtrace(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         v, memo = Vocabulary(*shared.value), {}
-        for b in batches:
-            ids = []
-            for t, s, e in zip(b[part], b["s"], b["e"]):
+        for texts, entry, leave in batches:
+            v.remember(texts, memo)
+            found = []
+            for t, s, e in zip(texts, entry, leave):
                 size = min(chunk, len(t))
-                ids.append(np.array(v.encode(t[s : size + e], memo, size - s)[0], np.int32))
-            yield pd.DataFrame({row: b[row], at: b[at], pieces: ids})
+                found.append(np.array(v.encode(t[s : size + e], memo, size - s)[0], kind).tobytes())
+            yield pd.Series(found, dtype=object)
+
+    def joined(raw: pd.Series) -> pd.Series:
+        return pd.Series([np.frombuffer(b"".join(x), kind).astype(np.int32) for x in raw], dtype=object)
 
-    traced = chunks.join(found, [row, at]).drop(at_end).mapInPandas(backtrace, f"`{row}` bigint, `{at}` int, `{pieces}` array<int>")
-    joined = traced.groupBy(row).agg(F.sort_array(F.collect_list(F.struct(at, pieces))).alias(pieces))
-    joined = joined.select(row, F.flatten(F.col(f"{pieces}.{pieces}")).alias(out))
-    return marked.join(joined, row).drop(row)
+    first = F.when(F.col(at) == 0, F.col(rest))
+    parts = docs.select(F.monotonically_increasing_id().alias(row), (F.struct(*others) if others else F.struct(F.lit(0))).alias(rest), F.pandas_udf(split, "array<string>")(F.col(text)).alias(part))
+    parts = parts.select(row, rest, F.posexplode(part).alias(at, part)).withColumn(rest, first)
+    chunks = stored(parts.repartition(row, at), "giant-chunks")
+
+    scored = chunks.select(row, at, F.pandas_udf(matrices, "binary")(F.col(part)).alias("m"))
+    found = scored.groupBy(row).applyInPandas(combine, f"`{row}` bigint, `{at}` int, s int, e int")
+    found = small_enough(stored(found, "boundary-states"), STATES_SENT)
+    traced = chunks.join(found, [row, at]).select(
+        row, at, rest, F.substring(part, 1, chunk).alias(part), F.pandas_udf(backtrace, "binary")(F.col(part), F.col("s"), F.col("e")).alias(pieces)
+    )
+    whole = traced.groupBy(row).agg(F.sort_array(F.collect_list(F.struct(at, part, pieces, rest))).alias(part))
+    whole = whole.select(
+        F.col(part)[0][rest].alias(rest),
+        F.substring(F.concat_ws("", F.col(f"{part}.{part}")), 2, (1 << 31) - 1).alias(text),
+        F.pandas_udf(joined, "array<int>")(F.col(f"{part}.{pieces}")).alias(out),
+    )
+    return whole.select(*(F.col(text) if c == text else F.col(rest)[c].alias(c) for c in docs.columns), out)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
