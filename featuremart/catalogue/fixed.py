@@ -725,12 +725,33 @@ _DOUBLES = {
     "max_zhalobi_lifetime_hours",
 }
 _SQL_RULE = {"first": "min", "max": "max", "sum": "sum"}
+_ONE_ROW = {"row:account": ["billing_id", "acc_id", "acc_num"], "row:person": ["gender", "sale_channel"]}
+
+
+def one_row(source: str, keys: list[str], columns: list[str]) -> str:
+    """The first row per key that has any of the columns."""
+    return (
+        f"select {', '.join(keys + columns)} from (select *, row_number() over (partition by {', '.join(keys)} order by "
+        f"{', '.join(f'{c} nulls first' for c in columns)}) as rn from {source} where {' or '.join(f'{c} is not null' for c in columns)}) where rn = 1"
+    )
+
+
+def same_keys(left: str, right: str, keys: list[str]) -> str:
+    return " and ".join(f"{left}.{k} is not distinct from {right}.{k}" for k in keys)
 
 
 def _mart_column(name: str, rule: str) -> str:
-    kind = "double" if name in _DOUBLES else "bigint"
+    if rule in _ONE_ROW:
+        return f'cast(any_value(first_{rule[4:]}."{name}") as bigint) as "{name}"'
+    name = f'masked"."{name}'
+    return _mart_aggregate(name, rule).replace('as "masked".', "as ")
+
+
+def _mart_aggregate(name: str, rule: str) -> str:
+    bare = name.rpartition('"')[2]
+    kind = "double" if bare in _DOUBLES else "bigint"
     # money and volumes are summed in hundredths, as whole numbers
-    if name in _DOUBLES and rule == "sum":
+    if bare in _DOUBLES and rule == "sum":
         return f'cast(sum(cast(round("{name}" * 100) as hugeint)) as double) / 100 as "{name}"'
     return f'cast({_SQL_RULE[rule]}("{name}") as {kind}) as "{name}"'
 
@@ -751,11 +772,14 @@ MART_CTES = {
     left join request_stats rem using (billing_id, acc_id, acc_num, contract_num)
     left join serv using (billing_id, acc_id) left join ({_PROFILE}) prof using (billing_id, customer_id)
     """,
+    **{f"first_{rule[4:]}": one_row("masked", MART_KEYS, columns) for rule, columns in _ONE_ROW.items()},
     "fixed_mart": "select "
-    + casts("bigint", MART_KEYS)
+    + ", ".join(f"cast(masked.{k} as bigint) as {k}" for k in MART_KEYS)
     + ", "
     + ", ".join(_mart_column(c, rule) for c, rule in fixed.entity_spec().items())
-    + f" from masked group by {', '.join(MART_KEYS)}",
+    + " from masked "
+    + " ".join(f"left join first_{r[4:]} on {same_keys('masked', f'first_{r[4:]}', MART_KEYS)}" for r in _ONE_ROW)
+    + f" group by {', '.join(f'masked.{k}' for k in MART_KEYS)}",
 }
 
 
@@ -771,19 +795,22 @@ def fixed_mart(t: Tables):
 @query(
     "entity_rollup",
     """
-    select o_custkey, min(case when o_orderstatus = 'F' then o_orderpriority end) as first_priority,
-      max(o_orderkey) as o_orderkey, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as amount
-    from orders group by o_custkey
+    with f as (select *, row_number() over (partition by o_custkey order by o_orderpriority, o_orderkey) as rn
+      from orders where o_orderstatus = 'F')
+    select a.*, f.o_orderpriority as first_priority, f.o_orderkey as first_order from
+      (select o_custkey, max(o_orderkey) as o_orderkey, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as amount
+       from orders group by o_custkey) a left join f on a.o_custkey = f.o_custkey and f.rn = 1
     """,
 )
 def entity_rollup(t: Tables):
     rows = t.orders.withColumns(
         {
             "first_priority": F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")),
+            "first_order": F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")),
             "amount": F.col("o_totalprice").cast("decimal(18,2)"),
         }
     )
-    spec = {"first_priority": "first", "o_orderkey": "max", "amount": "sum"}
+    spec = {"first_priority": "row:order", "first_order": "row:order", "o_orderkey": "max", "amount": "sum"}
     return rollup_entity(rows, ["o_custkey"], spec)
 
 

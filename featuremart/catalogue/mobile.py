@@ -8,8 +8,9 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from featuremart.catalogue.registry import AS_OF, Tables, casts, day, query, role_sql, with_ctes
-from featuremart.functions.calendar import add_months, month_start
+from featuremart.functions.calendar import add_months, month_end, month_start
 from featuremart.functions.geo import great_circle_m
+from featuremart.functions.temporal import within_days
 from featuremart.functions.text import prefixed, slug
 from featuremart.operators.categorical import (
     category_matrix,
@@ -498,14 +499,13 @@ MART_CTE = with_ctes({r: role_sql(r) for r in _MART_ROLES}, MART_SQL)
     from customer left join (select o_custkey, min(o_orderpriority) as segment, count(*) as n,
       case when count(*) > 8 then cast('NaN' as double) else cast(count(*) as double) end as x,
       min(case when o_orderstatus = 'F' then cast(o_orderdate as date) end) as first_day
-      from orders where o_orderdate > timestamp '2000-01-01' group by o_custkey) on c_custkey = o_custkey
+      from orders group by o_custkey) on c_custkey = o_custkey
     """,
 )
 def typed_fill(t: Tables):
     n = F.count("*")
     stats = (
-        t.orders.where(F.col("o_orderdate") > F.lit("2000-01-01").cast("timestamp_ntz"))
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        t.orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(
             F.min("o_orderpriority").alias("segment"),
             n.alias("n"),
@@ -580,9 +580,6 @@ def list_explode(t: Tables):
 )
 def monthly_fold(t: Tables):
     """A union of any number of monthly frames."""
-    month = F.trunc("o_orderdate", "month")
-    parts = [
-        t.orders.where(month == F.lit(month_start(AS_OF, k))).select("o_orderkey", F.lit(k).alias("month_offset"))
-        for k in range(3)
-    ]
+    months = [within_days("o_orderdate", month_end(AS_OF, k + 1), month_end(AS_OF, k)) for k in range(3)]
+    parts = [t.orders.where(m).select("o_orderkey", F.lit(k).alias("month_offset")) for k, m in enumerate(months)]
     return stack(*parts)

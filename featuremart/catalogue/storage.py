@@ -12,7 +12,6 @@ from featuremart.sources.storage import scratch_path
 from featuremart.sources.tables import (
     ensure_db,
     export_parquet,
-    fetch_small,
     load,
     load_path,
     refresh,
@@ -123,13 +122,6 @@ def generated_rows(t: Tables):
     return spine(t.customer.select("c_custkey"), row_numbers(t.spark, 4, "slot"))
 
 
-@query("report_fetch", "select o_orderstatus, count(*) as n from orders group by o_orderstatus")
-def report_fetch(t: Tables):
-    """A small report taken to the driver and back."""
-    report = fetch_small(t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n")))
-    return t.spark.createDataFrame(report)
-
-
 _TARGETS = "mobile_id, mobile_acc_id, mobile_msisdn, target_active_churn, table_business_month"
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from featuremart.catalogue import fixed as fixed_queries
 from featuremart.catalogue import mobile as mobile_queries
 from featuremart.catalogue.registry import AS_OF, Tables, casts, day, in_month, query, with_ctes
-from featuremart.functions.calendar import add_months, month_start
+from featuremart.functions.calendar import add_months, month_end, month_start
 from featuremart.functions.churn import active_churn, passive_churn
-from featuremart.functions.temporal import feature_month
+from featuremart.functions.temporal import feature_month, within_days
 from featuremart.operators import profile
 from featuremart.operators.joins import enrich, holdout, stack
 from featuremart.operators.labels import class_counts, label_base, label_inputs, label_share
@@ -39,17 +39,21 @@ select * from (select *, row_number() over (partition by fix_billing_id, fix_acc
 _PAY_SUMS = ", ".join(
     f"sum(case when {in_month('dt', k)} then amount else 0 end) as {p}" for k, p in enumerate(PAYS)
 )
+_LINE = ["mobile_id", "mobile_acc_id", "mobile_msisdn"]
 LABEL_CTES = {
     "newest": _LATEST_PAIR,
     "label_ids": fixed_queries._IDENTITY.format(src="newest"),
     "closes": "select billing_id, acc_id, max(cast(dt_close as date)) as dt_close from lifetimes group by all",
     "pays": f"select billing_id, acc_id, {_PAY_SUMS} from payments group by billing_id, acc_id",
+    "owned_ids": "select mobile_id, mobile_acc_id, mobile_msisdn, billing_id, acc_id, acc_num from label_ids where is_mobile = 0",
+    "line_account": fixed_queries.one_row("owned_ids", _LINE, ["billing_id", "acc_id", "acc_num"]),
     "lines": f"""
-    select mobile_id, mobile_acc_id, mobile_msisdn, min(case when is_mobile = 0 then billing_id end) as billing_id,
-      min(case when is_mobile = 0 then acc_id end) as acc_id, min(case when is_mobile = 0 then acc_num end) as acc_num,
-      {', '.join(f'coalesce(sum({p}), 0) as {p}' for p in PAYS)}, max(dt_close) as dt_close
-    from label_ids left join closes using (billing_id, acc_id) left join pays using (billing_id, acc_id)
-    group by mobile_id, mobile_acc_id, mobile_msisdn
+    select s.*, a.billing_id, a.acc_id, a.acc_num from (
+      select mobile_id, mobile_acc_id, mobile_msisdn,
+        {', '.join(f'coalesce(sum({p}), 0) as {p}' for p in PAYS)}, max(dt_close) as dt_close
+      from label_ids left join closes using (billing_id, acc_id) left join pays using (billing_id, acc_id)
+      group by mobile_id, mobile_acc_id, mobile_msisdn) s
+    left join line_account a on {fixed_queries.same_keys('s', 'a', _LINE)}
     """,
     "labelled": f"""
     select {casts('bigint', ['mobile_id', 'mobile_acc_id', 'mobile_msisdn', 'billing_id', 'acc_id', 'acc_num'])},
@@ -110,12 +114,14 @@ def churn_passive(t: Tables):
 @query(
     "label_base",
     f"""
-    select c_nationkey, min(c_custkey) as first_customer, cast(coalesce(sum(amount), 0) as double) as amount,
+    with first as (select * from (select *, row_number() over (partition by c_nationkey order by c_mktsegment, c_custkey) as rn from customer) where rn = 1)
+    select s.*, first.c_custkey as first_customer, first.c_mktsegment as segment from (
+    select c_nationkey, cast(coalesce(sum(amount), 0) as double) as amount,
       cast(max(last_day) as varchar) as last_day
     from (select cast(c_nationkey as bigint) as c_nationkey, c_custkey from customer)
     left join (select o_custkey, sum(cast(o_totalprice as decimal(18, 2))) as amount from orders where {in_month('o_orderdate', 0)} group by 1) on c_custkey = o_custkey
     left join (select o_custkey as k, max(cast(o_orderdate as date)) as last_day from orders group by 1) on c_custkey = k
-    group by c_nationkey
+    group by c_nationkey) s join first using (c_nationkey)
     """,
 )
 def label_base_rows(t: Tables):
@@ -124,9 +130,10 @@ def label_base_rows(t: Tables):
     )
     pays = month_slots(paid, ["c_custkey"], "o_orderdate", "v", "pay", AS_OF, 1)
     last = paid.groupBy("c_custkey").agg(F.max(F.col("o_orderdate").cast("date")).alias("last_day"))
-    rows = label_inputs(t.customer.select("c_custkey", "c_nationkey"), last, pays, ["c_custkey"])
+    customers = t.customer.select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"))
+    rows = label_inputs(customers, last, pays, ["c_custkey"])
     named = rows.withColumnRenamed("c_custkey", "first_customer").withColumnRenamed("pay_00mm", "amount")
-    return label_base(named, ["c_nationkey"], ["first_customer"], ["amount"], "last_day")
+    return label_base(named, ["c_nationkey"], ["segment", "first_customer"], ["amount"], "last_day")
 
 
 @query(
@@ -275,7 +282,8 @@ def label_shares(t: Tables):
     "select o_orderkey, o_custkey from orders where date_trunc('month', o_orderdate) = date '2001-07-01'",
 )
 def month_sliced(t: Tables):
-    dated = t.orders.withColumn("month", F.trunc("o_orderdate", "month"))
+    window = within_days("o_orderdate", month_end(AS_OF, 1), month_end(AS_OF))
+    dated = t.orders.where(window).withColumn("month", F.trunc("o_orderdate", "month"))
     return month_slice(dated, "month", START, ["o_orderkey", "o_custkey"])
 
 
@@ -383,7 +391,7 @@ _ORDER_LABEL = "cast(date_trunc('month', o_orderdate) as date)"
     with lab as (select distinct o_custkey, {_ORDER_LABEL} as m from orders),
     feat as (select o_custkey, {_ORDER_LABEL} as m, count(*) as n_orders from orders group by all),
     mob as (select o_custkey, m, cast(max(o_totalprice) as double) as top_price
-      from (select *, cast(date_trunc('month', o_orderdate) as date) as m from orders where o_orderstatus = 'F') group by 1, 2)
+      from (select *, cast(date_trunc('month', o_orderdate) as date) as m from orders) group by 1, 2)
     select cast(0 as bigint) as mobile_id, lab.o_custkey as mobile_acc_id, lab.o_custkey as msisdn,
       cast(lab.m as varchar) as table_business_month, n_orders, top_price
     from lab left join feat on lab.o_custkey = feat.o_custkey and feat.m = cast(lab.m - to_months(1) as date)
@@ -400,8 +408,7 @@ def training_point_in_time(t: Tables):
     ]
     labels = t.orders.select(*line, month).distinct()
     features = t.orders.groupBy(*line, month).agg(F.count("*").alias("n_orders"))
-    finished = t.orders.where(F.col("o_orderstatus") == "F")
-    mobile_mart = finished.groupBy(F.col("o_custkey").alias("msisdn"), month).agg(
+    mobile_mart = t.orders.groupBy(F.col("o_custkey").alias("msisdn"), month).agg(
         F.max("o_totalprice").alias("top_price")
     )
     return training.training_set(labels, features, mobile_mart, lag=1)
@@ -489,12 +496,11 @@ def null_profile(t: Tables):
     "feature_join",
     """
     select c_custkey as msisdn, c_mktsegment, n from customer
-    join (select o_custkey, count(*) as n from orders where o_orderstatus = 'P' group by 1) on c_custkey = o_custkey
+    join (select o_custkey, count(*) as n from orders group by 1) on c_custkey = o_custkey
     """,
 )
 def feature_join(t: Tables):
-    orders = t.orders.where(F.col("o_orderstatus") == "P")
-    counts = orders.groupBy(F.col("o_custkey").alias("mobile_msisdn")).agg(F.count("*").alias("n"))
+    counts = t.orders.groupBy(F.col("o_custkey").alias("mobile_msisdn")).agg(F.count("*").alias("n"))
     customers = t.customer.select(F.col("c_custkey").alias("msisdn"), "c_mktsegment")
     return training.feature_join(counts, customers)
 
@@ -503,24 +509,24 @@ def feature_join(t: Tables):
 
 
 def scored(t: Tables):
-    docs = t.documents.select("doc_id", F.least(F.col("n_chars"), F.lit(400)).alias("score"))
+    docs = t.documents.select("doc_id", F.expr("n_chars div 50").alias("score"))
     return t.labels.select("doc_id", "quality").join(docs, "doc_id")
 
 
-_SCORED = "(select doc_id, quality, least(n_chars, 400) as score from labels join documents using (doc_id))"
+_SCORED = "(select doc_id, quality, n_chars // 50 as score from labels join documents using (doc_id))"
 
 
 @query(
     "confusion_matrix",
     f"""
-    select 'act_POS' as actual, count(case when quality = 1 and score > 300 then 1 end) as pred_POS,
-      count(case when quality = 1 and score <= 300 then 1 end) as pred_NEG from {_SCORED}
-    union all select 'act_NEG', count(case when quality = 0 and score > 300 then 1 end),
-      count(case when quality = 0 and score <= 300 then 1 end) from {_SCORED}
+    select 'act_POS' as actual, count(case when quality = 1 and score > 30 then 1 end) as pred_POS,
+      count(case when quality = 1 and score <= 30 then 1 end) as pred_NEG from {_SCORED}
+    union all select 'act_NEG', count(case when quality = 0 and score > 30 then 1 end),
+      count(case when quality = 0 and score <= 30 then 1 end) from {_SCORED}
     """,
 )
 def confusion_matrix(t: Tables):
-    return confusion(scored(t), "quality", "score", 300)
+    return confusion(scored(t), "quality", "score", 30)
 
 
 def lift_sql(source: str, n: int) -> str:

@@ -38,19 +38,6 @@ def assemble(base: DataFrame, blocks: Iterable[tuple[DataFrame, Sequence[str]]])
     return reduce(lambda spine, block: enrich(spine, *block), blocks, base)
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], *, max_keys: int = 1000, min_rows: int = 10_000_000
-) -> DataFrame | None:
-    """The most frequent keys with at least ``min_rows`` rows, or None if there are none.
-
-    At most ``max_keys`` are fetched, so every other key holds less than
-    ``1 / max_keys`` of the rows or fewer than ``min_rows``.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows)
-    found = counts.orderBy(F.col("_n").desc()).limit(max_keys).drop("_n").collect()
-    return df.sparkSession.createDataFrame(found, df.select(*keys).schema) if found else None
-
-
 def _same_key(keys: Sequence[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
@@ -59,34 +46,16 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*[F.col(k).alias(prefix + k) for k in keys])
 
 
-def enrich_skewed(
-    base: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    *,
-    counted: DataFrame | None = None,
-    max_keys: int = 1000,
-    min_rows: int = 10_000_000,
-) -> DataFrame:
-    """Left join onto rows where a few keys may hold a large part of ``base``.
+def assemble_known(base: DataFrame, blocks: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """:func:`assemble` for a base whose keys may be null.
 
-    ``right`` must be unique on the keys. Rows with a hot key meet their at most
-    ``max_keys`` partners by broadcast and never gather in one task; all others
-    take the normal shuffled join. Adaptive execution splits skew only in a join
-    directly above two shuffles, which a join onto an aggregate is not.
-
-    The keys are counted in one pass when the plan is built, in ``counted`` if a
-    cheaper frame with the same keys is at hand.
+    Rows with a null key match nothing. They are set aside, so that they don't
+    meet in one task, and come back with nulls in the columns of the blocks.
     """
-    hot = hot_keys(base if counted is None else counted, keys, max_keys=max_keys, min_rows=min_rows)
-    if hot is None:
-        return enrich(base, right, keys)
-    few = F.broadcast(_prefixed(hot, keys, "_hot_"))
-    is_hot = _same_key(keys, "_hot_")
-    partners = F.broadcast(right.join(few, is_hot, "left_semi"))
-    return enrich(base.join(few, is_hot, "left_semi"), partners, keys).unionByName(
-        enrich(base.join(few, is_hot, "left_anti"), right, keys)
-    )
+    keys = list(dict.fromkeys(k for _, ks in blocks for k in ks))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    joined = assemble(base.where(~missing), blocks)
+    return joined.unionByName(base.where(missing), allowMissingColumns=True)
 
 
 def spread_join(
@@ -147,7 +116,8 @@ def full_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
     The frames are stacked and aggregated once: a chain of outer joins would
     shuffle again after each step, because the merged key is a new column. A
-    frame that repeats a key contributes the greatest value of each column.
+    frame that repeats a key contributes the greatest value of each column, so
+    frames of several columns that belong together must be unique on the keys.
     """
     columns = [c for f in frames for c in f.columns if c not in keys]
     if len(columns) != len(set(columns)):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from featuremart.functions.calendar import add_months, month_start
 from featuremart.functions.churn import active_churn, passive_churn
 from featuremart.operators.joins import enrich, stamp
+from featuremart.operators.rollup import least_row
 
 
 def label_inputs(
@@ -27,12 +28,16 @@ def label_base(
     pays: Sequence[str],
     close: str = "dt_close",
 ) -> DataFrame:
-    """One row per line: its account ids, payment sums (0 if none) and last close date."""
-    return df.groupBy(*keys).agg(
-        *[F.min(c).alias(c) for c in ids],
+    """One row per line: account ids, payment sums (0 if none) and last close date.
+
+    The ids are those of one account, the least of the line.
+    """
+    out = df.groupBy(*keys).agg(
+        least_row(ids).alias("_ids"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in pays],
         F.max(close).alias(close),
     )
+    return out.select(*keys, *[F.col(f"_ids.{c}").alias(c) for c in ids], *pays, close)
 
 
 def with_churn_labels(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # "first" is the first non-null value of a column that has one per entity. The
@@ -13,6 +14,24 @@ from pyspark.sql import functions as F
 RULES = {"first": "min", "max": "max", "min": "min", "sum": "sum", "bits": "bit_or"}
 
 
+def least_row(columns: Sequence[str]) -> Column:
+    """The least combination of the columns among the rows that have any of them, as a struct."""
+    known = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
+    return F.min(F.when(known, F.struct(*columns)))
+
+
 def rollup_entity(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str]) -> DataFrame:
-    """One row per entity; ``spec`` maps each column to a rule of ``RULES``."""
-    return df.groupBy(*keys).agg(*[F.expr(f"{RULES[rule]}(`{c}`) as `{c}`") for c, rule in spec.items()])
+    """One row per entity; ``spec`` maps each column to a rule of ``RULES``, or to ``row:name``.
+
+    Columns with the same ``row:name`` come from one and the same row: the one
+    with the least values in the order of ``spec``.
+    """
+    groups: dict[str, list[str]] = {}
+    for c, rule in spec.items():
+        if rule.startswith("row:"):
+            groups.setdefault(rule, []).append(c)
+    single = [F.expr(f"{RULES[rule]}(`{c}`) as `{c}`") for c, rule in spec.items() if rule not in groups]
+    rows = [least_row(columns).alias(f"_{rule}") for rule, columns in groups.items()]
+    out = df.groupBy(*keys).agg(*single, *rows)
+    pick = lambda c, rule: F.col(f"`_{rule}`.`{c}`").alias(c) if rule in groups else F.col(f"`{c}`")
+    return out.select(*[f"`{k}`" for k in keys], *[pick(c, rule) for c, rule in spec.items()])

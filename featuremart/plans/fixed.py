@@ -16,7 +16,7 @@ from featuremart.functions.temporal import days_since, valid_on
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
-from featuremart.operators.joins import assemble, enrich, enrich_skewed, enrich_spread, stack
+from featuremart.operators.joins import assemble, enrich, enrich_spread, stack
 from featuremart.operators.rollup import rollup_entity
 from featuremart.operators.slots import month_slots, payment_block, slot_name
 from featuremart.operators.snapshots import (
@@ -83,12 +83,7 @@ def identity_base(
 ) -> DataFrame:
     """Identities valid on ``as_of`` with the attributes of the newest contract."""
     current = snapshot(stack(convergent_a, convergent_b), as_of)
-    return enrich_skewed(
-        line_identities(current, mobile, fixed),
-        latest_contracts(contracts, ties),
-        ACCOUNT,
-        counted=line_identities(current, mobile, fixed, distinct=False),
-    )
+    return enrich_spread(line_identities(current, mobile, fixed), latest_contracts(contracts, ties), ACCOUNT)
 
 
 def lifetime_block(lifetimes: DataFrame, as_of: date) -> DataFrame:
@@ -191,12 +186,14 @@ def entity_spec(
     packed: bool = False,
 ) -> dict[str, str]:
     """Column -> rule of the final rollup; ``packed`` for equipment flags that are still masks."""
+    # fixed values: the column names of the mart
     durations = [f"live_dur_fix_{DURATION_NAMES[s]}" for s in SERVICES]
     complaint_slots = [slot_name(cols.count, k) for k in range(n)]
     rules = {
-        "first": [
-            *ACCOUNT, "acc_num", f"{mobile}_contract_num", "is_noncommercial", "gender", "sale_channel",
-        ],
+        # columns that describe one thing come from one row
+        "row:account": [*ACCOUNT, "acc_num"],
+        "row:person": ["gender", "sale_channel"],
+        "first": [f"{mobile}_contract_num", "is_noncommercial"],
         "max": [
             "total_live_dur", "is_closed", "is_archive", "is_contract_closed_flg", "live_dur_contract",
             *durations,
@@ -275,7 +272,7 @@ def fixed_mart(
             (service_block(sources["services"], sources["discounts"], as_of), ACCOUNT),
         ],
     )
-    joined = enrich_skewed(identities, wide, ACCOUNT, counted=accounts)
+    joined = enrich_spread(identities, wide, ACCOUNT)
     # an account without a number has no complaint row of its own
     request_columns = [c for c in requests.columns if c != cols.contract]
     joined = mask_by_role(joined, F.col("acc_num").isNotNull(), request_columns)

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from featuremart.functions.calendar import add_months, month_end, month_start
 from featuremart.functions.text import prefixed
 from featuremart.operators.categorical import category_matrix, contact_matrix
-from featuremart.operators.joins import assemble, attach_history, fill_typed, full_merge, stamp
+from featuremart.operators.joins import assemble_known, attach_history, fill_typed, full_merge, stamp
 from featuremart.operators.moves import pair_moves
-from featuremart.operators.ranking import cap_rows
 from featuremart.operators.snapshots import lag_columns, with_days_since
 
 LINE = "msisdn"
@@ -58,15 +57,12 @@ def mobile_base(
     keys: Sequence[str] = HISTORY_KEY,
     clashes: Sequence[str] = HISTORY_CLASHES,
     columns: Sequence[str] | None = None,
-    cap: int | None = None,
-    seed: int = 0,
 ) -> DataFrame:
     """Daily profile with event ages at month end and the monthly history.
 
-    ``columns`` keeps a curated list of the result; ``cap`` keeps so many lines.
+    ``columns`` keeps a curated list of the result.
     """
-    base = cap_rows(daily, cap, [LINE], seed)
-    aged = with_days_since(base, {age_name(c): c for c in date_columns}, month_end(logical_date))
+    aged = with_days_since(daily, {age_name(c): c for c in date_columns}, month_end(logical_date))
     joined = attach_history(aged, history, keys, clashes)
     return joined.select(*columns) if columns else joined
 
@@ -150,23 +146,18 @@ def mobile_mart(
     build_dt: date,
     *,
     key: str = LINE,
-    cap: int | None = None,
-    seed: int = 0,
 ) -> DataFrame:
     """All blocks per line, without nulls in numbers and texts.
 
     Missing numbers of the base become -1, those of the other blocks 0, and
-    missing texts ``unk``.
+    missing texts ``unk``. Interests of a line under several regions or
+    applications are added up, so every line of the base keeps one row.
     """
-    filled = fill_typed(cap_rows(base, cap, [key], seed), num=-1)
-    joined = assemble(
-        filled,
-        [
-            (scores, [key]),
-            (contacts, [key]),
-            (moves, [key]),
-            (interests.drop(*HISTORY_KEY), [key]),
-        ],
-    )
+    metrics = [c for c in interests.columns if c not in (*HISTORY_KEY, key)]
+    per_line = interests.groupBy(key).agg(*[F.sum(c).alias(c) for c in metrics])
+    # lines without a number stay null until after the joins, so that they don't meet in one task
+    filled = fill_typed(base, num=-1, columns=[c for c in base.columns if c != key])
+    blocks = [(b, [key]) for b in (scores, contacts, moves, per_line)]
+    joined = fill_typed(assemble_known(filled, blocks), num=-1, columns=[key])
     dated = {"build_dt": build_dt, "table_business_month": month_start(logical_date).isoformat()}
     return stamp(fill_typed(joined, num=0, text="unk"), dated)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from featuremart.functions.temporal import feature_month
 from featuremart.operators import profile
 from featuremart.operators.identity import mask_by_role
-from featuremart.operators.joins import attach_by, enrich, enrich_skewed, full_merge, holdout, stack
+from featuremart.operators.joins import assemble_known, attach_by, enrich_spread, full_merge, holdout, stack
 from featuremart.operators.labels import label_base, with_churn_labels
 from featuremart.operators.quality import confusion, lift_table
 from featuremart.operators.ranking import Cohort, cap_rows, monthly_cohorts
@@ -50,11 +50,10 @@ def churn_labels(
     ties = [f"{mobile}_msisdn", f"{mobile}_acc_id", f"{mobile}_id", f"{fixed}_acc_num"]
     newest = latest_by(rows, owner, "dt_from", [*ties, "personal_account_number", f"{mobile}_tariff_plan"])
     identities = line_identities(newest, mobile, fixed)
-    counted = line_identities(rows, mobile, fixed, distinct=False)
     # the row closed last is the one with the greatest close date
     closes = lifetimes.groupBy(*ACCOUNT).agg(F.max(F.col("dt_close").cast("date")).alias("dt_close"))
     pays = month_slots(payments, ACCOUNT, "dt", "amount", "pay", month, n=3)
-    facts = enrich_skewed(identities, full_merge([closes, pays], ACCOUNT), ACCOUNT, counted=counted)
+    facts = enrich_spread(identities, full_merge([closes, pays], ACCOUNT), ACCOUNT)
     masked = mask_by_role(facts, F.col(f"is_{mobile}") == 0, [*ACCOUNT, "acc_num"])
     names = [slot_name("pay", k) for k in range(3)]
     lines = label_base(masked, label_keys(mobile), [*ACCOUNT, "acc_num"], names)
@@ -117,17 +116,17 @@ def training_set(
     """
     keys = label_keys(mobile)
     if lag is None:
-        features = enrich(labels, fixed, keys)
+        features = assemble_known(labels, [(fixed.drop(MONTH), keys)])
         renamed = features.withColumnRenamed(f"{mobile}_msisdn", line)
-        return enrich(renamed, mobile_mart.drop(MONTH), [line])
+        return assemble_known(renamed, [(mobile_mart.drop(MONTH), [line])])
     dated = labels.withColumn("_month", feature_month(F.col(MONTH).cast("date"), lag))
 
     def at_month(mart: DataFrame) -> DataFrame:
         return mart.withColumn("_month", F.col(MONTH).cast("date")).drop(MONTH)
 
-    features = enrich(dated, at_month(fixed), [*keys, "_month"])
+    features = assemble_known(dated, [(at_month(fixed), [*keys, "_month"])])
     renamed = features.withColumnRenamed(f"{mobile}_msisdn", line)
-    return enrich(renamed, at_month(mobile_mart), [line, "_month"]).drop("_month")
+    return assemble_known(renamed, [(at_month(mobile_mart), [line, "_month"])]).drop("_month")
 
 
 def feature_join(fixed: DataFrame, mobile_mart: DataFrame, *, mobile: str = "mobile", line: str = "msisdn"):

@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from featuremart.catalogue import all_oracles, all_queries
 from featuremart.catalogue.roles import TABLES
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
 # Joins with a calendar or category table of a few rows.

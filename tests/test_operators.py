@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from featuremart.operators import categorical, joins, services, slots, snapshots, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
+from featuremart.operators.labels import label_base
 from featuremart.operators.rollup import rollup_entity
 
 AS_OF = date(2024, 3, 31)
@@ -290,17 +291,25 @@ def test_enrich_refuses_clashing_columns(spark):
         joins.enrich(df, df, ["k"])
 
 
-def test_skewed_join_equals_the_plain_one(spark):
+def test_spread_join_equals_the_plain_one(spark):
     rnd = random.Random(3)
     left = [(rnd.choice([7, 7, 7, None, None, *range(50)]), i) for i in range(2000)]
     base = spark.createDataFrame(left, "k int, i int")
     right = spark.createDataFrame([(k, k * 10) for k in range(0, 40)], "k int, v int")
-    assert {r.k for r in joins.hot_keys(base, ["k"], max_keys=2, min_rows=1).collect()} == {7, None}
-    assert joins.hot_keys(base, ["k"]) is None
-    split = joins.enrich_skewed(base, right, ["k"], max_keys=2, min_rows=1)
-    plain = joins.enrich(base, right, ["k"])
-    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
-    assert "Union" in split._jdf.queryExecution().executedPlan().toString()
+    plain = Counter(map(tuple, joins.enrich(base, right, ["k"]).collect()))
+    assert Counter(map(tuple, joins.enrich_spread(base, right, ["k"]).collect())) == plain
+    assert Counter(map(tuple, joins.assemble_known(base, [(right, ["k"])]).collect())) == plain
+
+
+def test_ids_of_a_line_come_from_one_row(spark):
+    rows = spark.createDataFrame(
+        [(1, 5, 10, 800), (1, 3, 90, 700), (1, None, None, None), (2, None, None, None)], "line int, b int, a int, n int"
+    )
+    spec = {"b": "row:account", "a": "row:account", "n": "row:account"}
+    assert {tuple(r) for r in rollup_entity(rows, ["line"], spec).collect()} == {(1, 3, 90, 700), (2, None, None, None)}
+    paid = rows.withColumns({"pay": F.lit(1), "dt_close": F.lit(None).cast("date")})
+    labelled = label_base(paid, ["line"], ["b", "a", "n"], ["pay"])
+    assert {tuple(r)[:4] for r in labelled.collect()} == {(1, 3, 90, 700), (2, None, None, None)}
 
 
 def test_null_keys_are_spread(spark):

@@ -17,22 +17,31 @@ def t(spark):
     return Tables(spark, SMALL)
 
 
-def test_mart_does_not_depend_on_the_hot_key_split(t, monkeypatch):
-    """The same mart when accounts count as hot, and when none does."""
-    sources = {name: getattr(t, name) for name in fixed_queries.FIXED_SOURCES}
-    plain = fixed.fixed_mart(sources, AS_OF)
-    before = {tuple(r) for r in plain.collect()}
-
-    original = fixed.enrich_skewed
+def test_mart_keeps_one_row_per_line(t):
+    mart = fixed.fixed_mart({name: getattr(t, name) for name in fixed_queries.FIXED_SOURCES}, AS_OF)
+    assert_grain(mart, fixed_queries.MART_KEYS)
 
-    def eager(base, right, keys, **options):
-        return original(base, right, keys, max_keys=50, min_rows=5, **options)
 
-    monkeypatch.setattr(fixed, "enrich_skewed", eager)
-    split = fixed.fixed_mart(sources, AS_OF)
-    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
-    assert {tuple(r) for r in split.collect()} == before
-    assert_grain(plain, fixed_queries.MART_KEYS)
+def test_building_the_plans_runs_no_job(t, spark):
+    """No plan depends on counts taken while it is built."""
+    tracker = spark.sparkContext.statusTracker()
+    sources = {name: getattr(t, name) for name in fixed_queries.FIXED_SOURCES}
+    spark.sparkContext.setJobGroup("plans", "plans")
+    fixed.identity_base(t.convergent_a, t.convergent_b, t.contracts, AS_OF)
+    fixed.fixed_mart(sources, AS_OF)
+    training.churn_labels(t.convergent_a, t.convergent_b, t.lifetimes, t.payments, AS_OF)
+    assert not list(tracker.getJobIdsForGroup("plans"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_null_lines_and_second_interests_keep_the_mobile_grain(spark):
+    base = spark.createDataFrame([(1, 10), (2, 20), *[(None, 30)] * 3], "msisdn int, n int")
+    one = lambda c: spark.createDataFrame([(1, 5), (None, 6)], f"msisdn int, {c} int")
+    interests = spark.createDataFrame([(7, 8, 1, 1.5), (7, 9, 1, 2.0)], "regid int, app_n int, msisdn int, cat double")
+    mart = mobile.mobile_mart(base, one("a"), one("b"), one("c"), interests, AS_OF, AS_OF)
+    rows = {(r.msisdn, r.n, r.a, r.cat) for r in mart.collect()}
+    assert mart.count() == 5
+    assert rows == {(1, 10, 5, 3.5), (2, 20, 0, 0.0), (-1, 30, 0, 0.0)}
 
 
 def test_blocks_keep_their_grain(t):
