@@ -31,8 +31,10 @@ from featuremart.llm.common import fresh, small_enough, stored, text_of
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 32_768
 NONE = -(1 << 60)  # no path
-MEMO = 400_000  # words remembered by a task
+MEMO = 200_000  # words remembered by a task
 LONGEST = 64  # characters of a remembered word
+WORDS = 4000  # new words of one pass, so that its arrays stay in cache
+SLICE = 1_000_000  # characters that a task works on together
 STATES_SENT = 500_000  # boundary rows sent to every task
 
 
@@ -150,8 +152,8 @@ class Vocabulary:
             memo.clear()
             new = words
         new = sorted(new, key=len, reverse=True)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        for at in range(0, len(new), WORDS):
+            part = new[at : at + WORDS]
             memo.update(zip(part, self.viterbi_all(part)))
 
     def viterbi_all(self, words: list[str]) -> list[tuple[list[int], int]]:
@@ -166,6 +168,9 @@ class Vocabulary:
         for d in range(deep):  # all places at once walk down the tree
             inside = live + d < ends[live]
             live, state = live[inside], state[inside]
+            if not len(live):
+                deep = max(d, 1)
+                break
             step = (state << 21) + chars[live + d]
             j = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
             hit = self.steps[j] == step
@@ -290,6 +295,16 @@ def boundary_states(matrices: np.ndarray) -> list[int]:
     return states[::-1]
 
 
+def _slices(*columns: pd.Series) -> Iterator[tuple]:
+    """The columns (the first of texts) in runs of about SLICE characters: what a task holds besides its batch."""
+    sizes = np.cumsum([len(t) for t in columns[0]])
+    lo = 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + SLICE)))
+        yield tuple(c.iloc[lo:hi] for c in columns)
+        lo = hi
+
+
 def load_vocabulary(path: str = DEFAULT_MODEL) -> Vocabulary:
     with open(path, "rb") as file:
         return Vocabulary(file.read())
@@ -318,12 +333,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v, memo = Vocabulary(*shared.value), {}
         for texts in batches:
-            found = []
-            for at in range(0, len(texts), 500):
-                part = [f" {t}" if t else "" for t in texts.iloc[at : at + 500]]
+            for (part,) in _slices(texts.fillna("")):
+                part = [f" {t}" if t else "" for t in part]
                 v.remember(part, memo)
-                found += [np.array(v.encode(t, memo)[0], np.int32) for t in part]
-            yield pd.Series(found, dtype=object)
+                yield pd.Series([np.array(v.encode(t, memo)[0], np.int32) for t in part], dtype=object)
 
     done = short.withColumn(out, F.pandas_udf(whole, "array<int>")(F.col(text)))
     return done.unionByName(_giants(giant, shared, vocabulary, text, out, chunk))
@@ -345,9 +358,10 @@ def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str
 
     def matrices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v, memo = Vocabulary(*shared.value), {}
-        for texts in batches:
-            v.remember(texts, memo)
-            yield pd.Series([v.transfer(t, min(chunk, len(t)), memo).tobytes() for t in texts], dtype=object)
+        for batch in batches:
+            for (texts,) in _slices(batch):
+                v.remember(texts, memo)
+                yield pd.Series([v.transfer(t, min(chunk, len(t)), memo).tobytes() for t in texts], dtype=object)
 
     def combine(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(at)
@@ -356,13 +370,14 @@ def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str
 
     def backtrace(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         v, memo = Vocabulary(*shared.value), {}
-        for texts, entry, leave in batches:
-            v.remember(texts, memo)
-            found = []
-            for t, s, e in zip(texts, entry, leave):
-                size = min(chunk, len(t))
-                found.append(np.array(v.encode(t[s : size + e], memo, size - s)[0], kind).tobytes())
-            yield pd.Series(found, dtype=object)
+        for batch in batches:
+            for texts, entry, leave in _slices(*batch):
+                v.remember(texts, memo)
+                found = []
+                for t, s, e in zip(texts, entry, leave):
+                    size = min(chunk, len(t))
+                    found.append(np.array(v.encode(t[s : size + e], memo, size - s)[0], kind).tobytes())
+                yield pd.Series(found, dtype=object)
 
     def joined(raw: pd.Series) -> pd.Series:
         return pd.Series([np.frombuffer(b"".join(x), kind).astype(np.int32) for x in raw], dtype=object)
