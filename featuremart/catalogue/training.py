@@ -416,7 +416,10 @@ def training_point_in_time(t: Tables):
 
 # ---------------------------------------------------------------- profiles
 
-_LINE = ["l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"]
+_ITEM = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
 _NULLABLE = """(select o_orderkey, case when o_orderstatus = 'F' then o_custkey end as o_custkey, o_orderstatus,
   'x' as constant, case when o_orderpriority = '5-LOW' then null else o_orderpriority end as priority, o_totalprice from orders)"""
 _NULLABLE_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "constant", "priority", "o_totalprice"]
@@ -445,9 +448,9 @@ def profile_sql(source: str, columns) -> str:
     )
 
 
-@query("column_profile", profile_sql("lineitem", _LINE))
+@query("column_profile", profile_sql("lineitem", _ITEM))
 def column_profile(t: Tables):
-    return profile.column_profile(t.lineitem, _LINE)
+    return profile.column_profile(t.lineitem)
 
 
 @query(

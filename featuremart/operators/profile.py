@@ -10,27 +10,51 @@ from pyspark.sql import functions as F
 METRICS = ("n_unique", "fill_rate", "top_1_share")
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each value as a row ``(column, value)``; the values become text."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*cells)))
-
-
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
     """Distinct values, share of filled rows and share of the top value among them.
 
-    All columns are profiled in one read. Equal values are counted before the
-    shuffle, so a value that fills a third of a column costs one row per task.
+    All columns are profiled in one read. Values are compared by a 64-bit hash, so
+    what is shuffled is the column's number and the hash, and equal values are
+    counted before it: a value that fills a third of a column costs one row per
+    task. With ``approx`` nothing is shuffled but one row of sketches per task;
+    distinct values and the top share are then estimates, the filled share is exact.
     """
-    counts = (
-        _long(df, columns or df.columns).groupBy("column", "value").agg(F.count("*").alias("n"))
-    )
-    filled = F.when(F.col("value").isNotNull(), F.col("n"))
-    return counts.groupBy("column").agg(
-        F.count("value").alias("n_unique"),
+    names = list(columns or df.columns)
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1).alias("column")
+    hashes = [F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(F.col(f"`{c}`"))) for c in names]
+    if approx:
+        return _estimates(df, names, hashes)
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), h.alias("h")) for i, h in enumerate(hashes)])
+    counts = df.select(F.inline(cells)).groupBy("i", "h").agg(F.count("*").alias("n"))
+    filled = F.when(F.col("h").isNotNull(), F.col("n"))
+    out = counts.groupBy("i").agg(
+        F.count("h").alias("n_unique"),
         (F.coalesce(F.sum(filled), F.lit(0)) / F.sum("n")).alias("fill_rate"),
         F.coalesce(F.max(filled) / F.sum(filled), F.lit(0.0)).alias("top_1_share"),
     )
+    return out.select(name, *METRICS)
+
+
+def _estimates(df: DataFrame, names: Sequence[str], hashes: Sequence[Column]) -> DataFrame:
+    numbered = df.select(*[h.alias(f"h{i}") for i, h in enumerate(hashes)])
+    one = numbered.agg(
+        F.count("*").alias("rows"),
+        *[
+            F.struct(
+                F.approx_count_distinct(f"h{i}").alias("u"), F.count(f"h{i}").alias("f"), F.expr(f"approx_top_k(h{i}, 1)").alias("t")
+            ).alias(f"m{i}")
+            for i in range(len(names))
+        ],
+    )
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m"), F.col("rows").alias("rows")) for i, c in enumerate(names)]
+    long = one.where("rows > 0").select(F.inline(F.array(*cells)))
+    top = F.coalesce(F.get("m.t", F.lit(0))["count"], F.lit(0))
+    return long.select(
+        "column",
+        F.col("m.u").alias("n_unique"),
+        (F.col("m.f") / F.col("rows")).alias("fill_rate"),
+        F.coalesce(F.try_divide(top, F.col("m.f")), F.lit(0.0)).alias("top_1_share"),
+    )
 
 
 def metric_rows(profile: DataFrame) -> DataFrame:

@@ -124,6 +124,9 @@ def test_profile(spark):
     )
     got = {r["column"]: tuple(r)[1:] for r in profile.column_profile(df).collect()}
     assert got == {"i": (4, 1.0, 0.25), "s": (2, 0.75, 2 / 3), "e": (0, 0.0, 0.0)}
+    near = {r["column"]: tuple(r)[1:] for r in profile.column_profile(df, approx=True).collect()}
+    assert near == got
+    assert profile.column_profile(df.limit(0), approx=True).count() == 0
     chosen = profile.select_features(profile.column_profile(df), min_fill=0.7, exclude=["i"])
     assert [r["column"] for r in chosen.collect()] == ["s"]
     nulls = {r.name: (r.non_null_cnt, r.dtype) for r in profile.null_profile(df).collect()}
