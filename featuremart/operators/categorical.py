@@ -105,6 +105,12 @@ def dictionary_values(df: DataFrame, col: str, max_values: int = MAX_PIVOT_VALUE
     return sorted(r[0] for r in rows)
 
 
+def listed(label: Column, values: Sequence, other: str | None) -> Column:
+    """The label if it is listed, else ``other`` or an error."""
+    rest = F.raise_error(F.concat(F.lit("not a listed value: "), F.coalesce(label.cast("string"), F.lit("null")))).cast("string")
+    return F.when(label.isin(list(values)), label).otherwise(rest if other is None else F.lit(other))
+
+
 def pivot_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -118,13 +124,13 @@ def pivot_counts(
     """Sums per key, one ``prefix + value`` column per value.
 
     Without ``values`` they are looked up first, so the columns follow the data;
-    with them the schema is fixed and the lookup job is saved. Values that are
-    not listed are left out, or summed under ``other``.
+    with them the schema is fixed and the lookup job is saved. Rows whose value
+    is null or not listed are summed under ``other``; without it they raise an
+    error, so none is lost in silence.
     """
     values = dictionary_values(df, dim) if values is None else list(values)
-    label = F.col(dim)
+    label = listed(F.col(dim), values, other)
     if other is not None:
-        label = F.when(label.isin(values), label).otherwise(F.lit(other))
         values = [*values, other]
     narrow = df.select(*keys, label.alias("_label"), F.col(measure).alias("_measure"))
     wide = narrow.groupBy(*keys).pivot("_label", values).agg(F.sum("_measure"))
@@ -134,10 +140,13 @@ def pivot_counts(
 def contact_matrix(
     sources: Sequence[tuple[DataFrame, str, str, str, Sequence[str] | None]],
     key: str,
+    *,
+    other: str | None = None,
 ) -> DataFrame:
     """Several contact tables as one wide table, absent pairs 0.
 
-    Each source is ``(frame, dimension, measure, prefix, values)``. The sources
+    Each source is ``(frame, dimension, measure, prefix, values)``. Names that
+    are null or not listed are summed under ``other``, or raise an error. The sources
     are stacked in long form and pivoted once; pivoting each and joining them
     outer gives the same rows with two more wide shuffles.
     """
@@ -145,8 +154,8 @@ def contact_matrix(
     for df, dim, measure, prefix, values in sources:
         cleaned = df.select(key, slug(dim).alias("_name"), F.col(measure).alias("_measure"))
         names = dictionary_values(cleaned, "_name") if values is None else list(values)
-        columns += [prefix + n for n in names]
-        parts.append(cleaned.withColumn("_name", F.concat(F.lit(prefix), F.col("_name"))))
+        columns += [prefix + n for n in ([*names, other] if other is not None else names)]
+        parts.append(cleaned.withColumn("_name", F.concat(F.lit(prefix), listed(F.col("_name"), names, other))))
     stacked = reduce(DataFrame.unionByName, parts)
     wide = stacked.groupBy(key).pivot("_name", columns).agg(F.sum("_measure"))
     return wide.fillna(0, columns)

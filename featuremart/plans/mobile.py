@@ -90,11 +90,13 @@ def competitor_contacts(
     dim: str = "competitor",
     sms_dim: str | None = None,
     values: Mapping[str, Sequence[str]] | None = None,
+    other: str | None = None,
 ) -> DataFrame:
     """Contacts per line: one column per channel and competitor.
 
     ``values`` fixes the competitors per channel (``sms``, ``calls``, ``web``);
-    without it they are looked up in the data.
+    without it they are looked up in the data. ``other`` names the column of
+    contacts with no or an unlisted name, which raise an error otherwise.
     """
     known = values or {}
     return contact_matrix(
@@ -104,6 +106,7 @@ def competitor_contacts(
             (web, dim, "request_cnt", WEB_PREFIX, known.get("web")),
         ],
         key,
+        other=other,
     )
 
 

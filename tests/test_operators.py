@@ -151,15 +151,23 @@ def test_category_matrix(spark):
 def test_contact_matrix_equals_joined_pivots(spark, rows):
     sms = spark.createDataFrame([(1, "Dom.Ru", 2), (1, "domru", 3), (2, "Akado", 1)], "k int, c string, n int")
     web = spark.createDataFrame([(3, "Akado", 7), (1, None, 9)], "k int, c string, n int")
-    out = categorical.contact_matrix([(sms, "c", "n", "s_", None), (web, "c", "n", "w_", ["akado"])], "k")
-    assert out.columns == ["k", "s_akado", "s_domru", "w_akado"]
-    assert rows(out) == {(1, 0, 5, 0), (2, 1, 0, 0), (3, 0, 0, 7)}
+    sources = [(sms, "c", "n", "s_", None), (web, "c", "n", "w_", ["akado"])]
+    out = categorical.contact_matrix(sources, "k", other="rest")
+    assert out.columns == ["k", "s_akado", "s_domru", "s_rest", "w_akado", "w_rest"]
+    assert rows(out) == {(1, 0, 5, 0, 0, 9), (2, 1, 0, 0, 0, 0), (3, 0, 0, 0, 7, 0)}
+    with pytest.raises(Exception, match="not a listed value"):
+        categorical.contact_matrix(sources, "k").collect()
 
 
 def test_pivot_other(spark, rows):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "c", 4)], "k int, c string, n int")
     assert rows(categorical.pivot_counts(df, ["k"], "c", "n", "p_", ["a"], other="rest")) == {(1, 1, 6)}
     assert rows(categorical.pivot_counts(df, ["k"], "c", "n", "p_")) == {(1, 1, 2, 4)}
+    odd = df.union(df.select("k", F.lit(None).cast("string"), F.lit(8)))
+    total = categorical.pivot_counts(odd, ["k"], "c", "n", "p_", ["a", "b"], other="rest").first()
+    assert sum(total[1:]) == 7 + 3 * 8
+    with pytest.raises(Exception, match="not a listed value"):
+        categorical.pivot_counts(odd, ["k"], "c", "n", "p_").collect()
 
 
 def test_dictionary_lookup_is_bounded(spark):
