@@ -10,12 +10,12 @@ differ by D in all. The index has two levels.
   use fine groups (their point is a hash of the block's shingles), are its directory keys.
   Nothing similar is ever missed, and unlike a single shingle a block is
   rarely shared by chance, even through a passage that many documents hold.
-* Pages: within a directory key, documents of one component form a page with the
+* Pages: documents that directory keys bring together are paged by size, with the
   least and greatest size and the greatest count per coarse group. A pair of pages, then of
   documents, survives if the sum of coordinate minima can reach the overlap that t asks
   for. Survivors are verified on the whole sets.
 
-A key's documents are first paired with a leader only, and components are
+Each document is first paired with one leader only, and components are
 formed. Pages are joined just where a key still holds several
 components, so a group of near copies costs a link per copy, not all pairs, and no link
 that joins components is lost. Keys combine by minimum before their
@@ -38,6 +38,8 @@ from featuremart.llm.common import checkpointed, small_enough, stored
 from featuremart.llm.components import components
 
 GROUPS = 256
+FULL = 32767  # the greatest count of a group, which stands for itself and more
+PAGE = 2048  # documents of a page
 FOLDED = 32  # groups of a page's bounds: sums of every 32nd count
 IDS_SENT = 2_000_000  # ids of documents to verify that are sent to every task
 RATIO = 1.6  # size classes of the directory
@@ -121,7 +123,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
             for text in part["text"]:
                 s = shingles(text, words)
                 h = int(np.add.reduce(_mix(s ^ _MIX[0])).view(np.int64)) if len(s) else 0
-                rows.append((len(s), h, np.minimum(np.bincount(s.astype(np.int64) & (GROUPS - 1), minlength=GROUPS), 32767).astype(np.int16)))
+                rows.append((len(s), h, np.minimum(np.bincount(s.astype(np.int64) & (GROUPS - 1), minlength=GROUPS), FULL).astype(np.int16)))
             yield pd.DataFrame(rows, columns=["n", "h", "c"]).assign(id=part["id"].to_numpy())[["id", "n", "h", "c"]]
 
     return docs.mapInPandas(run, "id bigint, n bigint, h bigint, c array<smallint>")
@@ -161,7 +163,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 def _minima(a: Column, b: Column) -> Column:
     """Sum of coordinate minima; the greatest count stands for itself and more."""
-    least = lambda x, y: F.when((x == 32767) & (y == 32767), F.lit(1 << 40)).otherwise(F.least(x, y).cast("bigint"))
+    least = lambda x, y: F.when((x == FULL) & (y == FULL), F.lit(1 << 40)).otherwise(F.least(x, y).cast("bigint"))
     return F.aggregate(F.zip_with(a, b, least), F.lit(0).cast("bigint"), lambda t, x: t + x)
 
 
@@ -201,24 +203,72 @@ def _unfinished(members: DataFrame, found: DataFrame) -> DataFrame:
     return stored(placed.join(stored(split, "jaccard-keys"), "key"), "jaccard-open")
 
 
+def _within(left: pd.DataFrame, right: pd.DataFrame, same: bool, percent: int) -> list[tuple[int, int]]:
+    """Pairs of two pages whose sizes and coordinate minima can reach the overlap asked for."""
+    out = []
+    if not len(left) or not len(right):
+        return out
+    order = np.argsort(right["n"].to_numpy(), kind="stable")
+    points = np.stack(right["c"].to_numpy()[order])
+    sizes, ids, comps = (right[c].to_numpy()[order] for c in ("n", "id", "comp"))
+    for n, i, comp, point in zip(left["n"], left["id"], left["comp"], left["c"]):
+        lo, hi = np.searchsorted(sizes, -(-percent * n // 100)), np.searchsorted(sizes, 100 * n // percent, side="right")
+        other = lo + np.flatnonzero((comps[lo:hi] != comp) & ((ids[lo:hi] > i) | (not same)))
+        for k in range(0, len(other), 4096):
+            part = other[k : k + 4096]
+            overlap = np.minimum(points[part], point).sum(1, dtype=np.int64)
+            full = ((points[part] == FULL) & (point == FULL)).any(1)
+            good = part[full | (overlap * (100 + percent) >= (sizes[part] + n) * percent)]
+            out += [(min(i, j), max(i, j)) for j in ids[good].tolist()]
+    return out
+
+
 def _page_pairs(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents of different components that the bounds of pages leave."""
+    """Pairs of documents of different components that the bounds of pages and points leave.
+
+    Documents that share keys, directly or through others, are a family. A family of at most PAGE
+    documents is one page, and such pages travel together. A larger one is paged by
+    size, then at random. Pages of a family meet if their bounds allow it.
+    """
+    hub = stored(open_.groupBy("key").agg(F.min("id").alias("a")), "jaccard-hubs")
+    family = components(open_.join(hub, "key").select("a", F.col("id").alias("b")).distinct()).select("id", F.col("component").alias("family"))
+    docs = open_.select("id", "comp").distinct().join(small_enough(family, IDS_SENT), "id")
+    full = stored(docs.join(sketches.select("id", "n", "c"), "id"), "jaccard-points")
+    sizes = checkpointed(full.groupBy("family").count())
+    large = F.col("count") > PAGE
+    small_docs = sizes.where(~large).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    lots = max(1, -(-small_docs // PAGE))
+    step = F.floor(F.log("n") / math.log(1.05)).cast("bigint")
+    placed = full.join(small_enough(sizes, IDS_SENT), "family").withColumn("step", F.when(large, step).otherwise(0))
+    parts = placed.where(large).groupBy("family", "step").agg(F.ceil(F.count("*") / PAGE).alias("parts"))
+    placed = placed.join(small_enough(checkpointed(parts), IDS_SENT), ["family", "step"], "left")
+    page = F.when(large, F.col("step") * (1 << 32) + F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(0)
+    lot = F.when(large, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(lots)))
+    placed = stored(placed.select("id", "comp", "family", "n", "c", lot.alias("lot"), page.alias("page"), large.alias("large")), "jaccard-placed")
+
     folded = F.transform(F.sequence(F.lit(0), F.lit(FOLDED - 1)), lambda g: F.aggregate(F.sequence(g, F.lit(GROUPS - 1), F.lit(FOLDED)), F.lit(0), lambda t, i: t + F.get("c", i)))
-    points = stored(open_.select("id").distinct().join(sketches, "id").select("id", "n", folded.alias("c")), "jaccard-points")
-    full = open_.join(points, "id")
-    top = [F.max(F.get("c", i)).alias(f"t{i}") for i in range(FOLDED)]
-    pages = full.groupBy("key", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), *top)
-    pages = stored(pages.select("key", "comp", "lo", "hi", F.array(*(f"t{i}" for i in range(FOLDED))).alias("t")), "jaccard-page")
-    side = lambda df, x: df.select("key", *(F.col(c).alias(f"{c}{x}") for c in df.columns if c != "key"))
-    met = side(pages, "a").join(side(pages, "b"), "key").where("compa < compb")
-    met = met.where(f"hia * 100 >= lob * {percent} and hib * 100 >= loa * {percent}")
-    met = met.where(_reaches(_minima(F.col("ta"), F.col("tb")), F.col("loa"), F.col("lob"), percent))
-    # one key of each pair of pages is not enough: the pages of another key hold other documents
-    met = stored(met.select("key", "compa", "compb"), "jaccard-met")
-    sized = stored(open_.join(points.select("id", "n"), "id"), "jaccard-sized")
-    both = met.join(side(sized, "a"), ["key", "compa"]).join(side(sized, "b"), ["key", "compb"])
-    both = both.where(_reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), percent))
-    return both.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    top = [F.max(F.get("f", i)).alias(f"t{i}") for i in range(FOLDED)]
+    pages = placed.withColumn("f", folded).groupBy("lot", "page", "large").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), *top)
+    pages = checkpointed(pages.select("lot", "page", "large", "lo", "hi", F.array(*(f"t{i}" for i in range(FOLDED))).alias("t")))
+    side = lambda x: pages.select("lot", *(F.col(c).alias(f"{c}{x}") for c in ("page", "large", "lo", "hi", "t")))
+    met = side("a").join(side("b"), "lot").where("pagea <= pageb")
+    reach = _reaches(_minima(F.col("ta"), F.col("tb")), F.col("loa"), F.col("lob"), percent)
+    fits = F.expr(f"hia * 100 >= lob * {percent} and hib * 100 >= loa * {percent}")
+    met = checkpointed(met.where(~F.col("largea") | (reach & fits)).select("lot", "pagea", "pageb"))
+
+    def meet(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        if len(one) and one["pagea"].iloc[0] == one["pageb"].iloc[0]:
+            found = [p for _, g in one.groupby("family") if g["comp"].nunique() > 1 for p in _within(g, g, True, percent)]
+        else:
+            found = _within(one, two, False, percent)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    columns = ["lot", "pagea", "pageb", "id", "comp", "family", "n", "c"]
+    held = lambda x: placed.select("lot", F.col("page").alias(f"page{x}"), "id", "comp", "family", "n", "c")
+    one = met.join(held("a"), ["lot", "pagea"]).select(*columns).toDF(*columns)
+    two = met.where("pagea < pageb").join(held("b"), ["lot", "pageb"]).select(*columns).toDF(*columns)
+    keys = ["lot", "pagea", "pageb"]
+    return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
 def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -241,14 +291,7 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     edges = verified(_best(members.where("a <> id"), "id"))
     found = components(edges)
     open_ = _unfinished(members.select("key", "id"), found)
-    # where a key still holds several components, with another leader of each
-    if not open_.isEmpty():
-        last = open_.groupBy("key").agg(F.max_by("id", F.xxhash64("id")).alias("a"), F.max_by("comp", F.xxhash64("id")).alias("lead"))
-        tries = open_.join(stored(last, "jaccard-second"), "key").where("comp <> lead")
-        edges = edges.union(verified(_best(tries, "id", "lead")))
-        found = components(edges)
-        open_ = _unfinished(open_.select("key", "id"), found)
-    # and what is left by pages
+    # what is left where a key still holds several components
     if not open_.isEmpty():
         edges = edges.union(verified(_page_pairs(open_, sketches, percent)))
         found = components(edges)
