@@ -33,7 +33,7 @@ from featuremart.llm.common import checkpointed, remainder, stored, text_of
 
 HEAD = 1e-5
 #: Slots of each context's table, as powers of two: last two, four and six bytes, word so far.
-BITS = (20, 22, 24, 24)
+BITS = (18, 21, 23, 23)
 K = len(BITS)
 PRIOR = 0.1  # added to both counts of a slot
 STEPS = 4.5  # steps per unit of log odds; six bits of a table's byte
@@ -45,6 +45,8 @@ BATCH = 1 << 18  # bytes that are worked on together
 END = 10
 _GOLD = np.uint32(0x9E3779B1)
 _ODD = np.uint32(0x85EBCA6B)
+#: Bytes of a text after which weights and corrections are updated: often at first, then every 2048.
+_BLOCKS = np.unique(np.r_[64, 128, 192, 256, 384, 512, 768, 1024, 1536, np.arange(2048, 1 << 22, 2048)])
 _VALUE = ((np.arange(256) & 63) - 32).astype(np.float32) / np.float32(STEPS)
 
 
@@ -86,8 +88,11 @@ class Code:
         self.bit = np.array([a for b in range(256) for _, a in paths[b]], np.uint8)
 
 
-def decisions(data: np.ndarray, starts: np.ndarray, code: Code):
-    """Per decision the byte's place and the answer, and per context the slot; ``starts``: where texts begin."""
+def decisions(data: np.ndarray, starts: np.ndarray, code: Code, order: np.ndarray | None = None):
+    """Where each byte's decisions end, the answers, and per context the slots.
+
+    ``starts``: where texts begin; ``order``: the bytes in the order wanted, after their contexts are known.
+    """
     n = len(data)
     wide = data.astype(np.uint32)
     last = []
@@ -112,12 +117,15 @@ def decisions(data: np.ndarray, starts: np.ndarray, code: Code):
     word = (sums[:n] - sums[begin]) * inverse[begin]
     word = ((word ^ (word >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(32)).astype(np.uint32)
 
+    contexts = (two, four, six, word)
+    if order is not None:
+        data, contexts = data[order], [c[order] for c in contexts]
     lengths = code.length[data]
     ends = np.cumsum(lengths)
     flat = np.repeat(code.start[data] - (ends - lengths), lengths) + np.arange(ends[-1])
     node, bit = code.node[flat], code.bit[flat]
     slots = []
-    for c, bits in zip((two, four, six, word), BITS):
+    for c, bits in zip(contexts, BITS):
         h = np.repeat(c * _GOLD, lengths) ^ node
         h ^= h >> np.uint32(15)
         h *= _GOLD
@@ -145,46 +153,46 @@ def _batches(texts: Iterator[bytes], limit: int = BATCH) -> Iterator[list[bytes]
 def mixed_loss(texts: list[bytes], code: Code, tables: list[np.ndarray]) -> np.ndarray:
     """Nats that each text costs. All texts advance together; each has weights and corrections of its own."""
     data, starts = _joined(texts)
-    ends, bit, slots = decisions(data, starts, code)
+    m = len(texts)
+    sizes = np.r_[starts[1:], len(data)] - starts
+    lane = np.repeat(np.arange(m), sizes)
+    offset = np.arange(len(data)) - starts[lane]
+    block = np.searchsorted(_BLOCKS, offset, side="right")
+    order = np.argsort(block.astype(np.uint16), kind="stable")  # all texts' first blocks, then all second ones
+    ends, bit, slots = decisions(data, starts, code, order)
+    lengths = np.diff(ends, prepend=0)
+    lane = np.repeat(lane[order], lengths)
+    teaching = np.flatnonzero(np.repeat(offset[order] % 3 == 0, lengths))  # the decisions of every third byte
     x = np.empty((len(bit), K), np.float32)
     for k in range(K):
         packed = tables[k].take(slots[k], mode="clip")
         x[:, k] = _VALUE.take(packed, mode="clip")
         if k >= K - 2:  # the two longest contexts choose the weights
             gate = packed >> 6 if k == K - 2 else gate | (packed >> 4) & 12
-    first = np.r_[0, ends][starts]
-    size = np.r_[first[1:], ends[-1]] - first
-    m = len(texts)
+    gates = lane * GATES + gate
     weights = np.tile(WEIGHTS, (m, 1))
     extra = np.zeros(m * CLASSES, np.float32)
     loss = np.zeros(m)
-    order = np.argsort(-size, kind="stable")
-    sorted_size = -size[order]
-    at, width = 0, 256
-    while at < -sorted_size[0]:
-        live = order[: np.searchsorted(sorted_size, -at, side="left")]
-        n = np.minimum(size[live] - at, width)
-        begin = np.cumsum(n) - n
-        lane = np.repeat(live, n)
-        i = np.arange(len(lane)) + np.repeat(first[live] + at - begin, n)
-        xs = x.take(i, axis=0, mode="clip")
-        g = lane * GATES + gate.take(i, mode="clip")
+    borders = np.r_[0, ends[np.flatnonzero(np.diff(block[order], append=-1))]]
+    taught = np.searchsorted(teaching, borders)
+    for lo, hi, a, b in zip(borders, borders[1:], taught, taught[1:]):
+        xs, g, here = x[lo:hi], gates[lo:hi], lane[lo:hi]
         z = np.einsum("ij,ij->i", weights.take(g, axis=0, mode="clip"), xs)
-        c = lane * CLASSES + np.clip((z + 8) * 2, 0, CLASSES - 1).astype(np.int64)
-        z = np.clip(z + extra.take(c, mode="clip"), -12, 12)
-        y = bit.take(i, mode="clip").astype(np.float32)
+        c = here * CLASSES + np.clip((z + 8) * 2, 0, CLASSES - 1).astype(np.int64)
+        z += extra.take(c, mode="clip")
+        np.clip(z, -12, 12, out=z)
+        y = bit[lo:hi]
         e = np.exp(-np.abs(z))
-        p = np.where(z >= 0, np.float32(1), e) / (1 + e)
-        costs = np.maximum(np.where(y > 0, -z, z), 0) + np.log(1 + e)
-        loss[live] += np.add.reduceat(costs, begin, dtype=np.float64)
-        # every other decision teaches
-        err, curve, xs, g, c = (y - p)[::2], (p * (1 - p))[::2], xs[::2], g[::2], c[::2]
+        one = 1 + e
+        costs = np.maximum(np.where(y, -z, z), 0) + np.log(one)
+        loss += np.bincount(here, costs, m)
+        t = teaching[a:b] - lo
+        p = np.where(z[t] >= 0, np.float32(1), e[t]) / one[t]
+        err, curve, xs, g, c = y[t] - p, p * (1 - p), xs[t], g[t], c[t]
         slope = np.bincount(g, curve * np.einsum("ij,ij->i", xs, xs), m * GATES) + 30
         for k in range(K):
             weights[:, k] += RATE * np.bincount(g, err * xs[:, k], m * GATES) / slope
         extra += (REFINE * np.bincount(c, err, m * CLASSES) / (np.bincount(c, curve, m * CLASSES) + 6)).astype(np.float32)
-        at += width
-        width = min(2 * width, 8192) if at >= 1024 else width
     return loss
 
 
@@ -243,7 +251,10 @@ def _count_blocks(docs: DataFrame, code: Code) -> DataFrame:
                 if part.any():
                     yield pd.DataFrame({"k": [k], "block": [b // (2 << BLOCK)], "counts": [zlib.compress(part.tobytes(), 1)]})
 
-    rows = docs.select("text").mapInPandas(run, "k int, block int, counts binary")
+    # each task sends its tables once, so fewer and longer tasks send less
+    tasks = docs.rdd.getNumPartitions()
+    light = docs.select("text").coalesce(max(1, tasks // 4, min(tasks, 2 * docs.sparkSession.sparkContext.defaultParallelism)))
+    rows = light.mapInPandas(run, "k int, block int, counts binary")
     return rows.withColumn("task", F.spark_partition_id())
 
 
