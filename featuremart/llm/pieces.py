@@ -231,8 +231,8 @@ class Vocabulary:
             total += tail[1]
         return ids, total
 
-    def decode(self, ids) -> str:
-        """The text of a list of pieces; the blank put before every text goes."""
+    def decode(self, ids, whole: bool = True) -> str:
+        """The text of a list of pieces; the blank put before every ``whole`` text goes."""
         out, raw = [], bytearray()
         for i in ids:
             b = self.bytes.get(i)
@@ -245,7 +245,7 @@ class Vocabulary:
             out.append(self.pieces[i])
         if raw:
             out.append(raw.decode("utf-8", "replace"))
-        return "".join(out)[1:]
+        return "".join(out)[1 if whole else 0 :]
 
     def transfer(self, text: str, size: int, memo: dict) -> np.ndarray:
         """Best scores from entry to exit states of a chunk: ``text`` is the chunk of ``size`` and what may follow it."""
@@ -315,34 +315,41 @@ def _shared(spark: SparkSession, vocabulary: Vocabulary):
     return spark.sparkContext.broadcast((vocabulary.model, vocabulary.scale))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "pieces", chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "pieces", chunk: int = CHUNK, check: str | None = None) -> DataFrame:
     """``docs`` with the piece ids of each text in ``out`` (``array<int>``, replaced if there).
 
+    ``check`` names a column that tells whether decoding the pieces gives the text back. It is found where the
+    text is encoded, which saves the second Python worker that a decoding step in the same stage would need.
+
     Empty and null texts have no pieces. Texts of more than ``chunk`` code points take the
     scan; the total score does not depend on ``chunk``, and equal scores across a boundary are the
     only case where the pieces may. All rows are kept, repeated ones too; other columns pass through.
     """
     if chunk < 2 * vocabulary.reach:
         raise ValueError("a chunk must be longer than two pieces")
-    docs = docs.drop(out)
+    docs = docs.drop(out, *([check] if check else []))
     shared = _shared(docs.sparkSession, vocabulary)
-    (size,) = fresh(docs, "size")
+    size, both, exact = fresh(docs, "size", "both", "exact")
     sized = docs.withColumn(size, F.length(text_of(text)))
     short, giant = sized.where(F.col(size) < chunk).drop(size), sized.where(F.col(size) >= chunk).drop(size)
 
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         v, memo = Vocabulary(*shared.value), {}
         for texts in batches:
             for (part,) in _slices(texts.fillna("")):
                 part = [f" {t}" if t else "" for t in part]
                 v.remember(part, memo)
-                yield pd.Series([np.array(v.encode(t, memo)[0], np.int32) for t in part], dtype=object)
+                ids = [v.encode(t, memo)[0] for t in part]
+                same = [not check or v.decode(i) == t[1:] for i, t in zip(ids, part)]
+                yield pd.DataFrame({"p": [np.array(i, np.int32) for i in ids], "ok": same})
 
-    done = short.withColumn(out, F.pandas_udf(whole, "array<int>")(F.col(text)))
-    return done.unionByName(_giants(giant, shared, vocabulary, text, out, chunk))
+    done = short.withColumn(both, F.pandas_udf(whole, "p array<int>, ok boolean")(F.col(text)))
+    done = done.select(*docs.columns, F.col(both)["p"].alias(out), F.col(both)["ok"].alias(exact))
+    found = done.unionByName(_giants(giant, shared, vocabulary, text, out, chunk, exact, bool(check)))
+    return found.withColumnRenamed(exact, check) if check else found.drop(exact)
 
 
-def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str, chunk: int) -> DataFrame:
+def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str, chunk: int, exact: str, check: bool) -> DataFrame:
     """Encoding of texts by chunks, which are dealt to tasks one by one.
 
     The chunks are stored once, with the row's other columns on its first chunk. Texts are shuffled twice in
@@ -368,16 +375,18 @@ def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str
         s = boundary_states(np.frombuffer(b"".join(group["m"]), np.int64).reshape(len(group), reach, reach))
         return pd.DataFrame({row: group[row], at: group[at], "s": s[:-1], "e": s[1:]})
 
-    def backtrace(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def backtrace(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         v, memo = Vocabulary(*shared.value), {}
         for batch in batches:
             for texts, entry, leave in _slices(*batch):
                 v.remember(texts, memo)
-                found = []
+                found, same = [], []
                 for t, s, e in zip(texts, entry, leave):
                     size = min(chunk, len(t))
-                    found.append(np.array(v.encode(t[s : size + e], memo, size - s)[0], kind).tobytes())
-                yield pd.Series(found, dtype=object)
+                    ids = v.encode(t[s : size + e], memo, size - s)[0]
+                    found.append(np.array(ids, kind).tobytes())
+                    same.append(not check or v.decode(ids, whole=False) == t[s : size + e])
+                yield pd.DataFrame({"p": found, "ok": same})
 
     def joined(raw: pd.Series) -> pd.Series:
         return pd.Series([np.frombuffer(b"".join(x), kind).astype(np.int32) for x in raw], dtype=object)
@@ -391,15 +400,16 @@ def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str
     found = scored.groupBy(row).applyInPandas(combine, f"`{row}` bigint, `{at}` int, s int, e int")
     found = small_enough(stored(found, "boundary-states"), STATES_SENT)
     traced = chunks.join(found, [row, at]).select(
-        row, at, rest, F.substring(part, 1, chunk).alias(part), F.pandas_udf(backtrace, "binary")(F.col(part), F.col("s"), F.col("e")).alias(pieces)
+        row, at, rest, F.substring(part, 1, chunk).alias(part), F.pandas_udf(backtrace, "p binary, ok boolean")(F.col(part), F.col("s"), F.col("e")).alias(pieces)
     )
     whole = traced.groupBy(row).agg(F.sort_array(F.collect_list(F.struct(at, part, pieces, rest))).alias(part))
     whole = whole.select(
         F.col(part)[0][rest].alias(rest),
         F.substring(F.concat_ws("", F.col(f"{part}.{part}")), 2, (1 << 31) - 1).alias(text),
-        F.pandas_udf(joined, "array<int>")(F.col(f"{part}.{pieces}")).alias(out),
+        F.pandas_udf(joined, "array<int>")(F.col(f"{part}.{pieces}.p")).alias(out),
+        F.forall(F.col(f"{part}.{pieces}.ok"), lambda x: x).alias(exact),
     )
-    return whole.select(*(F.col(text) if c == text else F.col(rest)[c].alias(c) for c in docs.columns), out)
+    return whole.select(*(F.col(text) if c == text else F.col(rest)[c].alias(c) for c in docs.columns), out, exact)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", out: str = "decoded") -> DataFrame:

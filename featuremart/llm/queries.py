@@ -114,9 +114,8 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = pieces.load_vocabulary()
-    coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
-    both = pieces.decode(coded, vocabulary)
-    return both.select("doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces", (F.col("decoded") == text_of("text")).alias("same_text"))
+    coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary, check="same_text")
+    return coded.select("doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces", "same_text")
 
 
 # ---------------------------------------------------------------- 7: mixing

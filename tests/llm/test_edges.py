@@ -148,7 +148,8 @@ def test_classifier(spark, odd, none):
 def test_pieces_of_chunks(spark, odd, none):
     v = pieces.load_vocabulary()
     for chunk in (48, 8192):
-        rows = pieces.encode(odd, v, chunk=chunk).collect()
+        rows = pieces.encode(odd, v, chunk=chunk, check="same").collect()
+        assert all(r.same for r in rows)
         assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd.collect())
         for r in rows:
             assert v.decode(r.pieces) == (r.text or "") and r._group == "g"
