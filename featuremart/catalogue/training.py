@@ -553,3 +553,36 @@ def lift(t: Tables):
     return lift_table(scored(t), "quality", "score", ["doc_id"], unique=True)
 
 
+
+
+_REPORT = ["target_cnt", "cnt", "target_share", "lift", "cum_lift", "coverage"]
+_CONFUSION = f"""
+select 'act_POS' as item, count(case when quality = 1 and score > 30 then 1 end) as pred_POS,
+  count(case when quality = 1 and score <= 30 then 1 end) as pred_NEG from {_SCORED}
+union all select 'act_NEG', count(case when quality = 0 and score > 30 then 1 end),
+  count(case when quality = 0 and score <= 30 then 1 end) from {_SCORED}
+"""
+
+
+def _long_sql(part: str, source: str, item: str, metrics: list[str]) -> str:
+    return " union all ".join(
+        f"select '{part}' as part, {item} as item, '{m}' as metric, cast({m} as double) as value from {source}" for m in metrics
+    )
+
+
+@query(
+    "quality_report",
+    f"with c as ({_CONFUSION}), l as (select * from ({lift_sql(_SCORED, 10)})) "
+    + _long_sql("confusion", "c", "item", ["pred_POS", "pred_NEG"])
+    + " union all "
+    + _long_sql("lift", "l", "cast(top as varchar)", _REPORT),
+)
+def quality_report(t: Tables):
+    """Both tables of the report, in long form."""
+    matrix, lifts = training.quality_report(scored(t), "quality", "score", ["doc_id"], 30, 10)
+
+    def long(df, part, item, metrics):
+        numbers = df.select(F.col(item).cast("string").alias("item"), *[F.col(m).cast("double").alias(m) for m in metrics])
+        return numbers.unpivot("item", metrics, "metric", "value").select(F.lit(part).alias("part"), "item", "metric", "value")
+
+    return stack(long(matrix, "confusion", "actual", ["pred_POS", "pred_NEG"]), long(lifts, "lift", "top", _REPORT))
