@@ -6,7 +6,8 @@ decisions than eight plain bits). For each decision several hashed contexts - th
 two, four and six bytes, and the word so far - give the log odds of what the training
 corpus did there. A gate, chosen by how sure the longer contexts are, selects the weights that
 combine them; the sum is refined by an adaptive correction per class of
-certainty. Weights and corrections start from constants and are updated online along each text, block by block.
+certainty. Weights and corrections are updated online along each text, block by block, and every decision teaches.
+They start from what one fold of the training texts (LEARN) shows under the counts of the others.
 The score is the probability of all decisions.
 
 Counting takes every training text: tasks add decisions up in tables of bounded size, whose blocks
@@ -45,14 +46,14 @@ BATCH = 1 << 18  # bytes that are worked on together
 END = 10
 _GOLD = np.uint32(0x9E3779B1)
 _ODD = np.uint32(0x85EBCA6B)
-#: Bytes of a text after which weights and corrections are updated: often at first, then every 2048.
-_BLOCKS = np.unique(np.r_[64, 128, 192, 256, 384, 512, 768, 1024, 1536, np.arange(2048, 1 << 22, 2048)])
 _VALUE = ((np.arange(256) & 63) - 32).astype(np.float32) / np.float32(STEPS)
 
 
-#: Weights that every text starts from, in all gates, and how fast weights and corrections follow its decisions.
+#: Weights before anything is learnt, in all gates, and how fast weights and corrections follow a text's decisions.
 WEIGHTS = np.tile(np.array([0.2, 0.4, 0.3, 0.3], np.float32), (GATES, 1))
 RATE, REFINE = 0.5, 0.2
+#: Modulus of the second hash whose class 0 of the training texts teaches the starting weights, and Newton steps.
+LEARN, NEWTON = 6, 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -139,8 +140,12 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _batches(texts: Iterator[bytes], limit: int = BATCH) -> Iterator[list[bytes]]:
+    """Lists of about ``limit`` bytes; a text above it is alone."""
     held, size = [], 0
     for t in texts:
+        if held and len(t) >= limit:
+            yield held
+            held, size = [], 0
         held.append(t)
         size += len(t)
         if size >= limit:
@@ -150,35 +155,51 @@ def _batches(texts: Iterator[bytes], limit: int = BATCH) -> Iterator[list[bytes]
         yield held
 
 
-def mixed_loss(texts: list[bytes], code: Code, tables: list[np.ndarray]) -> np.ndarray:
-    """Nats that each text costs. All texts advance together; each has weights and corrections of its own."""
+def borders_of(longest: int) -> np.ndarray:
+    """Bytes of a text after which weights and corrections are updated: often at first, then every 2048, to its end."""
+    return np.r_[64, 128, 192, 256, 384, 512, 768, 1024, 1536, np.arange(2048, longest + 1, 2048)]
+
+
+def _inputs(slots: list[np.ndarray], tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of all contexts and the gate of each decision."""
+    x = np.empty((len(slots[0]), K), np.float32)
+    for k in range(K):
+        packed = tables[k].take(slots[k], mode="clip")
+        x[:, k] = _VALUE.take(packed, mode="clip")
+        if k >= K - 2:  # the two longest contexts choose the weights
+            gate = packed >> 6 if k == K - 2 else gate | (packed >> 4) & 12
+    return x, gate
+
+
+def _certainty(z: np.ndarray) -> np.ndarray:
+    return np.clip((z + 8) * 2, 0, CLASSES - 1).astype(np.int64)
+
+
+def mixed_loss(texts: list[bytes], code: Code, tables: list[np.ndarray], start: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Nats that each text costs. All texts advance together; each has weights and corrections of its own.
+
+    ``start``: the weights per gate and corrections per class that every text starts from.
+    """
     data, starts = _joined(texts)
     m = len(texts)
     sizes = np.r_[starts[1:], len(data)] - starts
     lane = np.repeat(np.arange(m), sizes)
     offset = np.arange(len(data)) - starts[lane]
-    block = np.searchsorted(_BLOCKS, offset, side="right")
-    order = np.argsort(block.astype(np.uint16), kind="stable")  # all texts' first blocks, then all second ones
+    block = np.searchsorted(borders_of(int(sizes.max())), offset, side="right")
+    order = np.argsort(block.astype(np.min_scalar_type(block.max())), kind="stable")  # all texts' first blocks, then all second ones
     ends, bit, slots = decisions(data, starts, code, order)
-    lengths = np.diff(ends, prepend=0)
-    lane = np.repeat(lane[order], lengths)
-    teaching = np.flatnonzero(np.repeat(offset[order] % 3 == 0, lengths))  # the decisions of every third byte
-    x = np.empty((len(bit), K), np.float32)
-    for k in range(K):
-        packed = tables[k].take(slots[k], mode="clip")
-        x[:, k] = _VALUE.take(packed, mode="clip")
-        if k >= K - 2:  # the two longest contexts choose the weights
-            gate = packed >> 6 if k == K - 2 else gate | (packed >> 4) & 12
+    lane = np.repeat(lane[order], np.diff(ends, prepend=0))
+    x, gate = _inputs(slots, tables)
     gates = lane * GATES + gate
-    weights = np.tile(WEIGHTS, (m, 1))
-    extra = np.zeros(m * CLASSES, np.float32)
+    first, refined = start or (WEIGHTS, np.zeros(CLASSES, np.float32))
+    weights = np.tile(first.astype(np.float32), (m, 1))
+    extra = np.tile(refined.astype(np.float32), m)
     loss = np.zeros(m)
     borders = np.r_[0, ends[np.flatnonzero(np.diff(block[order], append=-1))]]
-    taught = np.searchsorted(teaching, borders)
-    for lo, hi, a, b in zip(borders, borders[1:], taught, taught[1:]):
+    for lo, hi in zip(borders, borders[1:]):
         xs, g, here = x[lo:hi], gates[lo:hi], lane[lo:hi]
         z = np.einsum("ij,ij->i", weights.take(g, axis=0, mode="clip"), xs)
-        c = here * CLASSES + np.clip((z + 8) * 2, 0, CLASSES - 1).astype(np.int64)
+        c = here * CLASSES + _certainty(z)
         z += extra.take(c, mode="clip")
         np.clip(z, -12, 12, out=z)
         y = bit[lo:hi]
@@ -186,9 +207,8 @@ def mixed_loss(texts: list[bytes], code: Code, tables: list[np.ndarray]) -> np.n
         one = 1 + e
         costs = np.maximum(np.where(y, -z, z), 0) + np.log(one)
         loss += np.bincount(here, costs, m)
-        t = teaching[a:b] - lo
-        p = np.where(z[t] >= 0, np.float32(1), e[t]) / one[t]
-        err, curve, xs, g, c = y[t] - p, p * (1 - p), xs[t], g[t], c[t]
+        p = np.where(z >= 0, np.float32(1), e) / one
+        err, curve = y - p, p * (1 - p)
         slope = np.bincount(g, curve * np.einsum("ij,ij->i", xs, xs), m * GATES) + 30
         for k in range(K):
             weights[:, k] += RATE * np.bincount(g, err * xs[:, k], m * GATES) / slope
@@ -196,6 +216,56 @@ def mixed_loss(texts: list[bytes], code: Code, tables: list[np.ndarray]) -> np.n
     return loss
 
 
+def lesson(texts: list[bytes], code: Code, tables: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """Sums over all decisions: per gate the slope and the upper half of the curvature in the weights, per class of certainty error and curvature."""
+    data, starts = _joined(texts)
+    _, y, slots = decisions(data, starts, code)
+    x, g = _inputs(slots, tables)
+    z = np.einsum("ij,ij->i", weights.astype(np.float32).take(g, axis=0), x)
+    c = _certainty(z)
+    p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
+    err, curve = y - p, p * (1 - p)
+    parts = [np.bincount(g, err * x[:, k], GATES) for k in range(K)]
+    parts += [np.bincount(g, curve * x[:, i] * x[:, j], GATES) for i in range(K) for j in range(i, K)]
+    return np.concatenate([*parts, np.bincount(c, err, CLASSES), np.bincount(c, curve, CLASSES)])
+
+
+def newton(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Weights after one step on the sums of ``lesson``; a gate with few decisions moves little."""
+    slope, upper = sums[: K * GATES].reshape(K, GATES).T, sums[K * GATES : -2 * CLASSES].reshape(-1, GATES)
+    curve = np.zeros((GATES, K, K))
+    for n, (i, j) in enumerate((i, j) for i in range(K) for j in range(i, K)):
+        curve[:, i, j] = curve[:, j, i] = upper[n]
+    return weights + np.linalg.solve(curve + 30 * np.eye(K), slope[:, :, None])[:, :, 0]
+
+
+def corrections(sums: np.ndarray) -> np.ndarray:
+    return sums[-2 * CLASSES : -CLASSES] / (sums[-CLASSES:] + 6)
+
+
+def learnt(docs: DataFrame, code: Code, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Starting weights and corrections from texts that the tables have not counted."""
+    sent = docs.sparkSession.sparkContext.broadcast([t.tobytes() for t in tables])
+
+    def summed(weights: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            counted = [np.frombuffer(t, np.uint8) for t in sent.value]
+            total = np.zeros(GATES * (K + K * (K + 1) // 2) + 2 * CLASSES)
+            for texts in _batches(stream(words_of(t)) for part in batches for t in part["text"]):
+                total += lesson(texts, code, counted, weights)
+            yield pd.DataFrame({"i": np.arange(len(total)), "v": total})
+
+        sums = np.zeros(GATES * (K + K * (K + 1) // 2) + 2 * CLASSES)
+        for r in docs.select("text").mapInPandas(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # a row per sum
+            sums[r["i"]] = r["v"]
+        return sums
+
+    weights = WEIGHTS.astype(float)
+    for _ in range(NEWTON):
+        weights = newton(weights, summed(weights))
+    return weights, corrections(summed(weights))
+
+
 def count_tables(texts: Iterator[bytes], code: Code) -> list[np.ndarray]:
     """How often each slot's decision was no (even places) and yes (odd places)."""
     tables = [np.zeros(2 << b, np.uint32) for b in BITS]
@@ -239,8 +309,8 @@ def _word_rows(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(run, "kind int, key bigint, c bigint")
 
 
-def _count_blocks(docs: DataFrame, code: Code) -> DataFrame:
-    """``k, block, task, counts``: each task's tables, in packed blocks."""
+def _count_blocks(docs: DataFrame, code: Code, part: int) -> DataFrame:
+    """``k, block, counts, task, part``: each task's tables, in packed blocks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = (stream(words_of(t)) for part in batches for t in part["text"])
@@ -255,7 +325,7 @@ def _count_blocks(docs: DataFrame, code: Code) -> DataFrame:
     tasks = docs.rdd.getNumPartitions()
     light = docs.select("text").coalesce(max(1, tasks // 4, min(tasks, 2 * docs.sparkSession.sparkContext.defaultParallelism)))
     rows = light.mapInPandas(run, "k int, block int, counts binary")
-    return rows.withColumn("task", F.spark_partition_id())
+    return rows.withColumn("task", F.spark_partition_id()).withColumn("part", F.lit(part))
 
 
 def _sum_blocks(counts: pd.Series) -> np.ndarray:
@@ -267,29 +337,30 @@ def _sum_blocks(counts: pd.Series) -> np.ndarray:
 
 
 def _merged(blocks: DataFrame, tasks: int) -> DataFrame:
-    """``k, block, odds``; no task holds more than FAN tables' blocks at once."""
+    """``k, block, odds, first``: of all counts, and of part 0 alone; no task holds more than FAN tables' blocks of a part at once."""
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         one = group.iloc[0]
-        return pd.DataFrame({"k": [one["k"]], "block": [one["block"]], "task": [one["task"] // FAN], "counts": [zlib.compress(_sum_blocks(group["counts"]).tobytes(), 1)]})
+        return pd.DataFrame({"k": [one["k"]], "block": [one["block"]], "task": [one["task"] // FAN], "part": [one["part"]], "counts": [zlib.compress(_sum_blocks(group["counts"]).tobytes(), 1)]})
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
-        one = group.iloc[0]
-        return pd.DataFrame({"k": [one["k"]], "block": [one["block"]], "odds": [odds(_sum_blocks(group["counts"])).tobytes()]})
+        one, first = group.iloc[0], group["counts"][group["part"] == 0]
+        return pd.DataFrame({"k": [one["k"]], "block": [one["block"]], "odds": [odds(_sum_blocks(group["counts"])).tobytes()], "first": [odds(_sum_blocks(first)).tobytes()]})
 
     while tasks > FAN:
-        blocks = blocks.groupBy("k", "block", F.expr(f"task div {FAN}")).applyInPandas(add, "k int, block int, task int, counts binary")
+        blocks = blocks.groupBy("k", "block", "part", F.expr(f"task div {FAN}")).applyInPandas(add, "k int, block int, task int, part int, counts binary")
         tasks = -(-tasks // FAN)
-    return blocks.groupBy("k", "block").applyInPandas(finish, "k int, block int, odds binary")
+    return blocks.groupBy("k", "block").applyInPandas(finish, "k int, block int, odds binary, first binary")
 
 
-def _tables(rows) -> list[np.ndarray]:
-    tables = [np.full(1 << b, 32, np.uint8) for b in BITS]
+def _tables(rows) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    both = tuple([np.full(1 << b, 32, np.uint8) for b in BITS] for _ in range(2))
     for r in rows:
         at = r["block"] << BLOCK
-        part = np.frombuffer(r["odds"], np.uint8)
-        tables[r["k"]][at : at + (1 << BLOCK)] = part[: len(tables[r["k"]]) - at]
-    return tables
+        for tables, name in zip(both, ("odds", "first")):
+            part = np.frombuffer(r[name], np.uint8)
+            tables[r["k"]][at : at + (1 << BLOCK)] = part[: len(tables[r["k"]]) - at]
+    return both
 
 
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
@@ -310,8 +381,12 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
         seen[r["key"]] = r["c"]
     code = Code(seen)
     spark = docs.sparkSession
-    blocks = _count_blocks(train, code)
-    tables = _tables(_merged(blocks, train.rdd.getNumPartitions()).toLocalIterator())
+    # the hash of the reversed id is another than the one that holds texts out
+    teaches = F.crc32(F.reverse(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("~")))) % LEARN == 0
+    counted, taught = train.where(~teaches), train.where(teaches)
+    blocks = _count_blocks(counted, code, 0).union(_count_blocks(taught, code, 1))
+    tables, first = _tables(_merged(blocks, train.rdd.getNumPartitions()).toLocalIterator())
+    start = learnt(taught, code, first)
     sent = spark.sparkContext.broadcast(([t.tobytes() for t in tables], head))
 
     def known(h: list[int], head: dict):
@@ -345,7 +420,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
                 rows = part.iloc[done : done + len(texts)]
                 here = facts[done : done + len(texts)]
                 done += len(texts)
-                loss = mixed_loss(texts, code, tables)
+                loss = mixed_loss(texts, code, tables, start)
                 yield pd.DataFrame({
                     "row": [key_of(i, t) for i, t in zip(rows["doc_id"], rows["text"])], "n_tokens": [f[0] for f in here], "head_sum": [f[1] for f in here],
                     "head_known": [f[2] for f in here], "n_bytes": [len(t) for t in texts], "nats": loss, "doc_id": rows["doc_id"].to_numpy(), "held_out": rows["held_out"].to_numpy(),

@@ -203,6 +203,32 @@ def test_joined_texts_cost_what_each_costs():
     assert np.allclose(together, [mixing_lm.mixed_loss([t], code, tables)[0] for t in texts])
 
 
+def test_every_decision_teaches():
+    """With tables that know nothing, only what a text itself teaches can lower its cost."""
+    code = mixing_lm.Code(np.ones(256))
+    tables = [np.full(1 << b, 32, np.uint8) for b in mixing_lm.BITS]
+    answers = [code.bit[s : s + n].mean() for s, n in zip(code.start, code.length)]
+    no, yes = (bytes([answers.index(v)]) for v in (0, 1))
+    for text in (no + yes + yes, yes + no + yes, yes + yes + no):
+        assert mixing_lm.mixed_loss([text * 4000], code, tables)[0] < 0.97 * 12000 * 8 * np.log(2)
+    assert np.diff(mixing_lm.borders_of(9 << 20)).max() == 2048 and mixing_lm.borders_of(9 << 20)[-1] == 9 << 20
+
+
+def test_starting_weights_are_learnt_per_gate():
+    rng = np.random.default_rng(3)
+    code = mixing_lm.Code(np.ones(256))
+    other, texts = ([b" ".join(rng.choice([b"the", b"cat", b"sat", b"on", b"mats"], 40)) + b" \n" for _ in range(60)] for _ in range(2))
+    tables = [mixing_lm.odds(t) for t in mixing_lm.count_tables(iter(other), code)]
+    weights = mixing_lm.WEIGHTS.astype(float)
+    for _ in range(mixing_lm.NEWTON):
+        weights = mixing_lm.newton(weights, mixing_lm.lesson(texts, code, tables, weights))
+    start = weights, mixing_lm.corrections(mixing_lm.lesson(texts, code, tables, weights))
+    assert len(np.unique(weights.round(6), axis=0)) > 1
+    short = [t[:30] for t in texts]
+    for some, begin in ((texts, start), (short, (weights, np.zeros(mixing_lm.CLASSES)))):
+        assert mixing_lm.mixed_loss(some, code, tables, begin).sum() < mixing_lm.mixed_loss(some, code, tables).sum()
+
+
 def test_jaccard(odd, none):
     rows = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(odd).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (6, 9, 6), (7, 10, 6), (None, 0, None)} <= rows
