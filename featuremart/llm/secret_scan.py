@@ -5,9 +5,10 @@ alphabet that covers one is its encoding. The battery asks whether the string
 looks like uniform draws from that alphabet: chi-squared of symbol counts, the
 number of runs above and below the middle, and serial correlation. The
 evidence against ordinary text is the likelihood ratio of uniform draws to
-draws with the corpus' rates of lower-case, capital, digit and other
-characters; by Markov's inequality its inverse is a p-value, which falls with
-the length of the string. Benjamini and Hochberg's rule over all tested
+draws with the corpus' rates of each letter and digit and of the other
+characters; a string of one case is compared with letters at the rates of both cases together, so
+a long word looks like text and long random letters do not. By Markov's
+inequality its inverse is a p-value, which falls with the length of the string. Benjamini and Hochberg's rule over all tested
 strings of the corpus bounds the false discoveries.
 
 Texts are read once: spans and test figures go to a narrow stored table, from which
@@ -30,8 +31,6 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
-#: Letters of one case alone may be an ordinary word, however long; they give no evidence.
-MIXED = r"[0-9+/_-]|[a-z][A-Z]|[A-Z][a-z]"
 KINDS = ("assign", "access", "hex", "random")
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,6 +48,7 @@ ENCODINGS = (
     (r"^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     (r"", UPPER + LOWER + DIGITS + "+/_-"),
 )
+LETTERS = LOWER + UPPER + DIGITS
 BUCKETS = 4000  # classes of p-values, ten per power of ten
 
 
@@ -132,9 +132,9 @@ def battery(m: Column) -> Column:
     return bind(F.struct(letters.alias("a"), m.alias("m")), tests)
 
 
-def _class_counts(t: Column) -> list[Column]:
-    n = F.length(t)
-    return [(n - F.length(F.translate(t, letters, ""))).cast("bigint") for letters in (LOWER, UPPER, DIGITS)]
+def _counts(t: Column) -> Column:
+    """How often each of ``LETTERS`` is in ``t``."""
+    return F.transform(F.array(*map(F.lit, LETTERS)), lambda c: (F.length(t) - F.length(F.replace(t, c))).cast("bigint"))
 
 
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", false_share: float = 1e-3, chance: float = 1e-3) -> DataFrame:
@@ -144,8 +144,7 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", false_share: f
     overlap none of these, pass the battery (three squared deviations, at most
     the chi-square quantile of ``chance``) and are discoveries at
     ``false_share``. Positions count code points, the end is exclusive. A null text has no
-    spans; every row gives a row, also repeated ones; extra columns are ignored. A run of one
-    class of characters in a text without others gives no evidence.
+    spans; every row gives a row, also repeated ones; extra columns are ignored.
     """
     t = text_of(text)
     tested = F.when(F.rlike(t, F.lit(CANDIDATE)), spans_of(t, CANDIDATE)).otherwise(_none())
@@ -153,28 +152,34 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", false_share: f
     def free(both: Column) -> Column:
         clear = lambda c: ~F.exists(both["b"], lambda x: (x["s"] < c["e"]) & (c["s"] < x["e"]))
         figures = lambda c: F.struct(
-            c["s"].alias("s"), c["e"].alias("e"), F.array(*_class_counts(c["m"])).alias("n"), F.when(F.rlike(c["m"], F.lit(MIXED)), battery(c["m"])).alias("t")
+            c["s"].alias("s"), c["e"].alias("e"), _counts(c["m"]).alias("n"), battery(c["m"]).alias("t")
         )
         return F.struct(both["b"].alias("base"), F.transform(F.filter(both["c"], clear), figures).alias("tests"))
 
     parsed = docs.select(
-        F.col(id).alias("doc_id"), F.length(t).cast("bigint").alias("chars"), F.array(*_class_counts(t)).alias("classes"),
+        F.col(id).alias("doc_id"), F.length(t).cast("bigint").alias("chars"), _counts(t).alias("letters"),
         bind(F.struct(base_spans(t).alias("b"), tested.alias("c")), free).alias("x"),
     )
-    parsed = stored(parsed.select("doc_id", "chars", "classes", "x.base", "x.tests"), "secret-tests")
-
-    # rates of the classes in all texts, with one added to each; blanks and others are the fourth
-    seen = parsed.agg(*(F.sum(F.get("classes", i)).alias(f"c{i}") for i in range(3)), F.sum("chars").alias("c3")).first()
-    known = [seen[i] or 0 for i in range(3)]
-    rest = (seen["c3"] or 0) - sum(known)
-    rates = [(c + 1) / (sum(known) + rest + 4) for c in (*known, rest)]
-    each = [math.log10(r / size) for r, size in zip(rates, (26, 26, 10, 4), strict=True)]
+    parsed = stored(parsed.select("doc_id", "chars", "letters", "x.base", "x.tests"), "secret-tests")
+
+    # rates of the letters in all texts, with one added to each; blanks and others are the last
+    seen = parsed.agg(*(F.sum(F.get("letters", i)) for i in range(len(LETTERS))), F.sum("chars")).first()
+    known = [seen[i] or 0 for i in range(len(LETTERS))]
+    rest = (seen[len(LETTERS)] or 0) - sum(known)
+    *each, other = (math.log10((c + 1) / (sum(known) + rest + len(LETTERS) + 1)) for c in (*known, rest))
+    other -= math.log10(4)
+    # a factor for each letter, over that of the others
+    over = F.array(*(F.lit(x - other) for x in each))
+    both = [a + b + 1 for a, b in zip(known[:26], known[26:52])]
+    folded = F.array(*(F.lit(math.log10(c / sum(both))) for c in (*both, *both)))
 
     def evidence(c: Column) -> Column:
         """log10 of the likelihood ratio, with the prior of one of the encodings."""
-        n, counts = c["e"] - c["s"], c["n"]
-        others = n - F.get(counts, 0) - F.get(counts, 1) - F.get(counts, 2)
-        text_like = F.get(counts, 0) * each[0] + F.get(counts, 1) * each[1] + F.get(counts, 2) * each[2] + others * each[3]
+        n = c["e"] - c["s"]
+        dot = lambda counts, by: F.aggregate(F.zip_with(counts, by, lambda k, x: k * x), F.lit(0.0), lambda a, v: a + v)
+        of = lambda first: F.aggregate(F.slice(c["n"], first, 26), F.lit(0).cast("bigint"), lambda a, v: a + v)
+        one_case = (of(1) == n) | (of(27) == n)
+        text_like = F.when(one_case, dot(F.slice(c["n"], 1, 52), folded)).otherwise(n * other + dot(c["n"], over))
         return -n * F.log10(c["t"]["k"]) - text_like - math.log10(len(ENCODINGS))
 
     cls = lambda c: F.least(F.greatest(F.floor(evidence(c) * 10), F.lit(0)), F.lit(BUCKETS)).cast("int")

@@ -131,6 +131,18 @@ def test_secrets(spark, odd, none):
     assert secret_scan.scan(none).count() == 0 and secret_scan.scan(odd).count() == odd.count()
 
 
+def test_secrets_of_one_case(spark):
+    """Random letters of one case are found, long words of the same letters are not."""
+    rnd = random.Random(8)
+    words = "the of reading internationalization antidisestablishmentarianism counterrevolutionaries in an order LIST OF NOTES OVERRATIONALISATION for quick brown jumping zebras".split()
+    texts = [(100 + i, " ".join(rnd.choice(words) for _ in range(200))) for i in range(40)]
+    secrets = {i: "".join(rnd.choice(a) for _ in range(40)) for i, a in enumerate([secret_scan.LOWER, secret_scan.UPPER] * 4)}
+    rows = secret_scan.scan(frame(spark, texts + [(i, f"see {t} here") for i, t in secrets.items()])).collect()
+    found = {r.doc_id: [(s.kind, s.s, s.e) for s in r.spans] for r in rows}
+    assert all(s in ([], [("random", 4, 44)] if i in secrets else []) for i, s in found.items())
+    assert sum(bool(found[i]) for i in secrets) >= 6  # the battery turns a few away by chance
+
+
 def test_classifier(spark, odd, none):
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (5, None), (3, 0)], "doc_id bigint, quality int")
     docs = frame(spark, [(i, (TEXT + "\n") * 3 if i % 2 else "SHOUT!! ### " * 5) for i in range(200)])
