@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -88,6 +88,19 @@ def running_offsets(df: DataFrame, group: str | None, bucket: str, amount: Colum
     return sums.select(*keys, F.coalesce(F.sum(total).over(earlier), F.lit(0)).cast("bigint").alias(before), F.sum(total).over(whole).cast("bigint").alias(total))
 
 
+def runs_of(texts: list, size: int = 1_000_000) -> Iterator[list]:
+    """Neighbouring texts of about ``size`` characters or bytes together, a longer one alone: what a task works on at a time."""
+    part, held = [], 0
+    for t in texts:
+        if part and held + len(t) > size:
+            yield part
+            part, held = [], 0
+        part.append(t)
+        held += len(t)
+    if part:
+        yield part
+
+
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
     """Marked for broadcast if it has at most ``rows`` rows, else left to a shuffle join. ``df`` must be stored."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, pieces, quality_rules, secret_scan, sharding
+from featuremart.llm import byte_pairs, classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, pieces, quality_rules, secret_scan, sharding
 from featuremart.llm.common import remainder, table, text_of, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +229,16 @@ _CRC = """
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, folder, "documents"), SHARDS, SHARD_SEED)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+# ---------------------------------------------------------------- 11: byte-level BPE
+
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+@query("op11_byte_pairs")
+def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = byte_pairs.load_ranks(public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    coded = byte_pairs.encode(table(spark, folder, "documents").select("doc_id", "text"), pairs, decoded="decoded")
+    listed = F.array_join(F.col("tokens").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -37,7 +37,7 @@ def ordered(rows):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_copies", "mixture", "encoded"]
 
