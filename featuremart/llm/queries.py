@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import byte_pairs, classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, pieces, quality_rules, secret_scan, sharding
-from featuremart.llm.common import remainder, table, text_of, word_count
+from featuremart.llm import byte_pairs, classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, periodic, pieces, quality_rules, secret_scan, sharding
+from featuremart.llm.common import WORD, bind, remainder, table, text_of, word_count, word_list
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -242,3 +242,34 @@ def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     coded = byte_pairs.encode(table(spark, folder, "documents").select("doc_id", "text"), pairs, decoded="decoded")
     listed = F.array_join(F.col("tokens").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+# ---------------------------------------------------------------- 12: periodic runs
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum of its id, repeats some of its words from some word on; a null id counts as the empty text."""
+    h = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        place = lambda x: lambda i: F.get(words, F.when(i < x["a"], i).otherwise(x["a"] + (i - x["a"]) % x["p"]))
+        return bind(F.struct(a.alias("a"), p.alias("p")), lambda x: F.array_join(F.transform(F.sequence(F.lit(0), n - 1), place(x)), " "))
+
+    planted = bind(word_list(F.col("text")), repeated)
+    return docs.withColumn("text", F.when((h % 10 == 0) & F.col("text").rlike(WORD), planted).otherwise(F.col("text")))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, folder, "documents").select("doc_id", "text")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
