@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import byte_pairs, classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, periodic, pieces, quality_rules, secret_scan, sharding
+from featuremart.llm import byte_pairs, classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, periodic, pieces, quality_rules, ranked, secret_scan, sharding
 from featuremart.llm.common import WORD, bind, remainder, table, text_of, word_count, word_list
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -273,3 +273,32 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+# ---------------------------------------------------------------- 13: ranked lexical search
+
+SEARCH_TOP = 10
+
+
+def _search_sql() -> str:
+    terms = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    with docs as (select row_number() over () as r, doc_id, text from documents),
+    words as (select r, doc_id, unnest({terms}) as term from docs),
+    held as (select r, doc_id, term, count(*) as tf from words group by all),
+    sizes as (select r, sum(tf) as n from held group by r),
+    whole as (select count(*) as n_docs, sum(n) as n_terms from sizes),
+    m as (select r, cast(10 + (90 * n * n_docs) // n_terms as bigint) as m from sizes, whole),
+    weights as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w from held, whole group by term, n_docs),
+    items as (select row_number() over () as i, item_id, text from benchmark),
+    asked as (select distinct i, item_id, unnest({terms}) as term from items),
+    scored as (select i, item_id, doc_id, r, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+        from asked join held using (term) join weights using (term) join m using (r) group by all),
+    ranked as (select *, row_number() over (partition by i order by score desc, doc_id) as rank from scored where score > 0)
+    select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= {SEARCH_TOP}
+    """
+
+
+@query("op13_ranked_search", _search_sql())
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), SEARCH_TOP)

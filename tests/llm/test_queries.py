@@ -16,7 +16,7 @@ from featuremart.llm.queries import LINE_PAGES, LINE_RATIO, MIX_SEED, ORACLES, Q
 import brute
 
 SMALL = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "labels")
+TABLES = ("documents", "embeddings", "labels", "benchmark")
 
 
 @pytest.fixture(scope="module")
