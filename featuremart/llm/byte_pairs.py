@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from functools import cached_property
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,8 @@ from featuremart.llm.common import fresh, runs_of, small_enough, stored, text_of
 CHUNK = 65_536
 OVERLAP = 1024
 MEMO = 300_000  # stretches remembered by a task
-LONGEST = 64  # characters of a remembered stretch
+LONGEST = 64  # characters of a remembered stretch, bytes of a pre-token that is merged with others
+WORDS = 20_000  # pre-tokens merged together
 SHORT = 400  # bytes up to which parts are searched one by one
 JOINTS_SENT = 500_000  # chunk rows sent to every task
 #: The characters with the Unicode property White_Space.
@@ -49,13 +51,15 @@ class BytePairs:
     STRETCH = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
     CERTAIN = regex.compile(rf"(?<=\p{{L}})(?=\P{{L}})|(?<=\p{{N}})(?=\P{{N}})|(?<=[^{SPACE}\p{{L}}\p{{N}}])(?=[{SPACE}\p{{N}}])")
 
-    def __init__(self, file: bytes, pattern: str):
+    def __init__(self, file: bytes, pattern: str, joins: tuple[np.ndarray, np.ndarray] | None = None):
         self.file, self.pattern = file, pattern
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file.splitlines())}
         if any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("the ranks must hold all single bytes")
         self.cut = regex.compile(pattern.replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]").replace(rf"[^[{SPACE}]", f"[^{SPACE}"))
         self.longest = max(map(len, self.ranks))
+        if joins is not None:
+            self.joins = joins
 
     def merged(self, raw: bytes) -> list[int]:
         """Ids of one pre-token: of equal ranks the leftmost pair is joined first."""
@@ -107,17 +111,87 @@ class BytePairs:
             ends.append(after[ends[-1]])
         return ends
 
-    def encode(self, text: str, memo: dict) -> list[int]:
-        ids: list[int] = []
-        for stretch in self.STRETCH.findall(text):
-            known = memo.get(stretch)
-            if known is None:
-                known = [i for part in self.cut.findall(stretch) for i in self.merged(part.encode())]
-                if len(stretch) <= LONGEST:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[stretch] = known
-            ids += known
+    @cached_property
+    def joins(self) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of ids whose bytes together have a rank, as sorted numbers ``left * width + right``, and that rank."""
+        get = self.ranks.get
+        found = [(get(raw[:k]), get(raw[k:]), rank) for raw, rank in self.ranks.items() for k in range(1, len(raw))]
+        found = np.array([f for f in found if f[0] is not None and f[1] is not None], np.int64).reshape(-1, 3)
+        codes = found[:, 0] * self.width + found[:, 1]
+        order = np.argsort(codes)
+        return codes[order], found[order, 2]
+
+    @property
+    def width(self) -> int:
+        return max(self.ranks.values()) + 1
+
+    def merged_all(self, words: list[bytes]) -> list[bytes]:
+        """What :meth:`merged` gives for each word, packed in four bytes an id: in every round all words join their leftmost pair of least rank."""
+        codes, ranks = self.joins
+        width, out = self.width, [None] * len(words)
+
+        def pair_ranks(left, right):
+            code = left * width + right
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            return np.where(codes[at] == code, ranks[at], NO_RANK)
+
+        single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        ids = single[np.frombuffer(b"".join(words), np.uint8)]
+        size, word = np.array([len(w) for w in words]), np.arange(len(words))
+        pairs = np.r_[pair_ranks(ids[:-1], ids[1:]), NO_RANK]
+        pairs[np.cumsum(size) - 1] = NO_RANK
+        while len(word):
+            start = np.cumsum(size) - size
+            least = np.minimum.reduceat(pairs, start)
+            ready = least == NO_RANK
+            if ready.any():  # these words are done and leave
+                packed = ids.astype(np.int32).tobytes()
+                for w, a, n in zip(word[ready].tolist(), (4 * start[ready]).tolist(), (4 * size[ready]).tolist()):
+                    out[w] = packed[a : a + n]
+                keep = np.repeat(~ready, size)
+                ids, pairs, size, word, least = ids[keep], pairs[keep], size[~ready], word[~ready], least[~ready]
+                if not len(word):
+                    break
+                start = np.cumsum(size) - size
+            hits = np.flatnonzero(pairs == np.repeat(least, size))
+            owner = np.searchsorted(start, hits, side="right") - 1
+            at = hits[np.r_[True, owner[1:] != owner[:-1]]]  # one place per word
+            ids[at] = least
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))  # one place went in each word before
+            ids, pairs, size = ids[keep], pairs[keep], size - 1
+            end = np.cumsum(size)
+            start = end - size
+            last = at + 1 == end
+            pairs[at] = np.where(last, NO_RANK, pair_ranks(ids[at], ids[np.minimum(at + 1, len(ids) - 1)]))
+            later = at[at > start]
+            pairs[later - 1] = pair_ranks(ids[later - 1], ids[later])
+        return out
+
+    def encode(self, texts: list[str], memo: dict[str, bytes]) -> list[np.ndarray]:
+        """Ids of each text; stretches that the memo lacks are encoded together first."""
+        cuts = [self.STRETCH.findall(t) for t in texts]
+        new = set(chain.from_iterable(cuts)) - memo.keys()
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = set(chain.from_iterable(cuts))
+        parts = {stretch: self.cut.findall(stretch) for stretch in new}
+        known = {}
+        for part in set(chain.from_iterable(parts.values())):
+            raw = part.encode()
+            rank = self.ranks.get(raw)
+            if rank is not None or len(raw) > LONGEST:
+                known[part] = np.array(self.merged(raw), np.int32).tobytes()
+        words = [part for part in set(chain.from_iterable(parts.values())) if part not in known]
+        for at in range(0, len(words), WORDS):
+            some = words[at : at + WORDS]
+            known.update(zip(some, self.merged_all([w.encode() for w in some])))
+        memo.update((stretch, b"".join(map(known.__getitem__, of))) for stretch, of in parts.items())
+        ids = [np.frombuffer(b"".join(map(memo.__getitem__, cut)), np.int32) for cut in cuts]
+        for stretch in new:
+            if len(stretch) > LONGEST:
+                del memo[stretch]
         return ids
 
     @cached_property
@@ -140,8 +214,8 @@ def load_ranks(path: str, pattern: str) -> BytePairs:
 
 
 def _shared(df: DataFrame, pairs: BytePairs):
-    """The rank file's bytes (under a megabyte) for all tasks."""
-    return df.sparkSession.sparkContext.broadcast((pairs.file, pairs.pattern))
+    """The rank file's bytes and its pairs for all tasks; both are as long as the vocabulary, here under a megabyte and 4 MB."""
+    return df.sparkSession.sparkContext.broadcast((pairs.file, pairs.pattern, pairs.joins))
 
 
 def encode(
@@ -164,8 +238,8 @@ def encode(
         pairs, memo = BytePairs(*shared.value), {}
         for texts in batches:
             for part in runs_of(texts.fillna("").tolist()):
-                ids = [pairs.encode(t, memo) for t in part]
-                yield pd.DataFrame({"ids": [np.array(i, np.int32) for i in ids], "back": [pairs.decode(i).decode("utf-8", "replace") if decoded else "" for i in ids]})
+                ids = pairs.encode(part, memo)
+                yield pd.DataFrame({"ids": ids, "back": [pairs.decode(i.tolist()).decode("utf-8", "replace") if decoded else "" for i in ids]})
 
     coded = F.pandas_udf(run, "ids array<int>, back string")
     long = F.length(text_of(text)) > chunk
