@@ -15,7 +15,9 @@ from featuremart.functions.text import prefixed, slug
 from featuremart.operators.categorical import (
     category_matrix,
     contact_counts,
+    merge_vectors,
     pivot_counts,
+    spread_vectors,
 )
 from featuremart.operators.joins import (
     assemble,
@@ -412,6 +414,30 @@ def mobile_interests(t: Tables):
     return interests_frame(t)
 
 
+# a line under several regions and applications, with interests in several months
+_WIDE_LINES = """
+select l_suppkey as msisdn, cast(l_orderkey % 3 as int) as app_n, l_linenumber as regid, l_partkey % 97 as category_id,
+  last_day(cast(l_shipdate as date)) as business_dt, cast(floor(l_quantity) as double) as num_requests_to_overall_by_user,
+  cast(l_linenumber as double) as num_active_days_to_overall_by_user,
+  case when l_linenumber = 2 then cast('NaN' as double) when l_linenumber = 4 then null
+    else cast(floor(l_extendedprice) as double) end as num_requests_to_mean_by_category,
+  cast(floor(l_tax * 100) as double) as num_active_days_to_mean_by_category
+from {lineitem}
+"""
+
+
+@query(
+    "interests_per_line",
+    _matrix("msisdn", "category_id", mobile.INTEREST_METRICS, range(1, mobile.CATEGORIES + 1), f"({_WIDE_LINES.format(lineitem='lineitem')})"),
+)
+def interests_per_line(t: Tables):
+    """Vectors per region and application, added up per line and spread at the end."""
+    rows = t.spark.sql(_WIDE_LINES, lineitem=t.lineitem)
+    finer = mobile.interest_vectors(rows, AS_OF, keys=("msisdn", "regid", "app_n"), month_col=None)
+    merged = merge_vectors(finer, ["msisdn"], mobile.INTERESTS)
+    return spread_vectors(merged, mobile.INTERESTS, mobile.INTEREST_METRICS, range(1, mobile.CATEGORIES + 1))
+
+
 _PART_METRICS = {"l_quantity": "cat_{}_quantity", "n": "cat_{}_lines", "l_linenumber": "cat_{}_numbers", "cents": "cat_{}_cents"}
 
 
@@ -478,9 +504,8 @@ from ({_BASE}) left join ({_SCORES}) using (msisdn) left join ({_CONTACTS}) usin
 
 
 def mart_frame(t: Tables):
-    return mobile.mobile_mart(
-        base_frame(t), scores_frame(t), contacts_frame(t), moves_frame(t), interests_frame(t), AS_OF, BUILD_DT
-    )
+    interests = mobile.interest_vectors(t.interest, AS_OF)
+    return mobile.mobile_mart(base_frame(t), scores_frame(t), contacts_frame(t), moves_frame(t), interests, AS_OF, BUILD_DT)
 
 
 @query("mobile_mart", MART_SQL, _MART_ROLES)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.text import slug
+from featuremart.operators.joins import unused
 
 # A long holds this many flags without touching its sign bit.
 _BITS = 62
@@ -179,8 +180,7 @@ def category_matrix(
     With ``shuffle_by``, one of the keys, the result is already partitioned for
     a join on that column and its many columns are not shuffled again.
     """
-    clean = {m: F.coalesce(F.nanvl(F.col(m).cast("double"), F.lit(0.0)), F.lit(0.0)) for m in metrics}
-    narrow = df.select(*keys, category, *[c.alias(m) for m, c in clean.items()])
+    narrow = df.select(*keys, category, *[_clean(m).alias(m) for m in metrics])
     if shuffle_by is not None:
         per_category = narrow.groupBy(*keys, category).agg(*[F.sum(m).alias(m) for m in metrics])
         narrow = per_category.repartition(shuffle_by)
@@ -188,11 +188,73 @@ def category_matrix(
     wide = narrow.groupBy(*keys).pivot(category, list(values)).agg(*sums)
     # with a single metric the pivot names its columns by the value alone
     source = "{}" if len(metrics) == 1 else "{}_m{}"
-    return wide.select(
-        *keys,
+    # as text: hundreds of column objects take longer to build than the job takes to run
+    return wide.selectExpr(
+        *[f"`{k}`" for k in keys],
         *[
-            F.expr(f"coalesce(`{source.format(v, i)}`, 0d) as `{name.format(v)}`")
+            f"coalesce(`{source.format(v, i)}`, 0d) as `{name.format(v)}`"
             for v in values
             for i, name in enumerate(metrics.values())
         ],
     )
+
+
+def _clean(metric: str) -> Column:
+    return F.coalesce(F.nanvl(F.col(metric).cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
+def _vectors(long: DataFrame, keys: Sequence[str], category: str, metrics: Sequence[str], out: str, shuffle_by: str | None) -> DataFrame:
+    entries = long.groupBy(*keys, category).agg(*[F.sum(m).alias(m) for m in metrics])
+    if shuffle_by is not None:
+        entries = entries.repartition(shuffle_by)
+    # an entry without a category only keeps its key
+    entry = F.when(F.col(category).isNotNull(), F.struct(F.col(category).cast("int").alias("category"), *metrics))
+    return entries.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias(out))
+
+
+def category_vectors(
+    df: DataFrame,
+    keys: Sequence[str],
+    category: str,
+    metrics: Sequence[str],
+    values: Sequence[int],
+    out: str = "vector",
+    *,
+    shuffle_by: str | None = None,
+) -> DataFrame:
+    """The sums of :func:`category_matrix` as one sorted array of ``(category, metrics...)`` per key.
+
+    Only categories a key has take room, so a join or shuffle moves what there is
+    and not a column per category and metric. A null or unlisted category counts
+    for nothing, but its key keeps a row (an empty array).
+    """
+    listed_only = F.when(F.col(category).isin(list(values)), F.col(category)).alias(category)
+    narrow = df.select(*keys, listed_only, *[_clean(m).alias(m) for m in metrics])
+    return _vectors(narrow, keys, category, metrics, out, shuffle_by)
+
+
+def merge_vectors(df: DataFrame, keys: Sequence[str], vector: str = "vector", *, shuffle_by: str | None = None) -> DataFrame:
+    """Add up the vectors of all rows of a key: of months, regions or any finer key. Null vectors are empty."""
+    metrics = [f.name for f in df.schema[vector].dataType.elementType.fields if f.name != "category"]
+    entry = unused("_entry", df)
+    long = df.select(*keys, F.explode_outer(vector).alias(entry)).select(*keys, f"{entry}.*")
+    return _vectors(long, keys, "category", metrics, vector, shuffle_by)
+
+
+def spread_vectors(df: DataFrame, vector: str, metrics: Mapping[str, str], values: Sequence[int]) -> DataFrame:
+    """Replace a vector by a column per category and metric, 0 where it has no entry or is null.
+
+    ``metrics`` maps a metric to its column name with ``{}`` for the category.
+    Meant for the sink: a projection of the finished row, without an aggregation
+    over the wide row.
+    """
+    held = unused("_held", df)
+    by_category = F.map_from_entries(F.transform(vector, lambda e: F.struct(e["category"], e)))
+    placed = df.withColumn(held, by_category)
+    # as text: hundreds of column objects take longer to build than the job takes to run
+    columns = [
+        f"coalesce(`{held}`[{int(v)}].`{m}`, 0d) as `{name.format(v)}`"
+        for v in values
+        for m, name in metrics.items()
+    ]
+    return placed.selectExpr(*[f"`{c}`" for c in df.columns if c != vector], *columns)

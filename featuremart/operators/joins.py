@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,16 +47,43 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*[F.col(k).alias(prefix + k) for k in keys])
 
 
-def assemble_known(base: DataFrame, blocks: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` or, if a frame has such a column, a longer one that none has."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _key_hash(keys: Sequence[str], like: DataFrame) -> Column:
+    """Hash of the keys as values of the types they have in ``like``: equal keys of other types hash alike."""
+    return F.xxhash64(*[F.col(k).try_cast(like.schema[k].dataType) for k in keys])
+
+
+def _spread(left: DataFrame, keys: Sequence[str], by: Sequence[str] | None) -> Column:
+    """The hash of the keys, or of the whole row (or ``by``) where a key is null."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(missing, F.xxhash64(*(by or left.columns))).otherwise(_key_hash(keys, left))
+
+
+def assemble_known(
+    base: DataFrame, blocks: Sequence[tuple[DataFrame, Sequence[str]]], spread_by: Sequence[str] | None = None
+) -> DataFrame:
     """:func:`assemble` for a base whose keys may be null.
 
-    Rows with a null key match nothing. They are set aside, so that they don't
-    meet in one task, and come back with nulls in the columns of the blocks.
+    Rows with a null key match nothing. The hash of the key joins too, and for
+    those rows it is the hash of ``spread_by`` (the whole row by default), so
+    that they don't meet in one task. The base is read and, for neighbouring
+    blocks with the same keys, shuffled once.
     """
-    keys = list(dict.fromkeys(k for _, ks in blocks for k in ks))
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    joined = assemble(base.where(~missing), blocks)
-    return joined.unionByName(base.where(missing), allowMissingColumns=True)
+    out = base
+    for keys, group in groupby(blocks, key=lambda block: tuple(block[1])):
+        group = [block for block, _ in group]
+        name = unused("_spread", out, *group)
+        out = out.withColumn(name, _spread(out, keys, spread_by or base.columns))
+        hashed = [(block.withColumn(name, _key_hash(keys, out)), [*keys, name]) for block in group]
+        out = assemble(out, hashed).drop(name)
+    return out
 
 
 def spread_join(
@@ -73,11 +101,10 @@ def spread_join(
     join alone, even where ``right`` is an aggregate, and between two such
     shuffles adaptive execution splits the hot keys of ``left``.
     """
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    own = F.xxhash64(*(spread_by or left.columns))
-    placed = left.withColumn("_spread", F.when(missing, own).otherwise(F.xxhash64(*keys)))
-    other = right.withColumn("_spread", F.xxhash64(*keys))
-    return placed.join(other, [*keys, "_spread"], how).drop("_spread")
+    name = unused("_spread", left, right)
+    placed = left.withColumn(name, _spread(left, keys, spread_by))
+    other = right.withColumn(name, _key_hash(keys, left))
+    return placed.join(other, [*keys, name], how).drop(name)
 
 
 def enrich_spread(

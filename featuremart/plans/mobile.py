@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.calendar import add_months, month_end, month_start
 from featuremart.functions.text import prefixed
-from featuremart.operators.categorical import category_matrix, contact_matrix
+from featuremart.operators.categorical import category_matrix, category_vectors, contact_matrix, merge_vectors, spread_vectors
 from featuremart.operators.joins import assemble_known, attach_history, fill_typed, full_merge, stamp
 from featuremart.operators.moves import pair_moves
 from featuremart.operators.snapshots import lag_columns, with_days_since
@@ -34,6 +34,9 @@ INTEREST_METRICS = {
     "num_active_days_to_mean_by_category": "cat_{}_num_active_days_to_mean_by_category",
 }
 
+#: The column of a line's interest vector.
+INTERESTS = "interests"
+
 # Column prefixes of the contact channels, and the snapshot day.
 SMS_PREFIX = "fix_comp_sms_cnt_"
 CALLS_PREFIX = "fix_comp_calls_cnt_"
@@ -132,11 +135,31 @@ def host_interests(
     categories: int = CATEGORIES,
 ) -> DataFrame:
     """Interest metrics of one month, a column per category and metric."""
-    if month_col is not None:
-        interest = interest.where(F.col(month_col) == F.lit(month_end(logical_date)))
     keys = ["regid", "app_n", key]
     values = range(1, categories + 1)
-    return category_matrix(interest, keys, "category_id", INTEREST_METRICS, values, shuffle_by=key)
+    rows = _month_of_interest(interest, logical_date, month_col)
+    return category_matrix(rows, keys, "category_id", INTEREST_METRICS, values, shuffle_by=key)
+
+
+def _month_of_interest(interest: DataFrame, logical_date: date, month_col: str | None) -> DataFrame:
+    return interest if month_col is None else interest.where(F.col(month_col) == F.lit(month_end(logical_date)))
+
+
+def interest_vectors(
+    interest: DataFrame,
+    logical_date: date,
+    *,
+    keys: Sequence[str] = (LINE,),
+    month_col: str | None = "business_dt",
+    categories: int = CATEGORIES,
+) -> DataFrame:
+    """:func:`host_interests` per line, over all its regions and applications, with one array in place of the matrix.
+
+    ``keys`` may name finer keys too (``regid``, ``app_n``); ``merge_vectors``
+    adds such rows up, also those of several months.
+    """
+    rows = _month_of_interest(interest, logical_date, month_col)
+    return category_vectors(rows, keys, "category_id", list(INTEREST_METRICS), range(1, categories + 1), INTERESTS, shuffle_by=keys[0])
 
 
 def mobile_mart(
@@ -149,18 +172,31 @@ def mobile_mart(
     build_dt: date,
     *,
     key: str = LINE,
+    categories: int = CATEGORIES,
 ) -> DataFrame:
     """All blocks per line, without nulls in numbers and texts.
 
     Missing numbers of the base become -1, those of the other blocks 0, and
     missing texts ``unk``. Interests of a line under several regions or
     applications are added up, so every line of the base keeps one row.
+
+    ``interests`` are vectors (:func:`interest_vectors`), which stay one column
+    until the finished row is spread, or a stored wide matrix
+    (:func:`host_interests`), which has to be summed column by column.
     """
-    metrics = [c for c in interests.columns if c not in (*HISTORY_KEY, key)]
-    per_line = interests.groupBy(key).agg(*[F.sum(c).alias(c) for c in metrics])
+    sparse = INTERESTS in interests.columns
+    if sparse:
+        finer = [c for c in interests.columns if c not in (key, INTERESTS)]
+        per_line = merge_vectors(interests, [key], INTERESTS) if finer else interests
+    else:
+        metrics = [c for c in interests.columns if c not in (*HISTORY_KEY, key)]
+        per_line = interests.groupBy(key).agg(*[F.sum(c).alias(c) for c in metrics])
     # lines without a number stay null until after the joins, so that they don't meet in one task
     filled = fill_typed(base, num=-1, columns=[c for c in base.columns if c != key])
     blocks = [(b, [key]) for b in (scores, contacts, moves, per_line)]
     joined = fill_typed(assemble_known(filled, blocks), num=-1, columns=[key])
     dated = {"build_dt": build_dt, "table_business_month": month_start(logical_date).isoformat()}
-    return stamp(fill_typed(joined, num=0, text="unk"), dated)
+    mart = fill_typed(joined, num=0, text="unk")
+    if sparse:
+        mart = spread_vectors(mart, INTERESTS, INTEREST_METRICS, range(1, categories + 1))
+    return stamp(mart, dated)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from featuremart.catalogue import fixed as fixed_queries
 from featuremart.catalogue import mobile as mobile_queries
 from featuremart.catalogue.registry import AS_OF, Tables
+from featuremart.operators.categorical import category_matrix, category_vectors, merge_vectors, spread_vectors
+from featuremart.operators.joins import assemble_known
 from featuremart.operators.snapshots import assert_grain
 from featuremart.plans import fixed, mobile, training
 
@@ -136,3 +138,60 @@ def test_quality_report(spark):
     matrix, lift = training.quality_report(df, "y", "p", ["id"])
     assert sum(r.pred_POS + r.pred_NEG for r in matrix.collect()) == 50
     assert sum(r.cnt for r in lift.collect()) == 50
+
+
+def test_the_mart_reads_each_source_once_for_null_lines(t):
+    """Null lines are spread inside the joins, not by a second read of the base."""
+    base = mobile_queries.base_frame(t)
+    joined = assemble_known(base, [(mobile_queries.scores_frame(t), ["msisdn"]), (mobile_queries.moves_frame(t), ["msisdn"])])
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert scans(joined) == scans(base) + scans(mobile_queries.scores_frame(t)) + scans(mobile_queries.moves_frame(t))
+
+
+def test_a_third_of_null_lines_is_spread(spark):
+    rows = [(None if i % 3 == 0 else i, i % 7) for i in range(6000)]
+    base = spark.createDataFrame(rows, "msisdn int, n int")
+    blocks = [spark.createDataFrame([(i, i) for i in range(0, 6000, 2)] + [(None, 5)], f"msisdn bigint, {c} int") for c in "ab"]
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = assemble_known(base, [(b, ["msisdn"]) for b in blocks])
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        got = sorted(((r.msisdn or -1, r.n, r.a, r.b) for r in joined.collect()), key=str)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    find = lambda k: k if k is not None and k % 2 == 0 else None
+    assert got == sorted(((k or -1, n, find(k), find(k)) for k, n in rows), key=str)
+    assert max(sizes) < 2 * 6000 / len(sizes) and len(sizes) == 8
+    assert plan.count("Exchange") == 3  # the base once, each block once
+    clash = assemble_known(base.withColumn("_spread", F.lit(1)), [(blocks[0], ["msisdn"])])
+    assert "_spread" in clash.columns and clash.count() == 6000
+
+
+def test_vectors(spark):
+    rows = [(1, 7, 2, 1.5), (1, 7, 2, float("nan")), (1, 8, 2, 2.0), (1, 8, 1, None), (2, 7, 99, 4.0), (None, 7, 3, 1.0), (3, 1, None, 1.0)]
+    df = spark.createDataFrame(rows, "msisdn int, regid int, cat int, m double")
+    finer = category_vectors(df, ["msisdn", "regid"], "cat", ["m"], range(1, 4))
+    merged = merge_vectors(finer, ["msisdn"])
+    vectors = {r.msisdn: [tuple(e) for e in r.vector] for r in merged.collect()}
+    assert vectors == {1: [(1, 0.0), (2, 3.5)], 2: [], None: [(3, 1.0)], 3: []}
+    straight = category_vectors(df, ["msisdn"], "cat", ["m"], range(1, 4))
+    assert {r.msisdn: [tuple(e) for e in r.vector] for r in straight.collect()} == vectors
+    wide = {tuple(r) for r in spread_vectors(merged.withColumn("_held", F.lit(0)), "vector", {"m": "c{}"}, range(1, 4)).drop("_held").collect()}
+    assert wide == {(1, 0.0, 3.5, 0.0), (2, 0.0, 0.0, 0.0), (None, 0.0, 0.0, 1.0), (3, 0.0, 0.0, 0.0)}
+    matrix = category_matrix(df, ["msisdn"], "cat", {"m": "c{}"}, range(1, 4))
+    assert {tuple(r) for r in matrix.collect()} == wide
+    assert merge_vectors(finer.where("false"), ["msisdn"]).count() == 0
+
+
+def test_sparse_and_wide_interests_give_one_mart(t):
+    wide = mobile.mobile_mart(
+        mobile_queries.base_frame(t), mobile_queries.scores_frame(t), mobile_queries.contacts_frame(t), mobile_queries.moves_frame(t),
+        mobile_queries.interests_frame(t), AS_OF, AS_OF,
+    )
+    sparse = mobile_queries.mart_frame(t).drop("build_dt")
+    assert wide.drop("build_dt").select(sparse.columns).exceptAll(sparse).count() == 0
+    assert wide.count() == sparse.count()
