@@ -17,7 +17,7 @@ from featuremart.catalogue.registry import (
     with_ctes,
 )
 from featuremart.catalogue.roles import FIXED_SOURCES
-from featuremart.functions.calendar import slots
+from featuremart.functions.calendar import month_start, slots
 from featuremart.functions.temporal import days_since
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
@@ -783,11 +783,11 @@ MART_CTES = {
 }
 
 
-def fixed_mart_frame(t: Tables):
-    return fixed.fixed_mart({name: getattr(t, name) for name in FIXED_SOURCES}, AS_OF)
+def fixed_mart_frame(t: Tables, as_of=AS_OF):
+    return fixed.fixed_mart({name: getattr(t, name) for name in FIXED_SOURCES}, as_of)
 
 
-@query("fixed_mart", with_ctes(MART_CTES, "select * from fixed_mart"), FIXED_SOURCES)
+@query("fixed_mart", with_ctes(MART_CTES, f"select *, '{month_start(AS_OF)}' as table_business_month from fixed_mart"), FIXED_SOURCES)
 def fixed_mart(t: Tables):
     return fixed_mart_frame(t)
 

@@ -53,9 +53,9 @@ from daily_profile left join (select app_n, regid, cast(calls_m1 as bigint) as c
 """
 
 
-def base_frame(t: Tables):
+def base_frame(t: Tables, as_of=AS_OF):
     history = t.monthly_history.withColumnRenamed("version_dt", "hist_dt")
-    return mobile.mobile_base(t.daily_profile, history, AS_OF, DATES)
+    return mobile.mobile_base(t.daily_profile, history, as_of, DATES)
 
 
 _NO_NAN = "* replace (case when isnan(balance) or balance is null then -1 else balance end as balance)"
@@ -300,8 +300,8 @@ def home_work(t: Tables):
     return t.places.select("msisdn", "business_dt", *coordinates)
 
 
-def moves_frame(t: Tables):
-    moves = mobile.relocations(home_work(t), AS_OF)
+def moves_frame(t: Tables, as_of=AS_OF):
+    moves = mobile.relocations(home_work(t), as_of)
     return moves.select("msisdn", *[F.round(c).alias(c) for c in moves.columns[1:]])
 
 
@@ -503,9 +503,10 @@ from ({_BASE}) left join ({_SCORES}) using (msisdn) left join ({_CONTACTS}) usin
 """
 
 
-def mart_frame(t: Tables):
-    interests = mobile.interest_vectors(t.interest, AS_OF)
-    return mobile.mobile_mart(base_frame(t), scores_frame(t), contacts_frame(t), moves_frame(t), interests, AS_OF, BUILD_DT)
+def mart_frame(t: Tables, as_of=AS_OF):
+    interests = mobile.interest_vectors(t.interest, as_of)
+    base, moves = base_frame(t, as_of), moves_frame(t, as_of)
+    return mobile.mobile_mart(base, scores_frame(t), contacts_frame(t), moves, interests, as_of, BUILD_DT)
 
 
 @query("mobile_mart", MART_SQL, _MART_ROLES)

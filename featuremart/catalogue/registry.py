@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import date
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from featuremart.catalogue.roles import ROLES, TABLES
-from featuremart.functions.calendar import month_end
+from featuremart.functions.calendar import add_months, month_end
+from featuremart.sources.storage import scratch_path
+from featuremart.sources.tables import ensure_db
 
 AS_OF = date(2001, 7, 31)
+DB = "featuremart_check"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +40,13 @@ class Tables:
         raise AttributeError(name)
 
 
+def fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A catalog name without a table, and a fresh folder for one."""
+    ensure_db(spark, DB, scratch_path(spark, DB))
+    spark.sql(f"DROP TABLE IF EXISTS {DB}.{name}")
+    return f"{DB}.{name}", scratch_path(spark, name)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Only bigint, double and string columns, which all engines render alike."""
     out = []
@@ -85,6 +96,17 @@ def day(value: date) -> str:
     return f"date '{value.isoformat()}'"
 
 
+def moved(sql: str, months: int) -> str:
+    """The SQL text for a day ``months`` before ``AS_OF``: its month ends and snapshot days (the 22nd) are moved."""
+    days = {f(k): f(k + months) for k in range(12) for f in (lambda k: month_end(AS_OF, k), lambda k: add_months(AS_OF.replace(day=22), -k))}
+
+    def earlier(found: re.Match) -> str:
+        value = date.fromisoformat(found[1])
+        return day(days.get(value, value))
+
+    return re.sub(r"date '(\d{4}-\d\d-\d\d)'", earlier, sql)
+
+
 def in_months(col: str, n: int = 5, as_of: date = AS_OF) -> str:
     """SQL test for the ``n``-month window."""
     return f"(cast({col} as date) > {day(month_end(as_of, n))} and cast({col} as date) <= {day(month_end(as_of))})"

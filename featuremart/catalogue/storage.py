@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featuremart.catalogue import training as training_queries
-from featuremart.catalogue.registry import Tables, query, with_ctes
+from featuremart.catalogue.registry import Tables, fresh_table, query, with_ctes
 from featuremart.operators.joins import spine
 from featuremart.plans import training
 from featuremart.sources.storage import scratch_path
 from featuremart.sources.tables import (
-    ensure_db,
     export_parquet,
     load,
     load_path,
@@ -23,25 +22,16 @@ from featuremart.sources.tables import (
     write_table,
 )
 
-DB = "featuremart_check"
-
 _ORDERS = "select o_orderkey, o_custkey, o_orderstatus from orders"
 
 
-def _table(t: Tables, name: str) -> tuple[str, str]:
-    """A catalog name and a fresh folder for it."""
-    ensure_db(t.spark, DB, scratch_path(t.spark, DB))
-    t.spark.sql(f"DROP TABLE IF EXISTS {DB}.{name}")
-    return f"{DB}.{name}", scratch_path(t.spark, name)
-
-
 def _orders(t: Tables):
     return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
 @query("orc_table", _ORDERS)
 def orc_table(t: Tables):
-    name, path = _table(t, "orc_table")
+    name, path = fresh_table(t.spark, "orc_table")
     write_table(_orders(t), name, files=3, path=path)
     return load(t.spark, name)
 
@@ -49,7 +39,7 @@ def orc_table(t: Tables):
 @query("catalog_scan", "select o_orderkey as id, o_custkey as owner, o_orderstatus from orders where o_orderstatus = 'F'")
 def catalog_scan(t: Tables):
     """A catalog table read under other column names; the filter reaches the files."""
-    name, path = _table(t, "catalog_scan")
+    name, path = fresh_table(t.spark, "catalog_scan")
     write_table(_orders(t), name, path=path)
     renamed = load(t.spark, name, {"o_orderkey": "id", "o_custkey": "owner"})
     return renamed.where(F.col("o_orderstatus") == "F")
@@ -57,7 +47,7 @@ def catalog_scan(t: Tables):
 
 @query("partitioned_table", _ORDERS + " where o_orderstatus = 'O'")
 def partitioned_table(t: Tables):
-    name, path = _table(t, "partitioned_table")
+    name, path = fresh_table(t.spark, "partitioned_table")
     write_table(_orders(t), name, partition_by=["o_orderstatus"], path=path)
     return load(t.spark, name).where(F.col("o_orderstatus") == "O")
 
@@ -71,7 +61,7 @@ union all select o_orderkey, -o_custkey, o_orderstatus from orders where o_order
 @query("partition_replace", _REPLACED)
 def partition_replace(t: Tables):
     """One partition is replaced twice; the others stay."""
-    name, path = _table(t, "partition_replace")
+    name, path = fresh_table(t.spark, "partition_replace")
     replace_partition(_orders(t), name, "o_orderstatus", path=path)
     changed = _orders(t).where("o_orderstatus = 'F'").withColumn("o_custkey", -F.col("o_custkey"))
     for _ in range(2):
@@ -100,7 +90,7 @@ def parquet_export(t: Tables):
 @query("table_location", _ORDERS)
 def located_table(t: Tables):
     """The table's files read from the folder the catalog names."""
-    name, path = _table(t, "table_location")
+    name, path = fresh_table(t.spark, "table_location")
     write_table(_orders(t), name, path=path)
     return load_path(t.spark, table_location(t.spark, name), "orc")
 
@@ -132,7 +122,7 @@ _TARGETS = "mobile_id, mobile_acc_id, mobile_msisdn, target_active_churn, table_
 )
 def target_table(t: Tables):
     """All cohort months written at once, then the first one again."""
-    name, _ = _table(t, "target_table")
+    name, _ = fresh_table(t.spark, "target_table")
     targets = training_queries.targets_frame(t)
     months = [c.month for c in training_queries.COHORTS]
     training.target_table(targets, name, months)
@@ -143,7 +133,7 @@ def target_table(t: Tables):
 @query("saved_split", "select doc_id, cast(toxic as bigint) as toxic, lang from labels join documents using (doc_id)")
 def saved_split(t: Tables):
     """A set stored as a table and exported from there."""
-    name, _ = _table(t, "saved_split")
+    name, _ = fresh_table(t.spark, "saved_split")
     path = scratch_path(t.spark, "saved_split")
     rows = t.labels.select("doc_id", "toxic").join(t.documents.select("doc_id", "lang"), "doc_id")
     training.save_split(rows, name, path)

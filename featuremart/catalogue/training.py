@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featuremart.catalogue import fixed as fixed_queries
 from featuremart.catalogue import mobile as mobile_queries
-from featuremart.catalogue.registry import AS_OF, Tables, casts, day, in_month, query, with_ctes
+from featuremart.catalogue.registry import AS_OF, Tables, casts, day, fresh_table, in_month, moved, query, with_ctes
 from featuremart.functions.calendar import add_months, month_end, month_start
 from featuremart.functions.churn import active_churn, passive_churn
 from featuremart.functions.temporal import feature_month, within_days
@@ -21,6 +21,7 @@ from featuremart.operators.sampling import downsample
 from featuremart.operators.slots import month_slots
 from featuremart.operators.snapshots import month_slice
 from featuremart.plans import training
+from featuremart.sources.tables import load
 
 START = month_start(AS_OF)
 PAYS = ["pay_00mm", "pay_01mm", "pay_02mm"]
@@ -344,10 +345,11 @@ def training_rows(t: Tables):
 
 _FEATURES = ["live_dur_contract", "pay_00mm", "active_serv_cnt"]
 _MOBILE_FEATURES = ["balance", "segment", "model_age"]
-SPLIT_CTES = {
-    **fixed_queries.MART_CTES,
+LABEL_MONTHS = (date(2001, 5, 1), date(2001, 6, 1))
+#: Months before that of ``AS_OF`` whose marts are stored; the label of June finds its own month, that of May an older one.
+STORED = (4, 2)
+_SAMPLED_CTES = {
     **COHORT_CTES,
-    "mobile_mart": mobile_queries.MART_CTE,
     "wanted": "select * from cohorts where table_business_month between '2001-05-01' and '2001-06-01'",
     "sampled": _sample_sql(
         "wanted",
@@ -357,29 +359,83 @@ SPLIT_CTES = {
         "*",
     ),
 }
+_SPLIT_ROLES = tuple(dict.fromkeys([*fixed_queries.FIXED_SOURCES, *LABEL_ROLES]))
+
+
+def _marts_sql(back: int) -> dict[str, str]:
+    """Both marts as of ``back`` months earlier, with the columns that the split takes."""
+    fixed_sql = with_ctes(fixed_queries.MART_CTES, f"select {', '.join([*_LINE, *_FEATURES])} from fixed_mart")
+    mobile_sql = f"select msisdn, {', '.join(_MOBILE_FEATURES)} from ({mobile_queries.MART_CTE})"
+    return {f"fixed_{back}": moved(fixed_sql, back), f"mobile_{back}": moved(mobile_sql, back)}
+
+
+# what the label of May may know: the marts of April serve May and June
+_SPLIT_AS_OF = month_end(AS_OF, 3)
 
 
 @query(
     "training_split",
     with_ctes(
-        SPLIT_CTES,
+        {**_marts_sql(3), **_SAMPLED_CTES},
         f"""
         select sampled.mobile_id, sampled.mobile_acc_id, sampled.mobile_msisdn as msisdn, target_active_churn,
           sampled.table_business_month, {', '.join(f'f.{c}' for c in _FEATURES)}, {', '.join(f'm.{c}' for c in _MOBILE_FEATURES)}
-        from sampled left join fixed_mart f using (mobile_id, mobile_acc_id, mobile_msisdn)
-        left join mobile_mart m on m.msisdn = sampled.mobile_msisdn
+        from sampled left join fixed_3 f using (mobile_id, mobile_acc_id, mobile_msisdn)
+        left join mobile_3 m on m.msisdn = sampled.mobile_msisdn
         """,
     ),
-    tuple(dict.fromkeys([*fixed_queries.FIXED_SOURCES, *LABEL_ROLES])),
+    _SPLIT_ROLES,
 )
 def training_split(t: Tables):
+    """One snapshot, older than every label month, serves all of them."""
     keys = training.label_keys()
     marts = (
-        fixed_queries.fixed_mart_frame(t).select(*keys, *_FEATURES),
-        mobile_queries.mart_frame(t).select("msisdn", *_MOBILE_FEATURES),
+        fixed_queries.fixed_mart_frame(t, _SPLIT_AS_OF).select(*keys, *_FEATURES),
+        mobile_queries.mart_frame(t, _SPLIT_AS_OF).select("msisdn", *_MOBILE_FEATURES),
+    )
+    targets = targets_frame(t).drop("row_num")
+    return training.build_split(targets, *marts, LABEL_MONTHS, ratio=3, seed=5)
+
+
+def _all_months_sql(mart: str, columns: list[str]) -> str:
+    return " union all ".join(f"select {', '.join(columns)}, {day(month_start(AS_OF, k))} as m from {mart}_{k}" for k in STORED)
+
+
+@query(
+    "training_split_by_month",
+    with_ctes(
+        {
+            **{name: text for k in STORED for name, text in _marts_sql(k).items()},
+            **_SAMPLED_CTES,
+            "fixed_months": _all_months_sql("fixed", [*_LINE, *_FEATURES]),
+            "mobile_months": _all_months_sql("mobile", ["msisdn", *_MOBILE_FEATURES]),
+        },
+        f"""
+        select s.mobile_id, s.mobile_acc_id, s.mobile_msisdn as msisdn, target_active_churn, s.table_business_month,
+          {', '.join(f'f.{c}' for c in _FEATURES)}, {', '.join(f'm.{c}' for c in _MOBILE_FEATURES)},
+          cast(f.m as varchar) as fixed_feature_month, cast(m.m as varchar) as mobile_feature_month
+        from sampled s
+        left join lateral (select * from fixed_months f where f.mobile_id = s.mobile_id and f.mobile_acc_id = s.mobile_acc_id
+          and f.mobile_msisdn = s.mobile_msisdn and f.m <= cast(s.table_business_month as date) - to_months(1) order by f.m desc limit 1) f on true
+        left join lateral (select * from mobile_months m where m.msisdn = s.mobile_msisdn
+          and m.m <= cast(s.table_business_month as date) - to_months(1) order by m.m desc limit 1) m on true
+        """,
+    ),
+    _SPLIT_ROLES,
+)
+def training_split_by_month(t: Tables):
+    """Both marts stored for two months; each label meets the newest features at least a month older than it."""
+    names = {}
+    for mart, frame in (("fixed", fixed_queries.fixed_mart_frame), ("mobile", mobile_queries.mart_frame)):
+        names[mart], path = fresh_table(t.spark, f"{mart}_months")
+        for k in STORED:
+            training.publish_month(frame(t, month_end(AS_OF, k)), names[mart], path=path)
+    marts = (
+        load(t.spark, names["fixed"]).select(*training.label_keys(), *_FEATURES, training.MONTH),
+        load(t.spark, names["mobile"]).select("msisdn", *_MOBILE_FEATURES, training.MONTH),
     )
     targets = targets_frame(t).drop("row_num")
-    return training.build_split(targets, *marts, (date(2001, 5, 1), date(2001, 6, 1)), ratio=3, seed=5)
+    return training.build_split(targets, *marts, LABEL_MONTHS, ratio=3, seed=5, lag=1, within=None)
 
 
 _ORDER_LABEL = "cast(date_trunc('month', o_orderdate) as date)"

@@ -115,6 +115,37 @@ def enrich_spread(
     return spread_join(base, right, keys, "left", spread_by)
 
 
+def as_of_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    target: Column,
+    month: str,
+    *,
+    within: int | None = None,
+    out: str = "feature_month",
+) -> DataFrame:
+    """Left join with each key's newest snapshot of a month not later than ``target``.
+
+    ``right`` is unique on the keys and ``month`` (a date or its ISO text); its
+    rows that are more than ``within`` months older than ``target`` don't count.
+    ``out`` holds the month found, null if there is none. A key's months are
+    gathered from the narrow key columns alone, as a short array; the wide rows
+    then join on key and month, each at most once. Null keys and a null target
+    match nothing and are spread over all tasks.
+    """
+    held, want, at = (unused(c, left, right) for c in ("_held", "_want", "_at"))
+    day = F.col(month).cast("date")
+    months = right.select(*keys, day.alias(at)).groupBy(*keys).agg(F.collect_set(at).alias(held))
+    known = enrich_spread(left.withColumn(want, target.cast("date")), months, keys)
+    fits = F.filter(held, lambda m: m <= F.col(want))
+    if within is not None:
+        fits = F.filter(fits, lambda m: m >= F.add_months(F.col(want), -within))
+    placed = known.withColumn(at, F.array_max(fits)).drop(held, want)
+    joined = assemble_known(placed, [(right.withColumn(at, day).drop(month), [*keys, at])])
+    return joined.withColumnRenamed(at, out)
+
+
 def attach_history(
     df: DataFrame, history: DataFrame, keys: Sequence[str], drop: Sequence[str] = ()
 ) -> DataFrame:

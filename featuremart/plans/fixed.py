@@ -12,11 +12,12 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featuremart.functions.calendar import month_start
 from featuremart.functions.temporal import days_since, valid_on
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
-from featuremart.operators.joins import assemble, enrich, enrich_spread, stack
+from featuremart.operators.joins import assemble, enrich, enrich_spread, stack, stamp
 from featuremart.operators.rollup import rollup_entity
 from featuremart.operators.slots import month_slots, payment_block, slot_name
 from featuremart.operators.snapshots import (
@@ -246,7 +247,7 @@ def fixed_mart(
     equipment: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES,
     cols: tickets.TicketColumns = tickets.TicketColumns(),
 ) -> DataFrame:
-    """One row per mobile line with all blocks.
+    """One row per mobile line with all blocks, stamped with the month of ``as_of``.
 
     Everything but the role of a line depends on the account alone. So the
     blocks are joined once per account, where every join is on unique keys, and
@@ -278,4 +279,5 @@ def fixed_mart(
     joined = mask_by_role(joined, F.col("acc_num").isNotNull(), request_columns)
     # packed, the flags take two columns through the joins and the rollup, not 76
     spec = entity_spec(mobile, equipment, cols=cols, packed=True)
-    return unpack_equipment(finish_entities(joined, as_of, mobile=mobile, spec=spec), equipment)
+    mart = unpack_equipment(finish_entities(joined, as_of, mobile=mobile, spec=spec), equipment)
+    return stamp(mart, {"table_business_month": month_start(as_of).isoformat()})

@@ -8,10 +8,20 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featuremart.functions.calendar import month_start
 from featuremart.functions.temporal import feature_month
 from featuremart.operators import profile
 from featuremart.operators.identity import mask_by_role
-from featuremart.operators.joins import assemble_known, attach_by, enrich_spread, full_merge, holdout, stack
+from featuremart.operators.joins import (
+    as_of_join,
+    assemble_known,
+    attach_by,
+    enrich_spread,
+    full_merge,
+    holdout,
+    stack,
+    unused,
+)
 from featuremart.operators.labels import label_base, with_churn_labels
 from featuremart.operators.quality import confusion, lift_table
 from featuremart.operators.ranking import Cohort, cap_rows, monthly_cohorts
@@ -100,6 +110,11 @@ def target_table(
     replace_partition(wanted.select(*label_keys(mobile), label, MONTH), name, MONTH)
 
 
+def publish_month(mart: DataFrame, name: str, *, fmt: str = "orc", path: str | None = None) -> list[str]:
+    """Store a mart under the month it is stamped with; rerunning a month replaces it and no other."""
+    return replace_partition(mart, name, MONTH, fmt=fmt, path=path)
+
+
 def training_set(
     labels: DataFrame,
     fixed: DataFrame,
@@ -108,29 +123,51 @@ def training_set(
     mobile: str = "mobile",
     line: str = "msisdn",
     lag: int | None = None,
+    within: int | None = 0,
 ) -> DataFrame:
     """Labels with the fixed and mobile features of their line.
 
     With ``lag``, both marts carry a month column and a label gets the features
-    of ``lag`` months before it; otherwise one snapshot serves all months.
+    of ``lag`` months before it, never of a later month; otherwise one snapshot
+    serves all months. ``within`` is how many months older than that the
+    features of a line may be (``None``: any). Unless it is 0, the newest month
+    of each line counts, and ``fixed_feature_month`` and ``mobile_feature_month``
+    tell which it is.
     """
     keys = label_keys(mobile)
     if lag is None:
         features = assemble_known(labels, [(fixed.drop(MONTH), keys)])
         renamed = features.withColumnRenamed(f"{mobile}_msisdn", line)
         return assemble_known(renamed, [(mobile_mart.drop(MONTH), [line])])
-    dated = labels.withColumn("_month", feature_month(F.col(MONTH).cast("date"), lag))
+    target = feature_month(F.col(MONTH).cast("date"), lag)
+    if within != 0:
+        features = as_of_join(labels, fixed, keys, target, MONTH, within=within, out="fixed_feature_month")
+        renamed = features.withColumnRenamed(f"{mobile}_msisdn", line)
+        return as_of_join(renamed, mobile_mart, [line], target, MONTH, within=within, out="mobile_feature_month")
+    at = unused("_month", labels, fixed, mobile_mart)
+    dated = labels.withColumn(at, target)
 
     def at_month(mart: DataFrame) -> DataFrame:
-        return mart.withColumn("_month", F.col(MONTH).cast("date")).drop(MONTH)
+        return mart.withColumn(at, F.col(MONTH).cast("date")).drop(MONTH)
 
-    features = assemble_known(dated, [(at_month(fixed), [*keys, "_month"])])
+    features = assemble_known(dated, [(at_month(fixed), [*keys, at])])
     renamed = features.withColumnRenamed(f"{mobile}_msisdn", line)
-    return assemble_known(renamed, [(at_month(mobile_mart), [line, "_month"])]).drop("_month")
+    return assemble_known(renamed, [(at_month(mobile_mart), [line, at])]).drop(at)
+
+
+def usable_months(mart: DataFrame, months: tuple[date, date], lag: int, within: int | None = 0) -> DataFrame:
+    """The months of a mart that labels of ``[first, last]`` can meet; prunes the partitions of a stored mart."""
+    first, last = months
+    kept = mart.where(F.col(MONTH) <= F.lit(month_start(last, lag).isoformat()))
+    if within is None:
+        return kept
+    return kept.where(F.col(MONTH) >= F.lit(month_start(first, lag + within).isoformat()))
 
 
 def feature_join(fixed: DataFrame, mobile_mart: DataFrame, *, mobile: str = "mobile", line: str = "msisdn"):
-    """Lines present in both marts."""
+    """Lines present in both marts; where both are stamped with a month, that of the mobile mart stays."""
+    if MONTH in mobile_mart.columns:
+        fixed = fixed.drop(MONTH)
     return attach_by(fixed.withColumnRenamed(f"{mobile}_msisdn", line), mobile_mart, line)
 
 
@@ -145,16 +182,22 @@ def build_split(
     label: str = LABEL,
     mobile: str = "mobile",
     lag: int | None = None,
+    within: int | None = 0,
 ) -> DataFrame:
     """Train, validation or test set of the label months ``[first, last]``.
 
+    ``lag`` and ``within`` as in :func:`training_set`; with ``lag`` only the
+    months of the marts that can matter are read.
+
     The negatives are drawn before the features join: the draw needs only label
     and key, and the dropped rows then never meet the wide marts.
     """
     first, last = months
     rows = targets.where(F.col(MONTH).between(F.lit(first), F.lit(last)))
     sampled = downsample(rows, label, ratio, [*label_keys(mobile), MONTH], seed)
-    return training_set(sampled, fixed, mobile_mart, mobile=mobile, lag=lag)
+    if lag is not None:
+        fixed, mobile_mart = (usable_months(mart, months, lag, within) for mart in (fixed, mobile_mart))
+    return training_set(sampled, fixed, mobile_mart, mobile=mobile, lag=lag, within=within)
 
 
 def save_split(df: DataFrame, table: str, export_path: str) -> None:

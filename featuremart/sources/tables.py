@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# the folder name of a null partition
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def load(spark: SparkSession, name: str, rename: Mapping[str, str] | None = None) -> DataFrame:
     """A catalog table, optionally with columns renamed ``{theirs: ours}``."""
@@ -70,23 +75,55 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def partition_values(spark: SparkSession, name: str, col: str) -> list:
+    """The partitions that the catalog lists for ``col``, in order; reads no file."""
+    listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    pairs = [dict(part.split("=", 1) for part in row[0].split("/")) for row in listed]
+    return sorted({unquote(pair[col]) for pair in pairs})
+
+
+def _sql_literal(value) -> str:
+    if value is None:
+        return "null"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def replace_partition(
     df: DataFrame, name: str, col: str, *, fmt: str = "orc", path: str | None = None
-) -> None:
-    """Replace only the partitions present in ``df``; a rerun leaves the same table."""
+) -> list[str]:
+    """Replace only the partitions present in ``df``; a rerun leaves the same table.
+
+    The rows are written to a fresh folder first. Only then are the partitions
+    switched to it in the catalog, one statement each, so a write that fails
+    leaves every old partition as it was, no session setting is touched, and a
+    reader sees a partition's old files or its new ones. A null and the empty
+    text are one partition. Returns the folders that are no longer in use; they
+    may be deleted once no reader that started before is left. The partitions
+    are to be read by the table's name, not by its folder.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        write_table(df, name, partition_by=[col], fmt=fmt, path=path)
-        return
-    # insertInto goes by position, so follow the table's own column order
-    ordered = df.select(*spark.table(name).columns).hint("rebalance", F.col(col))
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        ordered.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+        write_table(df.where("false"), name, partition_by=[col], fmt=fmt, path=path)
+    table = spark.table(name)
+    # the files hold the table's other columns, in its order and types
+    ordered = df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
+    staged = f"{table_location(spark, name).rstrip('/')}/_run-{uuid.uuid4().hex}"
+    ordered.hint("rebalance", F.col(col)).write.format(fmt).partitionBy(col).save(staged)
+    known, unused = set(partition_values(spark, name, col)), []
+    # folders of the run, from its file names: no job, and bounded by the files written
+    folders = {f.rsplit("/", 1)[0] for f in spark.read.format(fmt).load(staged).inputFiles()}
+    for folder in sorted(folders):
+        value = unquote(unquote(folder.rsplit(f"/{col}=", 1)[1]))
+        literal = _sql_literal(None if value == _NO_VALUE else value)
+        part = f"PARTITION (`{col}` = {literal})"
+        if value in known:
+            facts = spark.sql(f"DESCRIBE FORMATTED {name} {part}").where("col_name = 'Location'").first()
+            unused.append(facts["data_type"])
+            spark.sql(f"ALTER TABLE {name} {part} SET LOCATION {_sql_literal(unquote(folder))}")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD {part} LOCATION {_sql_literal(unquote(folder))}")
+    spark.catalog.refreshTable(name)
+    return unused
 
 
 def replace_partition_path(df: DataFrame, path: str, col: str, *, fmt: str = "parquet") -> None:

@@ -7,9 +7,10 @@ from featuremart.catalogue import fixed as fixed_queries
 from featuremart.catalogue import mobile as mobile_queries
 from featuremart.catalogue.registry import AS_OF, Tables
 from featuremart.operators.categorical import category_matrix, category_vectors, merge_vectors, spread_vectors
-from featuremart.operators.joins import assemble_known
+from featuremart.operators.joins import as_of_join, assemble_known
 from featuremart.operators.snapshots import assert_grain
 from featuremart.plans import fixed, mobile, training
+from featuremart.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -195,3 +196,57 @@ def test_sparse_and_wide_interests_give_one_mart(t):
     sparse = mobile_queries.mart_frame(t).drop("build_dt")
     assert wide.drop("build_dt").select(sparse.columns).exceptAll(sparse).count() == 0
     assert wide.count() == sparse.count()
+
+
+def test_as_of_join(spark):
+    """The newest month not later than the target, at most ``within`` months older."""
+    left = [(1, "2001-06-01"), (1, "2001-04-01"), (2, "2001-06-01"), (3, "2001-06-01"), (None, "2001-06-01"), (1, None)]
+    right = [(1, "2001-03-01", 13), (1, "2001-05-01", 15), (1, "2001-07-01", 17), (2, "2001-01-01", 21), (None, "2001-05-01", 9)]
+    a = spark.createDataFrame([(*r, "x", 0) for r in left], "k int, day string, _at string, _held int")
+    b = spark.createDataFrame(right, "k int, month string, v int")
+    target = F.to_date("day")
+    rows = lambda **how: {(r.k, r.day, r.v, str(r.feature_month)) for r in as_of_join(a, b, ["k"], target, "month", **how).collect()}
+    none = {(3, "2001-06-01", None, "None"), (None, "2001-06-01", None, "None"), (1, None, None, "None")}
+    assert rows() == none | {(1, "2001-06-01", 15, "2001-05-01"), (1, "2001-04-01", 13, "2001-03-01"), (2, "2001-06-01", 21, "2001-01-01")}
+    assert rows(within=2) == none | {(1, "2001-06-01", 15, "2001-05-01"), (1, "2001-04-01", 13, "2001-03-01"), (2, "2001-06-01", None, "None")}
+    assert rows(within=0) == none | {(1, "2001-06-01", None, "None"), (1, "2001-04-01", None, "None"), (2, "2001-06-01", None, "None")}
+    assert as_of_join(a.where("false"), b, ["k"], target, "month").count() == 0
+    assert as_of_join(a, b.where("false"), ["k"], target, "month").where("v is null").count() == len(left)
+
+
+def test_no_feature_is_younger_than_the_lag(spark):
+    """Marts stored by month: older features only, and no file of a later month is read."""
+    tables.ensure_db(spark, "months_test")
+    try:
+        keys = "mobile_id int, mobile_acc_id int, mobile_msisdn int"
+        for month in ("2001-03-01", "2001-05-01", "2001-06-01", "2001-07-01"):
+            number = int(month[5:7])
+            fixed_rows = spark.createDataFrame([(i, i, i, number, month) for i in range(9) if (i + number) % 2], f"{keys}, f int, table_business_month string")
+            mobile_rows = spark.createDataFrame([(i, number * 10, month) for i in range(9)], "msisdn int, m int, table_business_month string")
+            training.publish_month(fixed_rows, "months_test.fix")
+            training.publish_month(mobile_rows, "months_test.mob")
+        labels = [(i, i, i, i % 2, month) for i in range(9) for month in ("2001-04-01", "2001-06-01", "2001-07-01")]
+        targets = spark.createDataFrame(labels, f"{keys}, target_active_churn int, table_business_month string")
+        marts = [tables.load(spark, f"months_test.{n}") for n in ("fix", "mob")]
+        split = training.build_split(targets, *marts, (date(2001, 4, 1), date(2001, 7, 1)), ratio=100, lag=1, within=None)
+        rows = split.collect()
+        assert len(rows) == 27
+        for r in rows:
+            label, limit = date.fromisoformat(r.table_business_month), {4: 3, 6: 5, 7: 6}[int(r.table_business_month[5:7])]
+            held = [n for n in (3, 5, 6, 7) if (r.mobile_id + n) % 2 and n <= limit]
+            assert r.f == max(held, default=None) and r.m == 10 * limit
+            for month in (r.fixed_feature_month, r.mobile_feature_month):
+                assert month is None or month < label
+        exact = training.build_split(targets, *marts, (date(2001, 4, 1), date(2001, 7, 1)), ratio=100, lag=1).collect()
+        assert {(r.msisdn, r.table_business_month, r.m) for r in exact} == {(r.msisdn, r.table_business_month, r.m) for r in rows}
+        # the file listing itself is cut to the months that labels of April can know
+        early = training.usable_months(marts[1], (date(2001, 4, 1), date(2001, 4, 1)), 1, 0)
+        plan = early._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and {r[0] for r in early.select("m").distinct().collect()} == {30}
+    finally:
+        spark.sql("DROP DATABASE months_test CASCADE")
+
+
+def test_the_fixed_mart_names_its_month(t):
+    mart = fixed_queries.fixed_mart_frame(t, date(2001, 4, 30))
+    assert {r[0] for r in mart.select(training.MONTH).distinct().collect()} == {"2001-04-01"}

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +63,36 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
 def test_small_sources(spark):
     assert tables.small_table(spark, [("a", 1)], ["name", "n"]).count() == 1
     assert [r.k for r in tables.row_numbers(spark, 3, "k").collect()] == [0, 1, 2]
+
+
+def test_a_failed_write_leaves_the_old_partition(spark, db, rows):
+    name = f"{db}.kept"
+    tables.replace_partition(frame(spark), name, "m")
+    before = rows(tables.load(spark, name), "id", "m")
+    broken = frame(spark).withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(-F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_partition(broken, name, "m")
+    assert rows(tables.refresh(spark, name), "id", "m") == before
+
+
+def test_a_new_partition_does_not_touch_the_others(spark, db, rows):
+    name = f"{db}.months"
+    assert tables.replace_partition(frame(spark).where("m = '0'"), name, "m") == []
+    files = set(tables.load(spark, name).inputFiles())
+    odd = spark.createDataFrame([(1, "a b=c/d'%20\\"), (2, None), (3, "")], "id bigint, m string")
+    assert tables.replace_partition(odd, name, "m") == []
+    assert files < set(tables.load(spark, name).inputFiles())
+    assert tables.replace_partition(odd.withColumn("id", -F.col("id")), name, "m") != []
+    assert rows(tables.load(spark, name).where("m <> '0' or m is null"), "id", "m") == {(-1, "a b=c/d'%20\\"), (-2, None), (-3, None)}
+    assert tables.load(spark, name).where("m = '0'").count() == 4
+    assert "0" in tables.partition_values(spark, name, "m")
+
+
+def test_two_writers_of_one_table(spark, db):
+    """Each replaces its own partition, at the same time, without a session setting."""
+    name = f"{db}.shared"
+    tables.replace_partition(frame(spark), name, "m")
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(tables.replace_partition, spark.range(100).select("id", F.lit(m).alias("m")), name, "m") for m in "01"]
+        assert all(len(j.result()) == 1 for j in jobs)
+    assert {r.m: r["count"] for r in tables.refresh(spark, name).groupBy("m").count().collect()} == {"0": 100, "1": 100, "2": 3}
