@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from featuremart.operators.joins import unused
 from featuremart.sources.storage import checkpoint_dir
 
 # monotonically_increasing_id holds the row's position in its partition in the
@@ -115,6 +120,79 @@ def cohort_rank(
     return numbered.withColumn(label, F.when(F.col("row_num") <= n_positive, 1).otherwise(0))
 
 
+#: Parts into which one look at the data cuts the range in which the border lies.
+BINS = 4096
+#: Rows beyond the wanted ones that may be numbered with them.
+ROOM = 100_000
+
+
+def _at_most(prefix: Sequence[tuple[str, object]], last: Column) -> Column:
+    """Rows that sort before the values of ``prefix``, or have them and fulfil ``last``; nulls sort first."""
+    for name, value in reversed(prefix):
+        equal = F.col(name).eqNullSafe(F.lit(value))
+        last = equal & last if value is None else F.col(name).isNull() | (F.col(name) < F.lit(value)) | (equal & last)
+    return last
+
+
+def _bin(kind: T.DataType, name: str, low, high) -> Column | None:
+    """A number or text that grows with the column and differs between ``low`` and ``high``; None if the type has none."""
+    if isinstance(kind, T.StringType):
+        same = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+        return F.substring(name, same + 1, 1)
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        scale = getattr(kind, "scale", 0)
+        value, edges = F.col(name).cast(f"decimal(38,{scale})"), [Decimal(x) for x in (low, high)]
+    elif isinstance(kind, T.DateType):
+        value, edges = F.unix_date(name), [x.toordinal() - date(1970, 1, 1).toordinal() for x in (low, high)]
+    elif isinstance(kind, T.FractionalType) and all(map(math.isfinite, (low, high, high - low))):
+        value, edges = F.col(name).cast("double"), [float(low), float(high)]
+    else:
+        return None
+    # the difference first: it is exact where the values are beyond the digits of a double
+    share = (value - F.lit(edges[0])).cast("double") / F.lit(float(edges[1] - edges[0]))
+    return F.floor(share * BINS)
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int, room: int | None = None) -> DataFrame:
+    """The rows that can be among the first ``n`` of ``order``, by a filter on its columns.
+
+    The order (ascending, nulls first) is refined digit by digit: a histogram
+    of the first column tells in which part of its range the ``n``-th row lies,
+    the next one cuts that part again, and within one value the next column is
+    refined. Each step reads the order columns only. It stops when at most
+    ``room`` rows too many would pass; more pass only if they are equal in all
+    columns, or in those of a type that has no histogram (such as binary).
+    """
+    room = ROOM if room is None else room
+    prefix: list[tuple[str, object]] = []
+    for name in order:
+        rows = df.where(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in prefix], F.lit(True)))
+        facts = rows.agg(F.count("*"), F.count(name), F.min(name), F.max(name)).first()
+        total, known, low, high = facts
+        if total <= n + room:
+            break
+        if n <= total - known:
+            if total - known <= n + room:
+                return df.where(_at_most(prefix, F.col(name).isNull()))
+            prefix.append((name, None))
+            continue
+        n, count = n - (total - known), known
+        while count > n + room and low != high:
+            place = _bin(df.schema[name].dataType, name, low, high)
+            if place is None:
+                return df.where(_at_most(prefix, F.lit(True)))
+            inside = rows.where(F.col(name).between(F.lit(low), F.lit(high)))
+            bins = inside.groupBy(place.alias("bin")).agg(F.count("*").alias("n"), F.min(name).alias("low"), F.max(name).alias("high"))
+            # at most a row per bin (or character) reaches this window
+            upto = bins.withColumn("upto", F.sum("n").over(Window.orderBy("bin"))).where(F.col("upto") >= n)
+            edge = upto.agg(F.min_by(F.struct("n", "upto", "low", "high"), "bin")).first()[0]
+            n, count, low, high = n - (edge["upto"] - edge["n"]), edge["n"], edge["low"], edge["high"]
+        if count <= n + room:
+            return df.where(_at_most(prefix, F.col(name).isNull() | (F.col(name) <= F.lit(high))))
+        prefix.append((name, low))
+    return df.where(_at_most(prefix, F.lit(True)))
+
+
 @dataclass(frozen=True)
 class Cohort:
     """One month's cohort: how many rows it takes and how many of them are positive."""
@@ -135,20 +213,34 @@ def monthly_cohorts(
 ) -> DataFrame:
     """Disjoint cohorts of the given sizes, each with its own ``row_num`` and label.
 
-    The table is numbered once and cut into consecutive ranges, which takes the
-    place of one anti-join per month against all months before.
+    One numbering, cut into consecutive ranges, takes the place of one anti-join
+    per month against all months before. If the order is given by column names,
+    :func:`first_rows` finds the rows that the cohorts can need, and no others
+    are numbered; if it is ``unique`` too, only their order columns are sorted
+    and checkpointed, and the rows are joined back. The input is read several
+    times, so it should be a stored table.
     """
-    numbered = global_row_number(df, order, "_rank", unique=unique)
+    total = sum(c.rows for c in cohorts)
+    rank = unused("_rank", df)
+    named = all(isinstance(o, str) for o in order)
+    rows = first_rows(df, order, total) if named else df
+    if named and unique:
+        numbers = global_row_number(rows.select(*order), order, rank, unique=True).where(F.col(rank) <= total)
+        other = {c: unused(f"_of_{c}", df) for c in order}
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(o)) for c, o in other.items()])
+        numbered = rows.join(numbers.withColumnsRenamed(other), same).drop(*other.values())
+    else:
+        numbered = global_row_number(rows, order, rank, unique=unique)
     start, month, first, positives = 0, F.lit(None), F.lit(None), F.lit(None)
     for c in cohorts:
-        inside = (F.col("_rank") > start) & (F.col("_rank") <= start + c.rows)
+        inside = (F.col(rank) > start) & (F.col(rank) <= start + c.rows)
         month = F.when(inside, F.lit(c.month)).otherwise(month)
         first = F.when(inside, F.lit(start).cast("long")).otherwise(first)
         positives = F.when(inside, F.lit(c.positives).cast("long")).otherwise(positives)
         start += c.rows
-    number = F.col("_rank") - first
+    number = F.col(rank) - first
     return (
-        numbered.where(F.col("_rank") <= start)
+        numbered.where(F.col(rank) <= start)
         .withColumns(
             {
                 "row_num": number,
@@ -156,5 +248,5 @@ def monthly_cohorts(
                 month_col: month,
             }
         )
-        .drop("_rank")
+        .drop(rank)
     )

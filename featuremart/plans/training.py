@@ -92,10 +92,14 @@ def positives_and_holdout(
 def cohort_targets(
     labels: DataFrame, cohorts: Sequence[Cohort], *, mobile: str = "mobile", label: str = LABEL
 ) -> DataFrame:
-    """Disjoint monthly cohorts in line order; the labels must be one row per line."""
+    """Disjoint monthly cohorts in line order; the labels must be one row per line.
+
+    They are checkpointed, since the cohorts look at them several times.
+    """
     _, account, line = label_keys(mobile)
     order = [line, account, f"{mobile}_id"]
-    bare = labels.drop(label, MONTH)
+    checkpoint_dir(labels.sparkSession)
+    bare = labels.drop(label, MONTH).checkpoint()
     return monthly_cohorts(bare, order, cohorts, label, MONTH, unique=True)
 
 

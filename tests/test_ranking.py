@@ -1,5 +1,6 @@
 import random
-from datetime import date
+from datetime import date, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from featuremart.operators import profile, quality, ranking
 from featuremart.operators.labels import class_counts, label_share
+from featuremart.operators.ranking import Cohort, first_rows
 from featuremart.operators.sampling import downsample
 
 
@@ -144,3 +146,52 @@ def test_label_reports(spark):
     df = spark.createDataFrame([("m", 1), ("m", 0), ("m", 0)], "month string, y int")
     assert {tuple(r) for r in class_counts(df, ["month"], "y").collect()} == {("m", 1, 1), ("m", 0, 2)}
     assert tuple(label_share(df, ["month"], "y").first()) == ("m", 1, 3, 33.33)
+
+
+KINDS = {
+    "a": ("int", lambda r: r.choice([None, 5, 5, 5, r.randrange(-(2**31), 2**31)])),
+    "b": ("bigint", lambda r: r.choice([2**62, -(2**62), 2**62 + r.randrange(9), r.randrange(99)])),
+    "c": ("string", lambda r: r.choice([None, "", "ab", "abé", "日本", "ab" + str(r.randrange(99))])),
+    "d": ("double", lambda r: r.choice([None, 0.0, -1e300, 1e300, r.random(), float("inf")])),
+    "e": ("date", lambda r: r.choice([None, date(2001, 1, 1) + timedelta(r.randrange(900))])),
+    "f": ("decimal(20,4)", lambda r: r.choice([None, Decimal(r.randrange(10**9)) / 10000, Decimal("1.5000")])),
+    "g": ("boolean", lambda r: r.choice([None, True, False])),
+}
+
+
+@pytest.mark.parametrize("order", ["a", "abc", "cb", "dea", "ef", "gb", "fcd"])
+def test_first_rows(spark, order):
+    """All wanted rows pass, and few others."""
+    rnd = random.Random(order)
+    rows = [tuple(make(rnd) for _, make in KINDS.values()) + (i,) for i in range(800)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, (t, _) in KINDS.items()) + ", i int").cache()
+    key = lambda r: tuple((r["abcdefg".index(c)] is not None, 0 if r["abcdefg".index(c)] is None else r["abcdefg".index(c)]) for c in order)
+    ranked = sorted(rows, key=key)
+    for n, room in ((1, 0), (37, 5), (400, 0), (799, 0), (800, 0), (5000, 10)):
+        got = first_rows(df, list(order), n, room).collect()
+        wanted = {r[-1] for r in ranked if key(r) <= key(ranked[min(n, 800) - 1])}
+        assert {r.i for r in got} >= {r[-1] for r in ranked[:n]}
+        if "g" not in order and "d" not in order:  # these have values without a histogram
+            assert len(got) <= max(n + room, len(wanted))
+    df.unpersist()
+
+
+def test_first_rows_of_nothing(spark):
+    none = spark.createDataFrame([], "a int, i int")
+    assert first_rows(none, ["a"], 5, 0).count() == 0
+
+
+def test_cohorts_number_only_what_they_need(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ROOM", 10)
+    seen, number = [], ranking.global_row_number
+    monkeypatch.setattr(ranking, "global_row_number", lambda df, *a, **k: seen.append((df.columns, df.count())) or number(df, *a, **k))
+    rows = [(None if i == 7 else i, f"x{i}", i % 3) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k int, wide string, _rank int").repartition(8)
+    cohorts = [Cohort(date(2001, 5, 1), 30, 3), Cohort(date(2001, 6, 1), 20, 2)]
+    got = ranking.monthly_cohorts(df, ["k"], cohorts, unique=True).collect()
+    assert seen[0][0] == ["k"] and seen[0][1] <= 60
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))[:50]
+    want = {(*r, (i if i < 30 else i - 30) + 1, int((i if i < 30 else i - 30) < (3 if i < 30 else 2)), date(2001, 5 + (i >= 30), 1)) for i, r in enumerate(order)}
+    assert {(r.k, r.wide, r._rank, r.row_num, r.target_active_churn, r.table_business_month) for r in got} == want
+    ties = ranking.monthly_cohorts(df.union(df), ["k"], cohorts).collect()
+    assert len(ties) == 50 and sorted(r.k for r in ties if r.k is not None) == sorted([*range(7), *range(8, 25)] * 2)
