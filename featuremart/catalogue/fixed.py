@@ -13,15 +13,17 @@ from featuremart.catalogue.registry import (
     day,
     in_month,
     in_months,
+    moved,
     query,
     with_ctes,
 )
 from featuremart.catalogue.roles import FIXED_SOURCES
-from featuremart.functions.calendar import month_start, slots
+from featuremart.functions.calendar import month_end, month_start, slots
 from featuremart.functions.temporal import days_since
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
+from featuremart.operators.intervals import interval_join
 from featuremart.operators.joins import attach_by, attach_flags, enrich, merge_counters, stack
 from featuremart.operators.rollup import rollup_entity
 from featuremart.operators.slots import dominant_by_month, month_slots, payment_block, slot_name
@@ -35,6 +37,7 @@ from featuremart.operators.snapshots import (
     with_open_flags,
     with_tenure,
 )
+from featuremart.operators.states import STATE, merge_states, month_state, windows
 from featuremart.plans import fixed
 from featuremart.plans.fixed import ACCOUNT, EQUIPMENT_VALUES, SERVICES
 
@@ -328,6 +331,61 @@ def fixed_identity_base(t: Tables):
     return fixed.identity_base(t.convergent_a, t.convergent_b, t.contracts, AS_OF)
 
 
+YEAR_ENDS = [month_end(AS_OF, k) for k in range(12)]
+_DAYS_SQL = f"(select unnest([{', '.join(map(day, YEAR_ENDS))}]) as snapshot_day)"
+_VALID = "dt_from <= {d} and coalesce(cast(dt_to as date), date '9999-12-31') > {d}"
+
+
+@query(
+    "identity_months",
+    with_ctes(
+        {
+            "cur": f"select * from ({_CURRENT.split(' where ')[0]}), {_DAYS_SQL} where {_VALID.format(d='snapshot_day')}",
+            "ids": f"""
+            select mobile_id, mobile_acc_id, personal_account_number, mobile_id as billing_id, mobile_acc_id as acc_id,
+              personal_account_number as acc_num, mobile_msisdn, mobile_tariff_plan, 1 as is_mobile, snapshot_day from cur
+            union select mobile_id, mobile_acc_id, personal_account_number, fix_billing_id, fix_acc_id, fix_acc_num,
+              mobile_msisdn, mobile_tariff_plan, 0, snapshot_day from cur""",
+            "con": _LATEST_CONTRACT,
+        },
+        f"""
+        select {casts('bigint', _ID_INTS + _CONTRACT_INTS)}, cast(dt_from as varchar) as dt_from, cast(snapshot_day as varchar) as snapshot_day
+        from (select ids.*, con.* exclude (billing_id, acc_id) from ids left join con using (billing_id, acc_id))
+        """,
+    ),
+    ("convergent_a", "convergent_b", "contracts"),
+)
+def identity_months(t: Tables):
+    """Twelve month ends from one read of the identities."""
+    return fixed.identity_months(t.convergent_a, t.convergent_b, t.contracts, YEAR_ENDS)
+
+
+def _validity_sql(join: str) -> str:
+    return f"""
+    with days as (select billing_id, acc_id, last_day(dt) as day, count(*) as n_payments from payments group by all)
+    select cast(d.billing_id as bigint) as billing_id, d.acc_id, cast(d.day as varchar) as day, n_payments,
+      count(e.dt_from) as n_valid, cast(max(e.equipment_type) as bigint) as top_type
+    from days d {join} equipment e on d.billing_id = e.billing_id and d.acc_id = e.acc_id and {_VALID.format(d='d.day')} group by all
+    """
+
+
+def _validity_join(t: Tables, how: str):
+    days = t.payments.groupBy("billing_id", "acc_id", F.last_day("dt").alias("day")).agg(F.count("*").alias("n_payments"))
+    rows = interval_join(days, t.equipment.select(*ACCOUNT, "dt_from", "dt_to", "equipment_type"), ACCOUNT, "day", how=how)
+    return rows.groupBy("billing_id", "acc_id", "day", "n_payments").agg(F.count("dt_from").alias("n_valid"), F.max("equipment_type").alias("top_type"))
+
+
+@query("validity_join", _validity_sql("join"), ("payments", "equipment"))
+def validity_join(t: Tables):
+    """Equipment valid at the end of each month in which the account paid."""
+    return _validity_join(t, "inner")
+
+
+@query("validity_join_left", _validity_sql("left join"), ("payments", "equipment"))
+def validity_join_left(t: Tables):
+    return _validity_join(t, "left")
+
+
 @query(
     "contract_enrich",
     """
@@ -471,6 +529,25 @@ left join ({dominant('payments', 'billing_id, acc_id', 'dt', 'pay_class', 'amoun
 _LONG_ACCOUNT = "* replace (cast(billing_id as bigint) as billing_id)"
 
 
+WINDOW_DAYS = [month_end(AS_OF, k) for k in range(6)]
+
+
+@query(
+    "payment_windows",
+    " union all ".join(
+        f"select {_LONG_ACCOUNT}, '{end}' as as_of from (select * exclude (is_pay) from ({moved(_PAY, k)}))" for k, end in enumerate(WINDOW_DAYS)
+    ),
+    ("payments",),
+)
+def payment_windows(t: Tables):
+    """Six windows from one state, to which late payments were added."""
+    late = (F.col("acc_id") % 4 == 1) & (F.col("dt") >= F.lit(month_end(AS_OF, 3)))
+    kinds = [F.col(k) for k in ACCOUNT]
+    state, more = (month_state(t.payments.where(rows), ACCOUNT, "dt", "amount", "pay_class") for rows in (~late, late))
+    merged = merge_states(ACCOUNT, state.select(*kinds, *STATE), more.select(*kinds, *STATE))
+    return windows(merged, ACCOUNT, WINDOW_DAYS, "pay", class_prefix="pay_class", none_class=0)
+
+
 @query("fixed_payments", f"select {_LONG_ACCOUNT} from ({_PAY})", ("payments",))
 def fixed_payments(t: Tables):
     return fixed.payments_block(t.payments, AS_OF)

@@ -17,7 +17,7 @@ from featuremart.operators.joins import enrich, holdout, stack
 from featuremart.operators.labels import class_counts, label_base, label_inputs, label_share
 from featuremart.operators.quality import confusion, lift_table
 from featuremart.operators.ranking import Cohort, cohort_rank, global_row_number, monthly_cohorts
-from featuremart.operators.sampling import downsample
+from featuremart.operators.sampling import downsample, downsample_strata
 from featuremart.operators.slots import month_slots
 from featuremart.operators.snapshots import month_slice
 from featuremart.plans import training
@@ -329,6 +329,27 @@ def negative_sample_all(t: Tables):
     return downsample(t.labels, "toxic", 1000, ["doc_id"], seed=7)
 
 
+@query(
+    "negatives_by_month",
+    with_ctes(
+        COHORT_CTES,
+        """
+        with h as (select *, md5('7|' || mobile_id || '|' || mobile_acc_id || '|' || mobile_msisdn) as d,
+            sum(target_active_churn) over (partition by table_business_month) as positives from cohorts),
+        r as (select *, row_number() over (partition by table_business_month, target_active_churn
+            order by substr(d, 1, 8), mobile_id, mobile_acc_id, mobile_msisdn) as rn from h)
+        select mobile_id, mobile_acc_id, mobile_msisdn, target_active_churn, table_business_month from r
+        where target_active_churn = 1 or rn <= floor(positives * 2.5)
+        """,
+    ),
+    LABEL_ROLES,
+)
+def negatives_by_month(t: Tables):
+    """Two and a half negatives for each positive, in every month."""
+    rows = targets_frame(t).drop("row_num")
+    return downsample_strata(rows, training.LABEL, 2.5, training.label_keys(), [training.MONTH], seed=7)
+
+
 @query(
     "training_set",
     """

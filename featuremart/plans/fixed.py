@@ -17,6 +17,7 @@ from featuremart.functions.temporal import days_since, valid_on
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
+from featuremart.operators.intervals import snapshots
 from featuremart.operators.joins import assemble, enrich, enrich_spread, stack, stamp
 from featuremart.operators.rollup import rollup_entity
 from featuremart.operators.slots import month_slots, payment_block, slot_name
@@ -49,11 +50,15 @@ def line_identities(
     number: str = "personal_account_number",
     *,
     distinct: bool = True,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Both identities of each row: ``is_{mobile}`` 1 with the mobile account, 0 with the fixed one."""
+    """Both identities of each row: ``is_{mobile}`` 1 with the mobile account, 0 with the fixed one.
+
+    ``also`` names further columns that tell identities apart, such as the day of a snapshot.
+    """
     return dual_identity(
         df,
-        [f"{mobile}_id", f"{mobile}_acc_id", number, f"{mobile}_msisdn", f"{mobile}_tariff_plan"],
+        [f"{mobile}_id", f"{mobile}_acc_id", number, f"{mobile}_msisdn", f"{mobile}_tariff_plan", *also],
         {
             1: {"billing_id": f"{mobile}_id", "acc_id": f"{mobile}_acc_id", "acc_num": number},
             0: {
@@ -87,6 +92,23 @@ def identity_base(
     return enrich_spread(line_identities(current, mobile, fixed), latest_contracts(contracts, ties), ACCOUNT)
 
 
+def identity_months(
+    convergent_a: DataFrame,
+    convergent_b: DataFrame,
+    contracts: DataFrame,
+    days: Sequence[date],
+    *,
+    mobile: str = "mobile",
+    fixed: str = "fix",
+    ties: Sequence[str] = ("contract_id",),
+    day: str = "snapshot_day",
+) -> DataFrame:
+    """:func:`identity_base` for many days, each identity with the ``day`` it is valid on; all sources are read once."""
+    current = snapshots(stack(convergent_a, convergent_b), days, out=day)
+    identities = line_identities(current, mobile, fixed, also=[day])
+    return enrich_spread(identities, latest_contracts(contracts, ties), ACCOUNT)
+
+
 def lifetime_block(lifetimes: DataFrame, as_of: date) -> DataFrame:
     """Tenure and open-service flags, one row per account.
 

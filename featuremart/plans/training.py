@@ -25,7 +25,7 @@ from featuremart.operators.joins import (
 from featuremart.operators.labels import label_base, with_churn_labels
 from featuremart.operators.quality import confusion, lift_table
 from featuremart.operators.ranking import Cohort, cap_rows, monthly_cohorts
-from featuremart.operators.sampling import downsample
+from featuremart.operators.sampling import downsample, downsample_strata
 from featuremart.operators.slots import month_slots, slot_name
 from featuremart.operators.snapshots import latest_by
 from featuremart.plans.fixed import ACCOUNT, line_identities
@@ -187,9 +187,13 @@ def build_split(
     mobile: str = "mobile",
     lag: int | None = None,
     within: int | None = 0,
+    by_month: bool = False,
 ) -> DataFrame:
     """Train, validation or test set of the label months ``[first, last]``.
 
+    One share of negatives serves all months; ``by_month`` gives each month its
+    exact ratio instead.
+
     ``lag`` and ``within`` as in :func:`training_set`; with ``lag`` only the
     months of the marts that can matter are read.
 
@@ -198,7 +202,8 @@ def build_split(
     """
     first, last = months
     rows = targets.where(F.col(MONTH).between(F.lit(first), F.lit(last)))
-    sampled = downsample(rows, label, ratio, [*label_keys(mobile), MONTH], seed)
+    key = [*label_keys(mobile), MONTH]
+    sampled = downsample_strata(rows, label, ratio, key, [MONTH], seed) if by_month else downsample(rows, label, ratio, key, seed)
     if lag is not None:
         fixed, mobile_mart = (usable_months(mart, months, lag, within) for mart in (fixed, mobile_mart))
     return training_set(sampled, fixed, mobile_mart, mobile=mobile, lag=lag, within=within)
