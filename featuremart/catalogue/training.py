@@ -15,13 +15,13 @@ from featuremart.functions.temporal import feature_month, within_days
 from featuremart.operators import profile
 from featuremart.operators.joins import enrich, holdout, stack
 from featuremart.operators.labels import class_counts, label_base, label_inputs, label_share
-from featuremart.operators.quality import confusion, lift_table
+from featuremart.operators.quality import confusion, lift_from_sketches, lift_table, merge_score_sketches, score_sketches
 from featuremart.operators.ranking import Cohort, cohort_rank, global_row_number, monthly_cohorts
 from featuremart.operators.sampling import downsample, downsample_strata
 from featuremart.operators.slots import month_slots
 from featuremart.operators.snapshots import month_slice
 from featuremart.plans import training
-from featuremart.sources.tables import load
+from featuremart.sources.tables import load, replace_partition
 
 START = month_start(AS_OF)
 PAYS = ["pay_00mm", "pay_01mm", "pay_02mm"]
@@ -447,10 +447,11 @@ def _all_months_sql(mart: str, columns: list[str]) -> str:
 def training_split_by_month(t: Tables):
     """Both marts stored for two months; each label meets the newest features at least a month older than it."""
     names = {}
+    grains = {"fixed": fixed_queries.MART_KEYS, "mobile": ["msisdn"]}
     for mart, frame in (("fixed", fixed_queries.fixed_mart_frame), ("mobile", mobile_queries.mart_frame)):
         names[mart], path = fresh_table(t.spark, f"{mart}_months")
         for k in STORED:
-            training.publish_month(frame(t, month_end(AS_OF, k)), names[mart], path=path)
+            training.publish_month(frame(t, month_end(AS_OF, k)), names[mart], unique=grains[mart], path=path)
     marts = (
         load(t.spark, names["fixed"]).select(*training.label_keys(), *_FEATURES, training.MONTH),
         load(t.spark, names["mobile"]).select("msisdn", *_MOBILE_FEATURES, training.MONTH),
@@ -632,6 +633,70 @@ def lift(t: Tables):
 
 
 
+@query(
+    "lift_sketches",
+    f"""
+    with s as (select quality, cast(score as double) as score from {_SCORED}),
+    r as (select quality, score, count(*) over (order by score) as upto, count(*) over () as n from s),
+    borders as (select distinct min(score) as b from r, (select unnest(range(1, 10)) as i) where upto >= (1 - i / 10.0) * n group by i),
+    placed as (select quality, (select count(*) from borders where b >= score) as above from r),
+    ranked as (select quality, dense_rank() over (order by above) as top from placed)
+    select * from ({lift_sql('LIFTED', 10)})
+    """.replace("select quality, ntile(10) over (order by score desc, doc_id) as top from LIFTED", "select quality, top from ranked"),
+)
+def lift_sketches(t: Tables):
+    """Two scoring runs sketched apart and added up; small enough for the sketches to be exact."""
+    rows = scored(t)
+    runs = score_sketches(rows.withColumn("run", F.col("doc_id") % 2), "quality", "score", ["run"])
+    return lift_from_sketches(merge_score_sketches(runs))
+
+
+_PROFILED = ["o_orderstatus", "o_orderpriority", "o_clerk_group", "nothing"]
+
+
+def _profile_months(t: Tables):
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    rows = t.orders.select(
+        month, "o_orderstatus", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("o_orderpriority"),
+        (F.col("o_custkey") % 7).alias("o_clerk_group"), F.lit(None).cast("string").alias("nothing"),
+    )
+    return rows.where("month in ('2001-06', '2001-07')")
+
+
+_PROFILE_ROWS = """(select strftime(o_orderdate, '%Y-%m') as month, o_orderstatus, case when o_orderpriority <> '5-LOW' then o_orderpriority end as o_orderpriority,
+  o_custkey % 7 as o_clerk_group, cast(null as varchar) as nothing from orders where strftime(o_orderdate, '%Y-%m') in ('2001-06', '2001-07'))"""
+
+
+def _profile_parts(*months: str) -> str:
+    part = lambda m: f"(select * from {_PROFILE_ROWS} where '{m}' in (month, 'both'))"
+    return " union all ".join(f"select '{m}' as month, * from ({profile_sql(part(m), _PROFILED)})" for m in months)
+
+
+@query("profile_months", _profile_parts("2001-06", "2001-07", "both"))
+def profile_months(t: Tables):
+    """Sketches stored by month; the months' profiles and that of both together come from them."""
+    name, path = fresh_table(t.spark, "profile_months")
+    for month in ("2001-06", "2001-07"):
+        part = _profile_months(t).where(F.col("month") == month)
+        replace_partition(profile.profile_sketches(part, ["month"]), name, "month", fmt="parquet", path=path)
+    stored = load(t.spark, name)
+    both = profile.profile_of(profile.merge_profiles(stored)).withColumn("month", F.lit("both"))
+    return stack(profile.profile_of(stored, ["month"]), both)
+
+
+@query(
+    "profile_drift",
+    f"""
+    with p as ({_profile_parts("2001-06", "2001-07")})
+    select b.month, "column", b.n_unique - a.n_unique as n_unique_change, b.fill_rate - a.fill_rate as fill_rate_change,
+      b.top_1_share - a.top_1_share as top_1_share_change
+    from p a join p b using ("column") where a.month = '2001-06' and b.month = '2001-07'
+    """,
+)
+def profile_drift(t: Tables):
+    return profile.profile_drift(profile.profile_of(profile.profile_sketches(_profile_months(t), ["month"]), ["month"]), "month")
+
+
 _REPORT = ["target_cnt", "cnt", "target_share", "lift", "cum_lift", "coverage"]
 _CONFUSION = f"""
 select 'act_POS' as item, count(case when quality = 1 and score > 30 then 1 end) as pred_POS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 METRICS = ("n_unique", "fill_rate", "top_1_share")
@@ -57,6 +57,58 @@ def _estimates(df: DataFrame, names: Sequence[str], hashes: Sequence[Column]) ->
     )
 
 
+#: Values that a sketch of frequent ones tracks; with fewer distinct values its counts are exact.
+TRACKED = 1000
+
+
+def profile_sketches(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+    """One row of sketches per group and column, for :func:`merge_profiles`: one read, a few kilobytes a row.
+
+    ``by`` is what the profiles are kept by, such as the month. Rows and filled rows are counted
+    exactly, distinct and frequent values are sketched over their 64-bit hashes.
+    """
+    names = list(columns or [c for c in df.columns if c not in by])
+    hashes = [F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(F.col(f"`{c}`"))).alias(f"h{i}") for i, c in enumerate(names)]
+    metrics = [
+        F.struct(
+            F.lit(c).alias("column"), F.count("*").alias("rows"), F.count(f"h{i}").alias("filled"), F.hll_sketch_agg(f"h{i}").alias("distinct"),
+            F.expr(f"approx_top_k_accumulate(h{i}, {TRACKED}) filter (where h{i} is not null)").alias("frequent"),
+        ).alias(f"m{i}")
+        for i, c in enumerate(names)
+    ]
+    wide = df.select(*by, *hashes).groupBy(*by).agg(*metrics)
+    return wide.select(*by, F.inline(F.array(*[f"m{i}" for i in range(len(names))])))
+
+
+def merge_profiles(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sketches of disjoint rows added up per column, and per ``by``."""
+    return sketches.groupBy(*by, "column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("filled").alias("filled"),
+        F.hll_union_agg("distinct").alias("distinct"),
+        F.expr(f"approx_top_k_combine(frequent, {TRACKED})").alias("frequent"),
+    )
+
+
+def profile_of(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The metrics of :func:`column_profile` from sketches; groups without rows have none."""
+    top = F.expr("approx_top_k_estimate(case when filled > 0 then frequent end, 1)")
+    return sketches.where("rows > 0").select(
+        *by,
+        "column",
+        F.hll_sketch_estimate("distinct").alias("n_unique"),
+        (F.col("filled") / F.col("rows")).alias("fill_rate"),
+        F.coalesce(F.try_divide(F.get(top, F.lit(0))["count"], F.col("filled")), F.lit(0.0)).alias("top_1_share"),
+    )
+
+
+def profile_drift(profiles: DataFrame, by: str) -> DataFrame:
+    """How each metric of a column differs from the group before, in the order of ``by``; the first group is left out."""
+    before = Window.partitionBy("column").orderBy(by)
+    change = [(F.col(m) - F.lag(m).over(before)).alias(f"{m}_change") for m in METRICS]
+    return profiles.select(by, "column", *change).where(f"{METRICS[0]}_change is not null")
+
+
 def metric_rows(profile: DataFrame) -> DataFrame:
     """The profile in long form: column, metric, value."""
     wide = profile.select("column", *[F.col(m).cast("double").alias(m) for m in METRICS])

@@ -114,9 +114,14 @@ def target_table(
     replace_partition(wanted.select(*label_keys(mobile), label, MONTH), name, MONTH)
 
 
-def publish_month(mart: DataFrame, name: str, *, fmt: str = "orc", path: str | None = None) -> list[str]:
-    """Store a mart under the month it is stamped with; rerunning a month replaces it and no other."""
-    return replace_partition(mart, name, MONTH, fmt=fmt, path=path)
+def publish_month(
+    mart: DataFrame, name: str, *, unique: Sequence[str] = (), fmt: str = "orc", path: str | None = None
+) -> list[str]:
+    """Store a mart under the month it is stamped with; rerunning a month replaces it and no other.
+
+    With ``unique``, the columns of its grain, a mart that repeats a key is refused.
+    """
+    return replace_partition(mart, name, MONTH, fmt=fmt, path=path, unique=unique)
 
 
 def training_set(

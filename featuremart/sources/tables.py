@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -89,7 +90,7 @@ def _sql_literal(value) -> str:
 
 
 def replace_partition(
-    df: DataFrame, name: str, col: str, *, fmt: str = "orc", path: str | None = None
+    df: DataFrame, name: str, col: str, *, fmt: str = "orc", path: str | None = None, unique: Sequence[str] = ()
 ) -> list[str]:
     """Replace only the partitions present in ``df``; a rerun leaves the same table.
 
@@ -107,8 +108,17 @@ def replace_partition(
     table = spark.table(name)
     # the files hold the table's other columns, in its order and types
     ordered = df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
+    seen = Observation()
+    if unique:
+        mark = "_" + uuid.uuid4().hex
+        nth = F.row_number().over(Window.partitionBy(col, *unique).orderBy(F.lit(0)))
+        known_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique])
+        marked = ordered.withColumn(mark, nth).observe(seen, F.count_if(known_key & (F.col(mark) > 1)).alias("repeated"))
+        ordered = marked.drop(mark)
     staged = f"{table_location(spark, name).rstrip('/')}/_run-{uuid.uuid4().hex}"
     ordered.hint("rebalance", F.col(col)).write.format(fmt).partitionBy(col).save(staged)
+    if unique and seen.get["repeated"]:
+        raise ValueError(f"{seen.get['repeated']} rows of {name} repeat their {list(unique)}; the table was not changed")
     known, unused = set(partition_values(spark, name, col)), []
     # folders of the run, from its file names: no job, and bounded by the files written
     folders = {f.rsplit("/", 1)[0] for f in spark.read.format(fmt).load(staged).inputFiles()}

@@ -195,3 +195,42 @@ def test_cohorts_number_only_what_they_need(spark, monkeypatch):
     assert {(r.k, r.wide, r._rank, r.row_num, r.target_active_churn, r.table_business_month) for r in got} == want
     ties = ranking.monthly_cohorts(df.union(df), ["k"], cohorts).collect()
     assert len(ties) == 50 and sorted(r.k for r in ties if r.k is not None) == sorted([*range(7), *range(8, 25)] * 2)
+
+
+def test_lift_from_sketches_is_within_its_bound(spark):
+    """Counts of a merged sketch of a size far below the rows, against the exact ranks."""
+    size, n = 200, 60_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(1)).alias("score"), (F.rand(2) < 0.1).cast("int").alias("y"), (F.col("id") % 4).alias("run")
+    ).cache()
+    parts = quality.score_sketches(df, "y", "score", ["run"], size)
+    rows = quality.lift_from_sketches(quality.merge_score_sketches(parts)).orderBy("top").collect()
+    assert rows[-1].cnt_cum == n and rows[-1].target_cnt_cum == df.where("y = 1").count()
+    bound = 2.3 / size**0.9
+    # a third of equal scores stays in one bucket
+    assert len(rows) < 10 and max(r.cnt for r in rows) >= n / 3 * (1 - 3 * bound)
+    exact = sorted(r.score for r in df.select("score").collect())
+    positives = sorted(r.score for r in df.where("y = 1").select("score").collect())
+    assert sum(r.cnt for r in rows) == n and sum(r.target_cnt for r in rows) == len(positives)
+    borders = quality.merge_score_sketches(parts).select(F.kll_sketch_get_quantile_double("scores", F.array(*[F.lit(1 - i / 10) for i in range(1, 10)]))).first()[0]
+    for r, b in zip(rows, dict.fromkeys(borders)):
+        assert abs(r.cnt_cum - sum(x > b for x in exact)) <= 2 * bound * n
+        assert abs(r.target_cnt_cum - sum(x > b for x in positives)) <= 2 * bound * len(positives)
+
+
+def test_lift_from_sketches_edges(spark):
+    df = spark.createDataFrame([(None, 1, 1), (float("nan"), 1, 1), (0.5, 0, 1), (0.7, None, 2)], "score double, y int, run int")
+    rows = quality.lift_from_sketches(quality.merge_score_sketches(quality.score_sketches(df, "y", "score", ["run"])), 4).collect()
+    assert [(r.top, r.target_cnt, r.cnt, r.lift) for r in rows] == [(1, 0, 1, None), (2, 0, 1, None)]
+    assert quality.lift_from_sketches(quality.merge_score_sketches(quality.score_sketches(df.where("false"), "y", "score"))).count() == 0
+
+
+def test_merged_profiles_equal_one_read(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("m"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("a"), F.lit(None).cast("int").alias("b"), F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 50).alias("c"))
+    whole = {r.column: r for r in profile.profile_of(profile.profile_sketches(df, columns=["a", "b", "c"])).collect()}
+    merged = {r.column: r for r in profile.profile_of(profile.merge_profiles(profile.profile_sketches(df, ["m"]))).collect()}
+    assert {c: (r.fill_rate, r.top_1_share) for c, r in merged.items() if c != "a"} == {c: (r.fill_rate, r.top_1_share) for c, r in whole.items() if c != "a"}
+    assert {c: r.n_unique for c, r in merged.items() if c != "a"} == {"b": 0, "c": 25} and merged["a"].fill_rate == 0.8
+    assert all(abs(r["a"].n_unique - 16_000) < 0.05 * 16_000 for r in (whole, merged)) and merged["b"].top_1_share == 0
+    assert abs(merged["a"].n_unique - whole["a"].n_unique) <= 0.02 * 16_000
+    assert profile.profile_of(profile.profile_sketches(df.where("false"), columns=["a"])).count() == 0

@@ -96,3 +96,13 @@ def test_two_writers_of_one_table(spark, db):
         jobs = [pool.submit(tables.replace_partition, spark.range(100).select("id", F.lit(m).alias("m")), name, "m") for m in "01"]
         assert all(len(j.result()) == 1 for j in jobs)
     assert {r.m: r["count"] for r in tables.refresh(spark, name).groupBy("m").count().collect()} == {"0": 100, "1": 100, "2": 3}
+
+
+def test_a_repeated_key_is_refused(spark, db, rows):
+    name = f"{db}.grain"
+    good = spark.createDataFrame([("1", 1, 5), ("1", 2, 5), ("2", 1, 5), ("1", None, 5), ("1", None, 6)], "m string, k int, v int")
+    tables.replace_partition(good, name, "m", unique=["k"])
+    before = rows(tables.load(spark, name), "m", "k", "v")
+    with pytest.raises(ValueError, match="2 rows"):
+        tables.replace_partition(good.where("k is not null").union(spark.createDataFrame([("1", 2, 7), ("1", 2, 8)], good.schema)), name, "m", unique=["k"])
+    assert rows(tables.refresh(spark, name), "m", "k", "v") == before and len(before) == 5
