@@ -15,7 +15,8 @@ differ by D in all. The index has two levels.
   documents, survives if the sum of coordinate minima can reach the overlap that t asks
   for. Survivors are verified on the whole sets.
 
-Each document is first paired with one leader only, and components are
+Equal sets are linked by their hash, and only the first of them is looked up further. Each
+document is then paired with one leader only, and components are
 formed. Pages are joined just where a key still holds several
 components, so a group of near copies costs a link per copy, not all pairs, and no link
 that joins components is lost. Keys combine by minimum before their
@@ -33,13 +34,14 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from featuremart.llm.common import checkpointed, small_enough, stored
+from featuremart.llm.common import checkpointed, runs_of, small_enough, stored
 from featuremart.llm.components import components
 
 GROUPS = 256
 FULL = 32767  # the greatest count of a group, which stands for itself and more
-PAGE = 2048  # documents of a page
+PAGE = 4096  # documents of a page
 FOLDED = 32  # groups of a page's bounds: sums of every 32nd count
 IDS_SENT = 2_000_000  # ids of documents to verify that are sent to every task
 RATIO = 1.6  # size classes of the directory
@@ -114,43 +116,23 @@ def _frame(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
 
 
-def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    """``id, n, h, c``: size, hash of the set and group counts."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            rows = []
-            for text in part["text"]:
-                s = shingles(text, words)
-                h = int(np.add.reduce(_mix(s ^ _MIX[0])).view(np.int64)) if len(s) else 0
-                rows.append((len(s), h, np.minimum(np.bincount(s.astype(np.int64) & (GROUPS - 1), minlength=GROUPS), FULL).astype(np.int16)))
-            yield pd.DataFrame(rows, columns=["n", "h", "c"]).assign(id=part["id"].to_numpy())[["id", "n", "h", "c"]]
-
-    return docs.mapInPandas(run, "id bigint, n bigint, h bigint, c array<smallint>")
-
-
-def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``key, id`` rows of the directory."""
+def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``id, n, h, c, keys``: size, hash of the set, group counts and directory keys. Texts are hashed once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         directory = Directory(percent)
-        for part in batches:
-            ids, keys, held = [], [], 0
-            for i, text in zip(part["id"].to_numpy(), part["text"]):
-                s = shingles(text, words)
-                if not len(s):
-                    continue
-                k = directory.keys(s)
-                keys.append(k)
-                ids.append(np.full(len(k), i, np.int64))
-                held += len(k)
-                if held > 200_000:
-                    yield pd.DataFrame({"key": np.concatenate(keys), "id": np.concatenate(ids)})
-                    ids, keys, held = [], [], 0
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "id": np.concatenate(ids)})
-
-    return docs.mapInPandas(run, "key bigint, id bigint")
+        for batch in batches:
+            for texts in runs_of(batch["text"].fillna("").tolist()):
+                part, batch = batch.iloc[: len(texts)], batch.iloc[len(texts) :]
+                rows = []
+                for text in texts:
+                    s = shingles(text, words)
+                    h = int(np.add.reduce(_mix(s ^ _MIX[0])).view(np.int64)) if len(s) else 0
+                    counts = np.minimum(np.bincount(s.astype(np.int64) & (GROUPS - 1), minlength=GROUPS), FULL).astype(np.int16)
+                    rows.append((len(s), h, counts, directory.keys(s) if len(s) else np.empty(0, np.int64)))
+                yield pd.DataFrame(rows, columns=["n", "h", "c", "keys"]).assign(id=part["id"].to_numpy())[["id", "n", "h", "c", "keys"]]
+
+    return docs.mapInPandas(run, "id bigint, n bigint, h bigint, c array<smallint>, keys array<bigint>")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -274,21 +256,32 @@ def _page_pairs(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFram
 def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """``(sketches, members)``: ``id, n, h, c`` of every row, and ``id, component`` of the linked ids.
 
-    Documents link when 100 * common shingles >= ``percent`` * shingles in either. Texts are
+    Documents link when 100 * common shingles >= ``percent`` * shingles in either, for a percent of at
+    least 63. Ids must be whole numbers. Texts are
     lower-cased in A-Z; fewer words than a shingle are one shingle; texts without words link with
     nothing. Rows with a null id link with nothing. Rows that repeat an id
     are one node: it has the links of all its texts. Extra columns are ignored.
     Sets are compared as 64-bit hashes of their shingles.
     """
+    if not 63 <= percent <= 100:
+        raise ValueError("percent must be from 63 to 100: the directory holds a set's own size class and the one below")
+    if not isinstance(docs.schema[id].dataType, T.IntegralType):
+        raise TypeError(f"{id} must be an integral column")
     light = _frame(docs, id, text)
-    sketches = stored(_sketches(light, words), "jaccard-sketches")
-    rows = _keys(light, words, percent)
+    whole = stored(_sketches(light, words, percent), "jaccard-sketches")
+    sketches = whole.drop("keys")
+    # equal sets need no keys but those of the smallest id
+    groups = stored(sketches.where("n > 0").groupBy("n", "h").agg(F.min("id").alias("a"), F.max("id").alias("z")), "jaccard-sets")
+    copies = sketches.join(groups.where("a < z"), ["n", "h"]).where("a < id").select("a", F.col("id").alias("b")).distinct()
+    copies = checkpointed(copies)
+    first = small_enough(groups.select(F.col("a").alias("id")).distinct(), IDS_SENT)
+    rows = whole.join(first, "id", "left_semi").select(F.explode("keys").alias("key"), "id")
     leaders = rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
     members = stored(rows.join(stored(leaders, "jaccard-leaders"), "key"), "jaccard-members")
     verified = lambda pairs: _verified(pairs, sketches, light, words, percent)
 
     # each document with the leader it shares most keys with
-    edges = verified(_best(members.where("a <> id"), "id"))
+    edges = verified(_best(members.where("a <> id"), "id")).union(copies)
     found = components(edges)
     open_ = _unfinished(members.select("key", "id"), found)
     # what is left where a key still holds several components
