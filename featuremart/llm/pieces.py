@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -64,6 +66,10 @@ def _fields(b: bytes) -> Iterator[tuple[int, object]]:
         yield key >> 3, value
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Vocabulary:
     """Pieces of a model file, blanks written as blanks. Scores are whole numbers, so sums are exact."""
 
@@ -156,8 +162,8 @@ class Vocabulary:
             part = new[at : at + WORDS]
             memo.update(zip(part, self.viterbi_all(part)))
 
-    def viterbi_all(self, words: list[str]) -> list[tuple[list[int], int]]:
-        """What :meth:`viterbi` gives for each word; ``words`` from long to short, none empty."""
+    def viterbi_all(self, words: list[str]) -> list[tuple[bytes, int]]:
+        """What :meth:`viterbi` gives for each word, its pieces packed; ``words`` from long to short, none empty."""
         sizes = np.array([len(w) for w in words])
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -198,43 +204,52 @@ class Vocabulary:
             place = base + at
             steps.append(np.where(at > 0, taken[place], -2))
             at -= np.where(at > 0, back[place], 0)
-        rows = np.array(steps[::-1]).T.tolist()
-        found = [([i for i in row if i != -2], b) for row, b in zip(rows, best[base + sizes].tolist())]
-        return [self.viterbi(w) if -1 in f[0] else f for w, f in zip(words, found)]
-
-    def encode(self, text: str, memo: dict, stop: int | None = None) -> tuple[list[int], int]:
-        """Pieces and score of a text; with ``stop``, its last piece starts before that place and ends at the end."""
-        ids: list[int] = []
-        total = 0
-        parts = self.parts.findall(text)
+        rows = np.array(steps[::-1], np.int32).T
+        real = rows != -2
+        ends = 4 * np.cumsum(real.sum(axis=1))
+        packed = rows[real].tobytes()
+        found = list(zip([packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())], best[base + sizes].tolist()))
+        for i in np.flatnonzero((rows == -1).any(axis=1)).tolist():  # holds a character without a piece
+            ids, total = self.viterbi(words[i])
+            found[i] = (_packed(ids), total)
+        return found
+
+    def encode(self, text: str, memo: dict, stop: int | None = None) -> tuple[bytes, int]:
+        """Pieces, packed in four bytes each, and score of a text; with ``stop``, its last piece starts before that place and ends at the end."""
+        parts, tail = self.parts.findall(text), []
         if stop is not None and stop < len(text):
             held = 0
             while parts and len(text) - held - len(parts[-1]) > stop:  # later places are inside the last piece
                 held += len(parts.pop())
             held += len(parts.pop()) if parts else 0
             at = len(text) - held
-            tail = self.viterbi(text[at:], stop - at)
-        else:
-            tail = None
-        for part in parts:
-            hit = memo.get(part)
-            if hit is None:
-                hit = self.viterbi(part)
-                if len(part) <= LONGEST:
+            ids, total = self.viterbi(text[at:], stop - at)
+            tail = [(_packed(ids), total)]
+        found = [*map(memo.get, parts), *tail]
+        for i, hit in enumerate(found):
+            if hit is None:  # too long for the memo, or met for the first time
+                ids, total = self.viterbi(parts[i])
+                found[i] = (_packed(ids), total)
+                if len(parts[i]) <= LONGEST:
                     if len(memo) >= MEMO:
                         memo.clear()
-                    memo[part] = hit
-            ids += hit[0]
-            total += hit[1]
-        if tail is not None:
-            ids += tail[0]
-            total += tail[1]
-        return ids, total
+                    memo[parts[i]] = found[i]
+        return b"".join([ids for ids, _ in found]), sum([total for _, total in found])
+
+    @cached_property
+    def spelled(self) -> np.ndarray:
+        """Which pieces are bytes."""
+        out = np.zeros(len(self.pieces), bool)
+        out[list(self.bytes)] = True
+        return out
 
     def decode(self, ids, whole: bool = True) -> str:
-        """The text of a list of pieces; the blank put before every ``whole`` text goes."""
+        """The text of pieces; the blank put before every ``whole`` text goes."""
+        ids = np.asarray(ids, np.int64)
+        if not self.spelled[ids].any():
+            return "".join(map(self.pieces.__getitem__, ids.tolist()))[1 if whole else 0 :]
         out, raw = [], bytearray()
-        for i in ids:
+        for i in ids.tolist():
             b = self.bytes.get(i)
             if b is not None:
                 raw.append(b)
@@ -339,9 +354,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
             for (part,) in _slices(texts.fillna("")):
                 part = [f" {t}" if t else "" for t in part]
                 v.remember(part, memo)
-                ids = [v.encode(t, memo)[0] for t in part]
+                ids = [np.frombuffer(v.encode(t, memo)[0], np.int32) for t in part]
                 same = [not check or v.decode(i) == t[1:] for i, t in zip(ids, part)]
-                yield pd.DataFrame({"p": [np.array(i, np.int32) for i in ids], "ok": same})
+                yield pd.DataFrame({"p": ids, "ok": same})
 
     done = short.withColumn(both, F.pandas_udf(whole, "p array<int>, ok boolean")(F.col(text)))
     done = done.select(*docs.columns, F.col(both)["p"].alias(out), F.col(both)["ok"].alias(exact))
@@ -383,8 +398,8 @@ def _giants(docs: DataFrame, shared, vocabulary: Vocabulary, text: str, out: str
                 found, same = [], []
                 for t, s, e in zip(texts, entry, leave):
                     size = min(chunk, len(t))
-                    ids = v.encode(t[s : size + e], memo, size - s)[0]
-                    found.append(np.array(ids, kind).tobytes())
+                    ids = np.frombuffer(v.encode(t[s : size + e], memo, size - s)[0], np.int32)
+                    found.append(ids.astype(kind).tobytes())
                     same.append(not check or v.decode(ids, whole=False) == t[s : size + e])
                 yield pd.DataFrame({"p": found, "ok": same})
 
@@ -420,6 +435,6 @@ def decode(df: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", out: s
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = Vocabulary(*shared.value)
         for ids in batches:
-            yield pd.Series(["" if x is None or not len(x) else v.decode(x.tolist()) for x in ids], dtype=object)
+            yield pd.Series(["" if x is None or not len(x) else v.decode(x) for x in ids], dtype=object)
 
     return df.withColumn(out, F.pandas_udf(run, "string")(F.col(pieces)))
