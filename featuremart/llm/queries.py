@@ -28,6 +28,9 @@ def query(name: str, sql: str | None = None):
 # ---------------------------------------------------------------- 1: line dedup
 
 LINE_RATIO, LINE_PAGES = 0.1, 20
+#: For lines of at least LONG characters, which the ratio above hardly ever reaches.
+LONG_RATIO, LONG_PAGES = 0.01, 5
+LINE_RULE = {"ratio": LINE_RATIO, "min_pages": LINE_PAGES, "long_ratio": LONG_RATIO, "long_pages": LONG_PAGES}
 
 
 @query(
@@ -41,7 +44,9 @@ LINE_RATIO, LINE_PAGES = 0.1, 20
     bad as (
         select l.source, bare from (select distinct r, source, bare from trimmed where bare <> '') l
         join sizes s on l.source is not distinct from s.source
-        group by l.source, bare, pages having pages >= {LINE_PAGES} and count(*) > pages * cast({LINE_RATIO} as double)),
+        group by l.source, bare, pages having pages >= {LINE_PAGES}
+            and count(*) > pages * cast(case when length(bare) >= {line_dedup.LONG} then {LONG_RATIO} else {LINE_RATIO} end as double)
+            and count(*) >= case when length(bare) >= {line_dedup.LONG} then {LONG_PAGES} else 1 end),
     marked as (
         select t.*, b.bare is not null as gone from trimmed t left join bad b on t.bare = b.bare and t.source is not distinct from b.source),
     pages as (
@@ -53,7 +58,7 @@ LINE_RATIO, LINE_PAGES = 0.1, 20
 )
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    out = line_dedup.drop_boilerplate(docs, F.col("source"), "text", LINE_RATIO, LINE_PAGES)
+    out = line_dedup.drop_boilerplate(docs, F.col("source"), "text", **LINE_RULE)
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 

@@ -79,14 +79,15 @@ def components(rows, k, percent):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def without_boilerplate(rows, ratio, least):
+def without_boilerplate(rows, ratio, least, long_ratio=None, long_pages=1):
     """(host, text) rows -> texts."""
+    share = lambda x: ratio if long_ratio is None or len(x) < 40 else long_ratio
     bare = lambda x: x.strip(" \t\x0b\f\r")
     pages, seen = Counter(), Counter()
     for host, t in rows:
         pages[host] += 1
         seen.update((host, x) for x in {bare(x) for x in (t or "").split("\n")} - {""})
-    bad = {k for k, n in seen.items() if pages[k[0]] >= least and n > pages[k[0]] * ratio}
+    bad = {k for k, n in seen.items() if pages[k[0]] >= least and n > pages[k[0]] * share(k[1]) and (len(k[1]) < 40 or n >= long_pages)}
     return [t if t is None else "\n".join(x for x in t.split("\n") if (h, bare(x)) not in bad) for h, t in rows]
 
 
@@ -142,4 +143,25 @@ def features(text):
 
 
 def pieces(text, vocabulary: P.Vocabulary):
-    return vocabulary.viterbi(f" {text}")[0] if text else []
+    """A plain search over all places and pieces that end there; of equal scores the earliest start."""
+    if not text:
+        return []
+    score = {w: hit for w, hit in vocabulary.trie.items() if hit}
+    t = f" {text}"
+    best, back = [0], [None]
+    for j in range(1, len(t) + 1):
+        top = None
+        for i in range(max(0, j - vocabulary.reach), j):
+            hit = score.get(t[i:j])
+            if hit is None and j - i == 1:
+                hit = (None, vocabulary.unknown)
+            if hit and (top is None or best[i] + hit[1] > top[0]):
+                top = (best[i] + hit[1], i, hit[0])
+        best.append(top[0])
+        back.append(top[1:])
+    out, j = [], len(t)
+    while j:
+        i, piece = back[j]
+        out.append([piece] if piece is not None else [vocabulary.byte_ids[b] for b in t[i:j].encode()])
+        j = i
+    return [p for part in reversed(out) for p in part]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from featuremart.llm import classifier, jaccard, line_dedup, mixing, mixing_lm, mtree, pieces, quality_rules, secret_scan, sharding
 from featuremart.llm.common import word_count, text_of
 from featuremart.llm.components import components
+from featuremart.llm.queries import LINE_RULE
 
 import brute
 
@@ -89,6 +90,24 @@ def test_line_dedup(spark, odd, none):
     assert line_dedup.drop_boilerplate(odd, F.col("source")).count() == odd.count()
 
 
+def test_repeated_notices_go(spark):
+    """A notice of over 50 words on one page in fifty goes, unique lines and a short line of the same share stay."""
+    notice = " ".join(f"notice{i}" for i in range(55))
+    texts = [(i, f"own line number {i} of a page with more than forty characters\n" + (f"{notice}\nshort" if i % 50 == 0 else "other")) for i in range(300)]
+    docs = frame(spark, texts).withColumn("source", F.lit("a"))
+    rows = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(docs, F.col("source"), **LINE_RULE).collect()}
+    want = brute.without_boilerplate([("a", t) for _, t in texts], LINE_RULE["ratio"], LINE_RULE["min_pages"], LINE_RULE["long_ratio"], LINE_RULE["long_pages"])
+    assert [rows[i] for i in range(300)] == want and not any("notice" in t or "other" in t for t in want)
+    assert all("own line" in t for t in want) and "short" in rows[50]
+
+
+def test_similar_refuses_what_it_could_miss(spark, odd):
+    with pytest.raises(ValueError):
+        jaccard.similar(odd, percent=62)
+    with pytest.raises(TypeError):
+        jaccard.similar(odd.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 def test_host_of(spark):
     df = spark.createDataFrame([("HTTP://u:p@Ex.org:80/a",), ("x",), (None,)], "u string")
     assert [r[0] for r in df.select(line_dedup.host_of(F.col("u"))).collect()] == ["ex.org", None, None]

@@ -11,7 +11,7 @@ import corpus_pipeline
 from featuremart.llm import classifier
 from featuremart.llm.common import table
 from featuremart.llm.pieces import load_vocabulary
-from featuremart.llm.queries import LINE_PAGES, LINE_RATIO, MIX_SEED, ORACLES, QUALITY_FROM, QUERIES
+from featuremart.llm.queries import LINE_RULE, MIX_SEED, ORACLES, QUALITY_FROM, QUERIES
 
 import brute
 
@@ -116,7 +116,7 @@ def test_pipeline(spark, docs):
     """run() against the plain stages; the classifier's model is shared, its features are not."""
     model = classifier.train(table(spark, SMALL, "documents"), table(spark, SMALL, "labels"))
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.values() if model.score(brute.features(r.text)[None])[0] >= QUALITY_FROM]
-    texts = brute.without_boilerplate([(r[3], r[1]) for r in rows], LINE_RATIO, LINE_PAGES)
+    texts = brute.without_boilerplate([(r[3], r[1]) for r in rows], LINE_RULE["ratio"], LINE_RULE["min_pages"], LINE_RULE["long_ratio"], LINE_RULE["long_pages"])
     rows = [(i, t, lang, source) for (i, _, lang, source), t in zip(rows, texts)]
     groups = brute.components([(r[0], r[1]) for r in rows], 5, 80)
     rows = [r for r in rows if groups[r[0]][1] == r[0]]
