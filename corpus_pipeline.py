@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from featuremart.llm import classifier, jaccard, line_dedup, mixing, pieces
 from featuremart.llm.common import stored, table, text_of, word_count
-from featuremart.llm.queries import LINE_PAGES, LINE_RATIO, MIX_SEED, MIX_WEIGHTS, QUALITY_FROM, with_domain
+from featuremart.llm.queries import LINE_RULE, MIX_SEED, MIX_WEIGHTS, QUALITY_FROM, with_domain
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near copies: five words, a similarity of 0.8.
@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their site's boilerplate lines."""
-    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), "text", LINE_RATIO, LINE_PAGES)
+    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), "text", **LINE_RULE)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*COLUMNS)
 
