@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from featuremart.llm.common import checkpointed
 
-LINKS = 200_000  # links of a partition
+LINKS = 20_000  # links of a partition
 
 
 def components(edges: DataFrame) -> DataFrame:
