@@ -8,7 +8,8 @@ corpus did there. A gate, chosen by how sure the longer contexts are, selects th
 combine them; the sum is refined by an adaptive correction per class of
 certainty. Weights and corrections are updated online along each text, block by block, and every decision teaches.
 They start from what one fold of the training texts (LEARN) shows under the counts of the others.
-The score is the probability of all decisions.
+The score is the probability of all decisions. Decisions are expanded a window at a time, so a giant
+text needs little more than its bytes.
 
 Counting takes every training text: tasks add decisions up in tables of bounded size, whose blocks
 are summed in levels of at most 256 tables. The finished tables (one byte per slot) have a
@@ -23,6 +24,7 @@ import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,8 +44,11 @@ SEEN = (1, 4, 32)  # counts from which a slot's confidence class is 1, 2, 3; two
 BLOCK = 16  # slots of a shuffled block, as a power of two
 FAN = 256
 GATES, CLASSES = 16, 32
-BATCH = 1 << 18  # bytes that are worked on together
+BATCH = 1 << 18  # bytes of texts that advance together
+WINDOW = 1 << 16  # bytes whose decisions are held at a time; a multiple of the longest block
+REACH = 6  # bytes back that a context sees
 END = 10
+BASE = 0x5851F42D4C957F2D  # of the polynomial of a word
 _GOLD = np.uint32(0x9E3779B1)
 _ODD = np.uint32(0x85EBCA6B)
 _VALUE = ((np.arange(256) & 63) - 32).astype(np.float32) / np.float32(STEPS)
@@ -54,6 +59,9 @@ WEIGHTS = np.tile(np.array([0.2, 0.4, 0.3, 0.3], np.float32), (GATES, 1))
 RATE, REFINE = 0.5, 0.2
 #: Modulus of the second hash whose class 0 of the training texts teaches the starting weights, and Newton steps.
 LEARN, NEWTON = 6, 2
+#: Sums of a lesson, and their fixed-point steps: a retried task, in whatever order, adds up to the same.
+SUMS = GATES * (K + K * (K + 1) // 2) + 2 * CLASSES
+FIXED = 1 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -89,17 +97,24 @@ class Code:
         self.bit = np.array([a for b in range(256) for _, a in paths[b]], np.uint8)
 
 
-def decisions(data: np.ndarray, starts: np.ndarray, code: Code, order: np.ndarray | None = None):
-    """Where each byte's decisions end, the answers, and per context the slots.
+class Past:
+    """What lies before a window of a text: its last bytes, and the hash and length of the word so far."""
 
-    ``starts``: where texts begin; ``order``: the bytes in the order wanted, after their contexts are known.
+    def __init__(self):
+        self.bytes, self.word, self.length = np.full(REACH, END, np.uint8), np.uint64(0), 0
+
+
+def contexts(data: np.ndarray, starts: np.ndarray, past: Past | None = None) -> list[np.ndarray]:
+    """Per context a number for each byte: the last two, four and six bytes, and the word so far.
+
+    ``starts``: where texts begin. With a ``past``, ``data`` goes on where the window before it ended, and ``past`` moves to its end.
     """
     n = len(data)
-    wide = data.astype(np.uint32)
+    past = past or Past()
+    wide = np.r_[past.bytes, data].astype(np.uint32)
     last = []
-    for k in range(1, 7):  # the k-th byte back, reset where a text begins
-        p = np.empty(n, np.uint32)
-        p[k:] = wide[:-k] if k < n else 0
+    for k in range(1, REACH + 1):  # the k-th byte back, reset where a text begins
+        p = wide[REACH - k : REACH - k + n].copy()
         for j in range(k):
             at = starts + j
             p[at[at < n]] = END
@@ -108,25 +123,46 @@ def decisions(data: np.ndarray, starts: np.ndarray, code: Code, order: np.ndarra
     four = two | last[2] << np.uint32(16) | last[3] << np.uint32(24)
     six = (last[4] | last[5] << np.uint32(8)) * _ODD ^ four
     # the word so far: a polynomial of the bytes after the last blank
-    fresh = np.zeros(n, bool)
+    fresh = last[0] == 32
     fresh[starts] = True
-    fresh[1:] |= data[:-1] == 32
     begin = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    power = np.cumprod(np.r_[np.uint64(1), np.full(n, 0x5851F42D4C957F2D, np.uint64)])
-    inverse = np.cumprod(np.r_[np.uint64(1), np.full(n, pow(0x5851F42D4C957F2D, -1, 1 << 64), np.uint64)])
+    power, inverse = _powers(n + 1)
     sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n])]
     word = (sums[:n] - sums[begin]) * inverse[begin]
+    goes_on = int(fresh.argmax()) if fresh.any() else n  # bytes of the word that began before the window
+    lift = np.uint64(pow(BASE, past.length, 1 << 64))
+    word[:goes_on] = word[:goes_on] * lift + past.word
+    at = int(begin[-1])
+    done = (sums[n:] - sums[at]) * inverse[at]
+    if goes_on == n:
+        past.word, past.length = (done * lift + past.word)[0], past.length + n
+    else:
+        past.word, past.length = done[0], n - at
+    past.bytes = wide[-REACH:].astype(np.uint8)
     word = ((word ^ (word >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(32)).astype(np.uint32)
+    return [two, four, six, word]
+
+
+@lru_cache(maxsize=2)
+def _all_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    each = lambda x: np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)])
+    return each(BASE), each(pow(BASE, -1, 1 << 64))
+
 
-    contexts = (two, four, six, word)
-    if order is not None:
-        data, contexts = data[order], [c[order] for c in contexts]
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the polynomial's base and of its inverse."""
+    power, inverse = _all_powers(max(2 * BATCH + 1, n))
+    return power[:n], inverse[:n]
+
+
+def decisions(data: np.ndarray, seen: list[np.ndarray], code: Code):
+    """Where each byte's decisions end, the answers, and per context the slots."""
     lengths = code.length[data]
     ends = np.cumsum(lengths)
     flat = np.repeat(code.start[data] - (ends - lengths), lengths) + np.arange(ends[-1])
     node, bit = code.node[flat], code.bit[flat]
     slots = []
-    for c, bits in zip(contexts, BITS):
+    for c, bits in zip(seen, BITS):
         h = np.repeat(c * _GOLD, lengths) ^ node
         h ^= h >> np.uint32(15)
         h *= _GOLD
@@ -155,11 +191,48 @@ def _batches(texts: Iterator[bytes], limit: int = BATCH) -> Iterator[list[bytes]
         yield held
 
 
+def windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Bytes and their contexts, at most WINDOW at a time, in order."""
+    data, starts = _joined(texts)
+    past = Past()
+    for lo in range(0, len(data), WINDOW):
+        part = data[lo : lo + WINDOW]
+        a, b = np.searchsorted(starts, (lo, lo + len(part)))
+        yield part, contexts(part, starts[a:b] - lo, past)
+
+
 def borders_of(longest: int) -> np.ndarray:
     """Bytes of a text after which weights and corrections are updated: often at first, then every 2048, to its end."""
     return np.r_[64, 128, 192, 256, 384, 512, 768, 1024, 1536, np.arange(2048, longest + 1, 2048)]
 
 
+def _in_blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Bytes, contexts and texts of bytes: all texts' first blocks, then all second ones; with the ends of blocks.
+
+    Whole blocks of about WINDOW bytes at a time. A text alone is never expanded whole, so its memory is its bytes.
+    """
+    if len(texts) == 1:
+        lo, borders = 0, borders_of(len(texts[0]))
+        for data, seen in windows(texts):  # a window's end is a border
+            cut = borders[(borders > lo) & (borders < lo + len(data))] - lo
+            yield data, seen, np.zeros(len(data), np.int64), np.r_[cut, len(data)]
+            lo += len(data)
+        return
+    data, starts = _joined(texts)
+    sizes = np.r_[starts[1:], len(data)] - starts
+    lane = np.repeat(np.arange(len(texts)), sizes)
+    block = np.searchsorted(borders_of(int(sizes.max())), np.arange(len(data)) - starts[lane], side="right")
+    order = np.argsort(block.astype(np.min_scalar_type(block.max())), kind="stable")
+    ends = np.flatnonzero(np.diff(block[order], append=-1)) + 1
+    seen = contexts(data, starts)
+    lo = 0
+    while lo < len(data):
+        last = max(np.searchsorted(ends, lo + WINDOW, side="right") - 1, np.searchsorted(ends, lo, side="right"))
+        here = order[lo : ends[last]]
+        yield data[here], [c[here] for c in seen], lane[here], ends[(ends > lo) & (ends <= ends[last])] - lo
+        lo = ends[last]
+
+
 def _inputs(slots: list[np.ndarray], tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of all contexts and the gate of each decision."""
     x = np.empty((len(slots[0]), K), np.float32)
@@ -180,54 +253,51 @@ def mixed_loss(texts: list[bytes], code: Code, tables: list[np.ndarray], start:
 
     ``start``: the weights per gate and corrections per class that every text starts from.
     """
-    data, starts = _joined(texts)
     m = len(texts)
-    sizes = np.r_[starts[1:], len(data)] - starts
-    lane = np.repeat(np.arange(m), sizes)
-    offset = np.arange(len(data)) - starts[lane]
-    block = np.searchsorted(borders_of(int(sizes.max())), offset, side="right")
-    order = np.argsort(block.astype(np.min_scalar_type(block.max())), kind="stable")  # all texts' first blocks, then all second ones
-    ends, bit, slots = decisions(data, starts, code, order)
-    lane = np.repeat(lane[order], np.diff(ends, prepend=0))
-    x, gate = _inputs(slots, tables)
-    gates = lane * GATES + gate
     first, refined = start or (WEIGHTS, np.zeros(CLASSES, np.float32))
     weights = np.tile(first.astype(np.float32), (m, 1))
     extra = np.tile(refined.astype(np.float32), m)
     loss = np.zeros(m)
-    borders = np.r_[0, ends[np.flatnonzero(np.diff(block[order], append=-1))]]
-    for lo, hi in zip(borders, borders[1:]):
-        xs, g, here = x[lo:hi], gates[lo:hi], lane[lo:hi]
-        z = np.einsum("ij,ij->i", weights.take(g, axis=0, mode="clip"), xs)
-        c = here * CLASSES + _certainty(z)
-        z += extra.take(c, mode="clip")
-        np.clip(z, -12, 12, out=z)
-        y = bit[lo:hi]
-        e = np.exp(-np.abs(z))
-        one = 1 + e
-        costs = np.maximum(np.where(y, -z, z), 0) + np.log(one)
-        loss += np.bincount(here, costs, m)
-        p = np.where(z >= 0, np.float32(1), e) / one
-        err, curve = y - p, p * (1 - p)
-        slope = np.bincount(g, curve * np.einsum("ij,ij->i", xs, xs), m * GATES) + 30
-        for k in range(K):
-            weights[:, k] += RATE * np.bincount(g, err * xs[:, k], m * GATES) / slope
-        extra += (REFINE * np.bincount(c, err, m * CLASSES) / (np.bincount(c, curve, m * CLASSES) + 6)).astype(np.float32)
+    for data, seen, lanes, blocks in _in_blocks(texts):
+        ends, bit, slots = decisions(data, seen, code)
+        lane = np.repeat(lanes, np.diff(ends, prepend=0))
+        x, gate = _inputs(slots, tables)
+        gates = lane * GATES + gate
+        borders = np.r_[0, ends[blocks - 1]]
+        for lo, hi in zip(borders, borders[1:]):
+            xs, g, here = x[lo:hi], gates[lo:hi], lane[lo:hi]
+            z = np.einsum("ij,ij->i", weights.take(g, axis=0, mode="clip"), xs)
+            c = here * CLASSES + _certainty(z)
+            z += extra.take(c, mode="clip")
+            np.clip(z, -12, 12, out=z)
+            y = bit[lo:hi]
+            e = np.exp(-np.abs(z))
+            one = 1 + e
+            costs = np.maximum(np.where(y, -z, z), 0) + np.log(one)
+            loss += np.bincount(here, costs, m)
+            p = np.where(z >= 0, np.float32(1), e) / one
+            err, curve = y - p, p * (1 - p)
+            slope = np.bincount(g, curve * np.einsum("ij,ij->i", xs, xs), m * GATES) + 30
+            for k in range(K):
+                weights[:, k] += RATE * np.bincount(g, err * xs[:, k], m * GATES) / slope
+            extra += (REFINE * np.bincount(c, err, m * CLASSES) / (np.bincount(c, curve, m * CLASSES) + 6)).astype(np.float32)
     return loss
 
 
 def lesson(texts: list[bytes], code: Code, tables: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
     """Sums over all decisions: per gate the slope and the upper half of the curvature in the weights, per class of certainty error and curvature."""
-    data, starts = _joined(texts)
-    _, y, slots = decisions(data, starts, code)
-    x, g = _inputs(slots, tables)
-    z = np.einsum("ij,ij->i", weights.astype(np.float32).take(g, axis=0), x)
-    c = _certainty(z)
-    p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
-    err, curve = y - p, p * (1 - p)
-    parts = [np.bincount(g, err * x[:, k], GATES) for k in range(K)]
-    parts += [np.bincount(g, curve * x[:, i] * x[:, j], GATES) for i in range(K) for j in range(i, K)]
-    return np.concatenate([*parts, np.bincount(c, err, CLASSES), np.bincount(c, curve, CLASSES)])
+    total = np.zeros(SUMS)
+    for data, seen in windows(texts):
+        _, y, slots = decisions(data, seen, code)
+        x, g = _inputs(slots, tables)
+        z = np.einsum("ij,ij->i", weights.astype(np.float32).take(g, axis=0), x)
+        c = _certainty(z)
+        p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
+        err, curve = y - p, p * (1 - p)
+        parts = [np.bincount(g, err * x[:, k], GATES) for k in range(K)]
+        parts += [np.bincount(g, curve * x[:, i] * x[:, j], GATES) for i in range(K) for j in range(i, K)]
+        total += np.concatenate([*parts, np.bincount(c, err, CLASSES), np.bincount(c, curve, CLASSES)])
+    return total
 
 
 def newton(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
@@ -250,14 +320,14 @@ def learnt(docs: DataFrame, code: Code, tables: list[np.ndarray]) -> tuple[np.nd
     def summed(weights: np.ndarray) -> np.ndarray:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counted = [np.frombuffer(t, np.uint8) for t in sent.value]
-            total = np.zeros(GATES * (K + K * (K + 1) // 2) + 2 * CLASSES)
+            total = np.zeros(SUMS)
             for texts in _batches(stream(words_of(t)) for part in batches for t in part["text"]):
                 total += lesson(texts, code, counted, weights)
-            yield pd.DataFrame({"i": np.arange(len(total)), "v": total})
+            yield pd.DataFrame({"i": np.arange(SUMS), "v": np.rint(total * FIXED).astype(np.int64)})
 
-        sums = np.zeros(GATES * (K + K * (K + 1) // 2) + 2 * CLASSES)
-        for r in docs.select("text").mapInPandas(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # a row per sum
-            sums[r["i"]] = r["v"]
+        sums = np.zeros(SUMS)
+        for r in docs.select("text").mapInPandas(run, "i int, v bigint").groupBy("i").agg(F.sum(F.col("v").cast("decimal(30,0)")).alias("v")).collect():  # a row per sum
+            sums[r["i"]] = float(r["v"]) / FIXED
         return sums
 
     weights = WEIGHTS.astype(float)
@@ -269,11 +339,11 @@ def learnt(docs: DataFrame, code: Code, tables: list[np.ndarray]) -> tuple[np.nd
 def count_tables(texts: Iterator[bytes], code: Code) -> list[np.ndarray]:
     """How often each slot's decision was no (even places) and yes (odd places)."""
     tables = [np.zeros(2 << b, np.uint32) for b in BITS]
-    for batch in _batches(texts, 2 * BATCH):
-        data, starts = _joined(batch)
-        _, bit, slots = decisions(data, starts, code)
-        for t, s in zip(tables, slots):
-            np.add.at(t, (s.astype(np.int64) << 1) | bit, np.uint32(1))
+    for batch in _batches(texts):
+        for data, seen in windows(batch):
+            _, bit, slots = decisions(data, seen, code)
+            for t, s in zip(tables, slots):
+                np.add.at(t, (s.astype(np.int64) << 1) | bit, np.uint32(1))
     return tables
 
 
