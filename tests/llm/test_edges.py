@@ -131,10 +131,14 @@ def test_precision_is_the_inverse(spark):
     rnd = np.random.default_rng(2)
     a = rnd.normal(size=(quality_rules.P, 9))
     cov = a @ a.T
-    values = {"g": "x"} | {f"m{i}": 0.0 for i in range(quality_rules.P)} | {f"c{i}{j}": float(cov[i, j]) for i in range(quality_rules.P) for j in range(i + 1)}
+    values = {"g": "x", "s": 0} | {f"m{i}": 0.0 for i in range(quality_rules.P)} | {f"c{i}{j}": float(cov[i, j]) for i in range(quality_rules.P) for j in range(i + 1)}
     got = quality_rules._precision(spark.createDataFrame([values])).first()
     assert np.allclose([got[f"w{i}{j}"] for i in range(quality_rules.P) for j in range(i + 1)], [np.linalg.inv(cov)[i, j] for i in range(quality_rules.P) for j in range(i + 1)])
-    assert abs(quality_rules.chi_quantile(0.05) - 9.4877) < 1e-3 and 1.4 < quality_rules.consistency(0.75) < 1.6
+    assert abs(got.ld - np.linalg.slogdet(cov)[1]) < 1e-9
+    assert abs(quality_rules.chi_quantile(0.05) - 7.8147) < 1e-3 and abs(quality_rules.chi_tail(11.0705, 5) - 0.05) < 1e-5
+    normal = np.random.default_rng(3).normal(size=(200_000, quality_rules.P))
+    near = normal[np.argsort((normal**2).sum(1))[:120_000]]
+    assert abs(quality_rules.consistency(0.6) * near.var() - 1) < 0.02
 
 
 def test_secrets(spark, odd, none):
