@@ -63,11 +63,13 @@ def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 7, id: str =
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id: str = "doc_id") -> None:
-    """Write whole documents in one folder per shard, in slot order. ``id`` must be unique.
+    """Write whole documents in one folder per shard, in slot order. ``id`` must be unique; one row may have none.
 
     Rows are dealt by shard and a range of slots, so a shard is written by several tasks.
     """
     if set(docs.columns) & {"shard", "slot"}:
         raise ValueError("the documents already have a column shard or slot")
-    full = docs.join(placed.select(F.col("doc_id").alias(id), "shard", "slot"), id)
+    key, *_ = fresh(docs, "key")
+    where = placed.select(F.col("doc_id").alias(key), "shard", "slot")
+    full = docs.join(where, F.col(id).eqNullSafe(F.col(key))).drop(key)
     full.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("errorifexists").parquet(path)
