@@ -27,33 +27,43 @@ from pyspark.sql import functions as F
 from featuremart.llm.common import checkpointed, stored
 
 PAGE, ROUTES, BLOCK = 1024, 256, 2048  # vectors of a page, routing vectors at most, queries of a block
-LARGEST = 1 << 24  # greatest component, so that products stay exact
+LARGEST = 2.0**500  # components from here on have no finite square
+EXACT = 2.0**52  # products of norms up to here have exact sums as doubles
 NODE = 32
-NONE = -(1 << 62)  # no floor yet
+#: Scores beyond a long's range count as its ends; the lower end is also the floor of a query that has none yet.
+END = (1 << 63) - 1
+NONE = -END
 
 
 def whole_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", factor: int = 256) -> DataFrame:
-    """``id, v`` of the usable rows: components floor(factor * x).
+    """``id, v`` of the usable rows: components floor(factor * x), as doubles that hold whole numbers.
 
     Left out: null vectors, vectors with null or non-finite components, and those with
-    a component of ``LARGEST`` or more, whose products could leave the range of exact sums. A null id can't be reported and is left out.
+    a component of ``LARGEST`` or more, which single-precision vectors can't have. A null id can't be reported and is left out.
     """
     x = F.transform(F.col(vector), lambda e: e.cast("double") * factor)
     good = F.forall(F.col(vector), lambda e: e.isNotNull() & (F.abs(e.cast("double") * factor) < LARGEST))  # false for NaN and infinities
     rows = df.where(F.col(id).isNotNull() & F.col(vector).isNotNull()).where(F.coalesce(good, F.lit(False)))
-    return rows.select(F.col(id).cast("bigint").alias("id"), F.transform(x, lambda e: F.floor(e).cast("int")).alias("v"))
+    whole = lambda e: F.when(F.abs(e) < 2.0**53, F.floor(e).cast("double")).otherwise(e)
+    return rows.select(F.col(id).cast("bigint").alias("id"), F.transform(x, whole).alias("v"))
 
 
 def _matrix(vectors, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), np.int64)
+    out = np.zeros((len(vectors), width))
     for row, v in zip(out, vectors):
         row[: len(v)] = v
     return out
 
 
-def _lifted(v: np.ndarray, top: int) -> np.ndarray:
-    norm = (v * v).sum(1)
-    return np.c_[v.astype(float), np.sqrt(np.maximum(top - norm, 0).astype(float))]
+def _lifted(v: np.ndarray, top: float) -> np.ndarray:
+    return np.c_[v, np.sqrt(np.maximum(top - (v * v).sum(1), 0))]
+
+
+def _reach(norm: float, top: float, least: int | None) -> float:
+    """The distance within which vectors of a score of ``least`` or more lie, with room for the rounding of all distances."""
+    if least is None or least <= NONE:
+        return np.inf
+    return np.sqrt(max(norm + top - 2.0 * least, 0.0)) + 1e-6 * np.sqrt(norm + top) + 1e-3
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -63,7 +73,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Page:
     """Inner nodes of one page, below routing vector ``route``."""
 
-    def __init__(self, ids: np.ndarray, v: np.ndarray, to_route: np.ndarray, top: int):
+    def __init__(self, ids: np.ndarray, v: np.ndarray, to_route: np.ndarray, top: float):
         order = np.lexsort((ids, to_route))
         self.ids, self.v = ids[order], v[order]
         full = _lifted(self.v, top)
@@ -81,21 +91,26 @@ class Page:
 
     def search(self, q: np.ndarray, skip: int, to_route: float, floor: int | None, k: int) -> list[tuple[int, int]]:
         """Up to ``k`` pairs (score, id) not below ``floor``, best first; ties to the smaller id."""
-        norm = int((q * q).sum())
+        norm = float((q * q).sum())
         best: list[tuple[int, int]] = []
+        plain = np.sqrt(norm) * np.sqrt(self.top) < EXACT
 
         def reach() -> float:
-            least = best[-1][0] if len(best) == k else floor
-            if least is None:
-                return np.inf
-            return np.sqrt(max(norm + self.top - 2 * least, 0)) * (1 + 1e-9) + 1e-3
+            return _reach(norm, self.top, best[-1][0] if len(best) == k else floor)
+
+        def scores_of(v: np.ndarray) -> np.ndarray:
+            if plain:  # whole numbers whose sums are exact in any order
+                return (v @ q).astype(np.int64)
+            asked = [int(x) for x in q]
+            sums = (sum(int(x) * y for x, y in zip(row, asked)) for row in v)
+            return np.array([min(max(t, -END), END) for t in sums], np.int64)
 
         far = reach()
         # by distances to the parent alone
         open_ = np.flatnonzero((np.abs(to_route - self.to_parent) - self.radius <= far) & (self.radius >= 0))
         if not len(open_):
             return best
-        lifted = np.r_[q.astype(float), 0.0]
+        lifted = np.r_[q, 0.0]
         gap = np.sqrt(((self.center[open_] - lifted) ** 2).sum(1))
         bound = gap - self.radius[open_]
         for j in np.argsort(bound, kind="stable"):
@@ -107,7 +122,7 @@ class Page:
             if hi <= lo:
                 continue
             ids = self.ids[a + lo : a + hi]
-            scores = self.v[a + lo : a + hi] @ q
+            scores = scores_of(self.v[a + lo : a + hi])
             take = ids != skip
             if len(best) == k:
                 take &= scores >= best[-1][0]
@@ -122,8 +137,8 @@ class Page:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` largest inner products with the other rows.
 
-    Both frames have ``id, v`` (``array<int>``), as from :func:`whole_vectors`. Shorter
-    vectors count as filled up with zeros. Candidates with the query's own id are left out; ties go to
+    Both frames have ``id, v``, as from :func:`whole_vectors`. Scores are exact; those that a long can't hold count as
+    its largest or smallest value and tie there. Shorter vectors count as filled up with zeros. Candidates with the query's own id are left out; ties go to
     the smaller id. Fewer candidates give fewer rows. Rows that repeat an id are candidates of their own; a query that is
     repeated is asked once. Empty inputs give no rows.
     """
@@ -131,11 +146,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         raise ValueError("k must be at least 1")
     vectors = stored(vectors.select("id", "v"), "mtree-vectors")
     asked = queries.select("id", "v").distinct()
-    norm = F.aggregate("v", F.lit(0).cast("bigint"), lambda t, x: t + x.cast("bigint") * x)
+    norm = F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)
     sizes = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(norm).alias("top")).first()
     asked = checkpointed(asked.withColumn("key", F.xxhash64("id", "v")))
     many = asked.agg(F.count("*"), F.max(F.size("v"))).first()
-    n, top = sizes["n"], sizes["top"] or 0
+    n, top = sizes["n"], sizes["top"] or 0.0
     width = max(sizes["width"] or 0, many[1] or 0, 1)
     if not n or not many[0]:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
@@ -148,7 +163,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             near = d.argmin(1)
             yield b.assign(route=near.astype(np.int32), far=d[np.arange(len(b)), near])
 
-    placed = stored(vectors.mapInPandas(assign, "id bigint, v array<int>, route int, far double"), "mtree-leaves")
+    placed = stored(vectors.mapInPandas(assign, "id bigint, v array<double>, route int, far double"), "mtree-leaves")
     cover = {r["route"]: (r["pages"], r["far"]) for r in placed.groupBy("route").agg(F.ceil(F.count("*") / PAGE).alias("pages"), F.max("far").alias("far")).collect()}
     pages = np.array([cover.get(j, (0, 0.0))[0] for j in range(len(routes))], np.int64)
     radius = np.array([cover.get(j, (0, 0.0))[1] for j in range(len(routes))])
@@ -162,15 +177,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         def run(batches):
             for b in batches:
                 q = _matrix(b["v"], width)
-                gap = _distances(np.c_[q.astype(float), np.zeros(len(q))], centers)
+                gap = _distances(np.c_[q, np.zeros(len(q))], centers)
                 near = np.where(pages > 0, gap, np.inf).argmin(1)
                 for i, row in enumerate(b.itertuples(index=False)):
                     if first:
                         where = [(near[i], row.key % pages[near[i]])]
                     else:
-                        far = np.inf
-                        if row.floor != NONE:
-                            far = np.sqrt(max(int((q[i] * q[i]).sum()) + top - 2 * int(row.floor), 0)) * (1 + 1e-9) + 1e-3
+                        far = _reach(float((q[i] * q[i]).sum()), top, int(row.floor))
                         where = [(j, c) for j in np.flatnonzero((pages > 0) & (gap[i] - radius <= far)) for c in range(pages[j])]
                     yield pd.DataFrame({
                         "page": [int(j) * (1 << 32) + int(c) for j, c in where], "block": row.key % blocks, "key": row.key, "id": row.id,
@@ -184,12 +197,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         if len(page) and len(block):
             tree = Page(page["id"].to_numpy(), _matrix(page["v"], width), page["far"].to_numpy(), top)
             for q in block.itertuples(index=False):
-                floor = None if q.floor == NONE else int(q.floor)
-                rows += [(q.key, q.id, i, s) for s, i in tree.search(_matrix([q.v], width)[0], q.id, q.gap, floor, k)]
+                rows += [(q.key, q.id, i, s) for s, i in tree.search(_matrix([q.v], width)[0], q.id, q.gap, int(q.floor), k)]
         return pd.DataFrame(rows, columns=["key", "query_id", "vec_id", "score"])
 
     def answered(asking: DataFrame, first: bool) -> DataFrame:
-        sent = asking.mapInPandas(visits(first), "page bigint, block bigint, key bigint, id bigint, v array<int>, gap double, floor bigint")
+        sent = asking.mapInPandas(visits(first), "page bigint, block bigint, key bigint, id bigint, v array<double>, gap double, floor bigint")
         copies = leaves.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
         if first:  # only pages that are asked for
             copies = copies.join(sent.select("page", "block").distinct(), ["page", "block"], "left_semi")

@@ -308,6 +308,24 @@ def test_components(spark):
     assert components(edges.where("a < 0")).count() == 0
 
 
+def exact(x, y):
+    return min(max(sum(a * b for a, b in zip(x, y)), -mtree.END), mtree.END)
+
+
+def test_large_components_take_part(spark):
+    """Vectors of any finite size are queries and candidates, with exact scores, or the end of a long beyond it."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=2) * 3]) for i in range(100)]
+    rows += [(150, [70000.0, 1.0]), (151, [80000.0, 0.0]), (152, [3e9, -2e9]), (153, [-3e9, 2e9 + 512]), (154, [1e30, 0.0]), (160, [-1e30, 1e30])]
+    v = mtree.whole_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    full = [(r.id, [int(x) for x in r.v]) for r in v.collect()]
+    assert len(full) == len(rows)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in mtree.top_k(v, v, 3).collect()}
+    for q, x in full:
+        best = sorted((-exact(x, y), i) for i, y in full if i != q)[:3]
+        assert [got[q, k + 1] for k in range(3)] == [(i, -s) for s, i in best]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [float(x) for x in rng.normal(size=6) * 0.1]) for i in range(300)]
@@ -315,11 +333,11 @@ def test_top_k(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     v = mtree.whole_vectors(df)
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in mtree.top_k(v, v.where("id % 10 = 0"), 4).collect()}
-    full = [(r.id, np.array([*r.v, *[0] * (6 - len(r.v))], np.int64)) for r in v.collect()]
-    assert {i for i, _ in full} == {*range(340), 403, 404}
+    full = [(r.id, [int(x) for x in r.v] + [0] * (6 - len(r.v))) for r in v.collect()]
+    assert {i for i, _ in full} == {*range(340), 403, 404, 405}
     for q, x in full:
         if q % 10 == 0:
-            best = sorted(((-int(x @ y), i) for i, y in full if i != q))[:4]
+            best = sorted(((-exact(x, y), i) for i, y in full if i != q))[:4]
             assert [got[q, k + 1] for k in range(4)] == [(i, -s) for s, i in best]
     assert mtree.top_k(v.where("id < 0"), v, 3).count() == 0 and mtree.top_k(v, v.where("id < 0"), 3).count() == 0
     assert mtree.top_k(v.where("id < 2"), v.where("id = 1"), 3).count() == 1
