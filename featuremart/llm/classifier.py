@@ -184,13 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     """A model of the labelled documents outside the held-out fold (crc32 of the id modulo ``folds`` is 0).
 
     At most ``rows`` labelled ids are used, those with the smallest hash. An id
-    with several labels has the smallest; null ids and labels are left out.
+    with several labels has the smallest, an id with several texts the least vector of
+    features; null ids and labels are left out.
     """
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).where(remainder(id, folds) != 0)
     known = known.groupBy(F.col(id).alias("_id")).agg(F.min(label).alias("_y"))
     used = known.orderBy(F.xxhash64(F.col("_id").cast("bigint"), F.lit(11)), "_id").limit(rows)
     one = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(used), "_id")
-    seen = one.select("_id", features("_text").alias("_x"), "_y").limit(2 * rows).toPandas().sort_values("_id", kind="stable")
+    seen = one.select("_id", features("_text").alias("_x"), "_y").groupBy("_id").agg(F.min("_x").alias("_x"), F.min("_y").alias("_y"))
+    seen = seen.toPandas().sort_values("_id", kind="stable")  # at most ``rows`` rows
     x = np.stack(seen["_x"].to_numpy()) if len(seen) else np.empty((0, len(NAMES)))
     order = np.lexsort((*x.T[::-1], seen["_id"].to_numpy(np.int64)))
     return fit(x[order].astype(float), seen["_y"].to_numpy(float)[order])

@@ -308,6 +308,19 @@ def test_components(spark):
     assert components(edges.where("a < 0")).count() == 0
 
 
+def test_classifier_with_repeated_ids(spark):
+    """Every labelled id teaches once, whatever the order and number of its rows."""
+    rng = random.Random(5)
+    texts = [(i, " ".join(rng.choice(["alpha", "beta", "###", "!!"] if i % 2 else ["of", "the", "people", "say"]) for _ in range(40))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    copies = texts + [(i, t + " more") for i, t in texts for _ in range(5)] + [(7, "seven " * 9)] * 300
+    rng.shuffle(copies)
+    one, two = (classifier.train(frame(spark, rows), labels, rows=30) for rows in (copies, sorted(copies)))
+    probe = frame(spark, [(i, t) for i, t in texts] + [(99, None)])
+    scores = [[r.score for r in classifier.classify(probe, m).orderBy("doc_id").collect()] for m in (one, two)]
+    assert scores[0] == scores[1] and max(scores[0]) > 0.5 > min(scores[0])
+
+
 def exact(x, y):
     return min(max(sum(a * b for a, b in zip(x, y)), -mtree.END), mtree.END)
 
