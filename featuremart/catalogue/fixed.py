@@ -371,7 +371,8 @@ def _validity_sql(join: str) -> str:
 
 def _validity_join(t: Tables, how: str):
     days = t.payments.groupBy("billing_id", "acc_id", F.last_day("dt").alias("day")).agg(F.count("*").alias("n_payments"))
-    rows = interval_join(days, t.equipment.select(*ACCOUNT, "dt_from", "dt_to", "equipment_type"), ACCOUNT, "day", how=how)
+    spans = t.equipment.select(*ACCOUNT, "dt_from", F.col("dt_to").cast("date").alias("dt_to"), "equipment_type")
+    rows = interval_join(days, spans, ACCOUNT, "day", how=how)
     return rows.groupBy("billing_id", "acc_id", "day", "n_payments").agg(F.count("dt_from").alias("n_valid"), F.max("equipment_type").alias("top_type"))
 
 

@@ -66,6 +66,34 @@ def test_open_intervals_are_not_cut(spark):
     assert plan.count("Generate explode") == 1
 
 
+def test_closed_intervals_are_cut_into_few_rows(spark):
+    """200 days took eight month buckets, twelve years 145; days at the ends of months and years are still met."""
+    rows = [(1, date(2001, 5, 20), "2001-12-06", 1), (1, date(1998, 12, 31), "2011-01-01", 2), (1, date(2000, 12, 31), "2001-01-01", 3), (1, date(2000, 12, 31), "2001-01-02", 4)]
+    b = spark.createDataFrame(rows, "k int, dt_from date, dt_to string, j int")
+    days = [date(y, m, d) for y in (1998, 2000, 2001, 2010, 2011) for m, d in ((1, 1), (5, 19), (5, 20), (12, 5), (12, 6), (12, 31))]
+    a = spark.createDataFrame([(1, d) for d in days], "k int, day date")
+    joined = interval_join(a, b, ["k"], "day")
+    assert {(r.j, r.day) for r in joined.collect()} == {(j, d) for _, s, e, j in rows for d in days if covers(d, s, e)}
+    plan = joined._jdf.queryExecution().optimizedPlan()
+    explodes, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Generate" and "explode" in node.simpleString(1000):
+            explodes.append(node)
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(explodes) == 1
+    made = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, explodes[0]).count()
+    assert made == 1 + 13 + 1 + 2
+
+
+def test_open_ends_in_far_years(spark):
+    """An open interval that has ended by a day of the ninth millennium does not cover it."""
+    b = spark.createDataFrame([(1, D, "9500-01-01", 1), (1, date(9600, 1, 1), "9999-12-31", 2), (2, D, None, 3)], "k int, dt_from date, dt_to string, j int")
+    a = spark.createDataFrame([(k, date(y, 1, 1)) for k in (1, 2, 3) for y in (9499, 9500, 9550, 9700)], "k int, day date")
+    got = {(r.k, r.day.year, r.j) for r in interval_join(a, b, ["k"], "day", how="left").collect()}
+    assert got == {(1, 9499, 1), (1, 9500, None), (1, 9550, None), (1, 9700, 2)} | {(2, y, 3) for y in (9499, 9500, 9550, 9700)} | {(3, y, None) for y in (9499, 9500, 9550, 9700)}
+
+
 def test_snapshots_are_those_of_each_day(spark):
     df = spark.createDataFrame(intervals(random.Random(1), 400), "k int, dt_from date, dt_to string, i int")
     days = [month_end(date(2001, 7, 1), k) for k in range(12)]
