@@ -174,29 +174,16 @@ def category_matrix(
     """Sums of several metrics per key and category; nulls and NaN count as 0.
 
     ``metrics`` maps a metric to its column name with ``{}`` for the category.
-    Keys that have only other categories keep a row of zeros. The pivot reduces
-    to one row per key and category and then places each value by position,
-    where a conditional sum per column would test every row hundreds of times.
+    Keys that have only other categories keep a row of zeros. The rows are reduced
+    to one per key and category and gathered as :func:`category_vectors`, whose
+    entries become columns in the last projection: an aggregation of wide rows
+    would hold every column of every key of a task.
     With ``shuffle_by``, one of the keys, the result is already partitioned for
     a join on that column and its many columns are not shuffled again.
     """
-    narrow = df.select(*keys, category, *[_clean(m).alias(m) for m in metrics])
-    if shuffle_by is not None:
-        per_category = narrow.groupBy(*keys, category).agg(*[F.sum(m).alias(m) for m in metrics])
-        narrow = per_category.repartition(shuffle_by)
-    sums = [F.sum(m).alias(f"m{i}") for i, m in enumerate(metrics)]
-    wide = narrow.groupBy(*keys).pivot(category, list(values)).agg(*sums)
-    # with a single metric the pivot names its columns by the value alone
-    source = "{}" if len(metrics) == 1 else "{}_m{}"
-    # as text: hundreds of column objects take longer to build than the job takes to run
-    return wide.selectExpr(
-        *[f"`{k}`" for k in keys],
-        *[
-            f"coalesce(`{source.format(v, i)}`, 0d) as `{name.format(v)}`"
-            for v in values
-            for i, name in enumerate(metrics.values())
-        ],
-    )
+    vector = unused("_vector", df)
+    gathered = category_vectors(df, keys, category, list(metrics), values, vector, shuffle_by=shuffle_by)
+    return spread_vectors(gathered, vector, metrics, values)
 
 
 def _clean(metric: str) -> Column:

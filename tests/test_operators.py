@@ -395,3 +395,15 @@ def test_stack_by_name(spark, rows):
 def test_explode_list(spark, rows):
     df = spark.sql("select 1 as k, sequence(1, 3) as ids union all select 2, array()")
     assert rows(joins.explode_list(df, "ids", "id")) == {(1, 1), (1, 2), (1, 3)}
+
+
+def test_a_matrix_is_wide_only_in_its_projection(spark):
+    """As a pivot, each task held a wide row of nearly every key."""
+    df = spark.createDataFrame([(i % 50, i % 7, float(i)) for i in range(700)] + [(None, 1, 2.0), (3, None, 1.0), (99, 12, 1.0)], "k int, c int, v double")
+    out = categorical.category_matrix(df, ["k"], "c", {"v": "c_{}"}, range(5))
+    want = {k: [0.0] * 5 for k in [*range(50), None, 99]}
+    for r in df.collect():
+        if r.c is not None and r.c < 5:
+            want[r.k][r.c] += r.v
+    assert {tuple(r) for r in out.collect()} == {(k, *v) for k, v in want.items()}
+    assert "pivotfirst" not in out._jdf.queryExecution().optimizedPlan().toString()
