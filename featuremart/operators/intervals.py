@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from featuremart.operators.joins import enrich_spread, spread_join, unused
 
 #: An end on or after this day means that the interval is still open, as a null end does.
 OPEN_END = date(9000, 1, 1)
+#: Days in one mask, a long whose sign stays free.
+MASK_DAYS = 62
 
 
 def _day(col: str | Column) -> Column:
@@ -50,6 +53,30 @@ def snapshots(
     return df.withColumn(out, F.explode(F.filter(listed, lambda d: _covers(d, from_col, to_col))))
 
 
+def day_masks(
+    days: Sequence[date], names: Sequence[str], from_col: str = "dt_from", to_col: str = "dt_to"
+) -> list[Column]:
+    """The days on which a row is valid, as the bits of longs that ``bit_or`` merges; ``names`` as of :func:`mask_names`."""
+    days = sorted(set(days))
+    covered = lambda i, d: F.when(_covers(F.lit(d), from_col, to_col), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+    parts = [days[k * MASK_DAYS : (k + 1) * MASK_DAYS] for k in range(len(names))]
+    none = F.lit(0).cast("long")
+    return [reduce(Column.bitwiseOR, [covered(i, d) for i, d in enumerate(part)], none).alias(n) for n, part in zip(names, parts)]
+
+
+def mask_names(days: Sequence[date], prefix: str) -> list[str]:
+    return [f"{prefix}{k}" for k in range(max(1, -(-len(set(days)) // MASK_DAYS)))]
+
+
+def masked_days(days: Sequence[date], names: Sequence[str]) -> Column:
+    """The array of the days held in the masks of :func:`day_masks`."""
+    held = [
+        F.when(F.col(names[i // MASK_DAYS]).bitwiseAND(F.lit(1 << i % MASK_DAYS).cast("long")) != 0, F.lit(d))
+        for i, d in enumerate(sorted(set(days)))
+    ]
+    return F.array_compact(F.array(*held)).cast("array<date>")
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,

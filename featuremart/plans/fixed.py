@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.calendar import month_start
@@ -17,8 +18,8 @@ from featuremart.functions.temporal import days_since, valid_on
 from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
-from featuremart.operators.intervals import snapshots
-from featuremart.operators.joins import assemble, enrich, enrich_spread, stack, stamp
+from featuremart.operators.intervals import day_masks, mask_names, masked_days
+from featuremart.operators.joins import assemble, enrich, enrich_spread, stack, stamp, unused
 from featuremart.operators.rollup import rollup_entity
 from featuremart.operators.slots import month_slots, payment_block, slot_name
 from featuremart.operators.snapshots import (
@@ -103,10 +104,19 @@ def identity_months(
     ties: Sequence[str] = ("contract_id",),
     day: str = "snapshot_day",
 ) -> DataFrame:
-    """:func:`identity_base` for many days, each identity with the ``day`` it is valid on; all sources are read once."""
-    current = snapshots(stack(convergent_a, convergent_b), days, out=day)
-    identities = line_identities(current, mobile, fixed, also=[day])
-    return enrich_spread(identities, latest_contracts(contracts, ties), ACCOUNT)
+    """:func:`identity_base` for many days, each identity with the ``day`` it is valid on; all sources are read once.
+
+    The days of an identity travel as bits of longs, so that it is made distinct and meets its contract once, not once per day.
+    """
+    rows = stack(convergent_a, convergent_b)
+    newest = latest_contracts(contracts, ties)
+    masks = mask_names(days, unused("_days", rows, newest))
+    current = rows.select("*", *day_masks(days, masks)).where(reduce(Column.__or__, [F.col(m) != 0 for m in masks], F.lit(False)))
+    versions = line_identities(current, mobile, fixed, distinct=False, also=masks)
+    identities = versions.groupBy(*[c for c in versions.columns if c not in masks]).agg(*[F.bit_or(m).alias(m) for m in masks])
+    joined = enrich_spread(identities, newest, ACCOUNT).withColumn(day, F.explode(masked_days(days, masks)))
+    named = dict.fromkeys([*ACCOUNT, *[day if c in masks else c for c in versions.columns], *newest.columns])
+    return joined.select(*named)
 
 
 def lifetime_block(lifetimes: DataFrame, as_of: date) -> DataFrame:

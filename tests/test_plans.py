@@ -1,6 +1,8 @@
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.catalogue import fixed as fixed_queries
@@ -250,3 +252,20 @@ def test_no_feature_is_younger_than_the_lag(spark):
 def test_the_fixed_mart_names_its_month(t):
     mart = fixed_queries.fixed_mart_frame(t, date(2001, 4, 30))
     assert {r[0] for r in mart.select(training.MONTH).distinct().collect()} == {"2001-04-01"}
+
+
+def test_identity_months_are_those_of_each_day(spark):
+    """More days than a long has bits, equal identities with other spans, and each identity shuffled once whatever its days."""
+    names = "fix_billing_id int, fix_acc_id int, fix_acc_num int, mobile_id int, mobile_acc_id int, personal_account_number int, mobile_msisdn int, dt_from date, dt_to string, mobile_tariff_plan int"
+    start = date(2001, 1, 1)
+    rows = [(1, i % 3, None if i % 2 else 7, 1, i % 4, 5, i % 4, None if i == 9 else start + timedelta(3 * i), None if i % 5 == 0 else str(start + timedelta(40 + 2 * i)), 2) for i in range(30)]
+    a, b = spark.createDataFrame(rows, names), spark.createDataFrame(rows[:3] + [(None, None, None, 1, None, 5, 9, start, None, 2)], names)
+    contracts = spark.createDataFrame([(1, i, 7, start, "9999-12-31", i, i) for i in range(3)], "billing_id int, acc_id int, acc_num int, dt_from date, dt_to string, contract_num int, contract_id int")
+    days = [start + timedelta(k) for k in range(130)]
+    got = fixed.identity_months(a, b, contracts, [*days, days[0]])
+    want = reduce(DataFrame.unionByName, [fixed.identity_base(a, b, contracts, d).withColumn("snapshot_day", F.lit(d)) for d in days[::13]])
+    few = got.where(F.col("snapshot_day").isin(days[::13]))
+    assert sorted(map(str, few.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    text = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {k: min(i for i, line in enumerate(text) if k in line) for k in ("Generate explode", "Aggregate", "Join")}
+    assert depth["Generate explode"] < min(depth["Aggregate"], depth["Join"])
