@@ -30,6 +30,7 @@ PAGE, ROUTES, BLOCK = 1024, 256, 2048  # vectors of a page, routing vectors at m
 LARGEST = 2.0**500  # components from here on have no finite square
 EXACT = 2.0**52  # products of norms up to here have exact sums as doubles
 NODE = 32
+SENT = 4096  # queries' copies sent to pages at a time
 #: Scores beyond a long's range count as its ends; the lower end is also the floor of a query that has none yet.
 END = (1 << 63) - 1
 NONE = -END
@@ -59,11 +60,10 @@ def _lifted(v: np.ndarray, top: float) -> np.ndarray:
     return np.c_[v, np.sqrt(np.maximum(top - (v * v).sum(1), 0))]
 
 
-def _reach(norm: float, top: float, least: int | None) -> float:
-    """The distance within which vectors of a score of ``least`` or more lie, with room for the rounding of all distances."""
-    if least is None or least <= NONE:
-        return np.inf
-    return np.sqrt(max(norm + top - 2.0 * least, 0.0)) + 1e-6 * np.sqrt(norm + top) + 1e-3
+def _reach(norm: np.ndarray, top: float, least: np.ndarray) -> np.ndarray:
+    """The distances within which vectors of a score of ``least`` or more lie, with room for the rounding of all distances."""
+    whole = np.sqrt(np.maximum(norm + top - 2.0 * least, 0.0)) + 1e-6 * np.sqrt(norm + top) + 1e-3
+    return np.where(least <= NONE, np.inf, whole)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -89,49 +89,57 @@ class Page:
         self.begin = np.searchsorted(node[by_node], np.arange(len(picks) + 1))
         self.radius = np.array([self.own[a:b].max() if b > a else -1.0 for a, b in zip(self.begin, self.begin[1:])])
 
-    def search(self, q: np.ndarray, skip: int, to_route: float, floor: int | None, k: int) -> list[tuple[int, int]]:
-        """Up to ``k`` pairs (score, id) not below ``floor``, best first; ties to the smaller id."""
-        norm = float((q * q).sum())
-        best: list[tuple[int, int]] = []
+    def _scores(self, q: np.ndarray, plain: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Exact inner products of queries and the members from ``a`` to ``b``."""
+        if plain.all():  # whole numbers whose sums are exact in any order
+            return (q @ self.v[a:b].T).astype(np.int64)
+        out = np.empty((len(q), b - a), np.int64)
+        out[plain] = (q[plain] @ self.v[a:b].T).astype(np.int64)
+        members = [[int(y) for y in row] for row in self.v[a:b]]
+        for i in np.flatnonzero(~plain):
+            asked = [int(x) for x in q[i]]
+            out[i] = [min(max(sum(x * y for x, y in zip(asked, row)), -END), END) for row in members]
+        return out
+
+    def search(self, q: np.ndarray, skip: np.ndarray, to_route: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query number, id and score of up to ``k`` members for each query, none below its floor; ties to the smaller id.
+
+        All queries go through the nodes together; each has its own bounds, which tighten with its ``k``-th score.
+        """
+        norm = (q * q).sum(1)
         plain = np.sqrt(norm) * np.sqrt(self.top) < EXACT
-
-        def reach() -> float:
-            return _reach(norm, self.top, best[-1][0] if len(best) == k else floor)
-
-        def scores_of(v: np.ndarray) -> np.ndarray:
-            if plain:  # whole numbers whose sums are exact in any order
-                return (v @ q).astype(np.int64)
-            asked = [int(x) for x in q]
-            sums = (sum(int(x) * y for x, y in zip(row, asked)) for row in v)
-            return np.array([min(max(t, -END), END) for t in sums], np.int64)
-
-        far = reach()
+        bar, best = floor.copy(), np.full((len(q), k), NONE)
+        far = _reach(norm, self.top, bar)
         # by distances to the parent alone
-        open_ = np.flatnonzero((np.abs(to_route - self.to_parent) - self.radius <= far) & (self.radius >= 0))
-        if not len(open_):
-            return best
-        lifted = np.r_[q, 0.0]
-        gap = np.sqrt(((self.center[open_] - lifted) ** 2).sum(1))
-        bound = gap - self.radius[open_]
-        for j in np.argsort(bound, kind="stable"):
-            if bound[j] > far:
-                break
-            a, b = self.begin[open_[j]], self.begin[open_[j] + 1]
-            own = self.own[a:b]
-            lo, hi = np.searchsorted(own, gap[j] - far, side="left"), np.searchsorted(own, gap[j] + far, side="right")
-            if hi <= lo:
+        open_ = (np.abs(to_route[:, None] - self.to_parent) - self.radius <= far[:, None]) & (self.radius >= 0)
+        gap = _distances(np.c_[q, np.zeros(len(q))], self.center)
+        bound = gap - self.radius
+        found = [(np.empty(0, np.int64),) * 3]
+        for j in np.argsort(bound.sum(0), kind="stable"):
+            a, b = self.begin[j], self.begin[j + 1]
+            asking = np.flatnonzero(open_[:, j] & (bound[:, j] <= far))
+            lo = np.searchsorted(self.own[a:b], gap[asking, j] - far[asking], side="left")
+            hi = np.searchsorted(self.own[a:b], gap[asking, j] + far[asking], side="right")
+            asking, lo, hi = (x[hi > lo] for x in (asking, lo, hi))
+            if not len(asking):
+                continue
+            a, b = a + lo.min(), a + hi.max()
+            scores = self._scores(q[asking], plain[asking], a, b)
+            take = (self.ids[a:b] != skip[asking, None]) & (scores >= bar[asking, None])
+            row, member = np.nonzero(take)
+            if not len(row):
                 continue
-            ids = self.ids[a + lo : a + hi]
-            scores = scores_of(self.v[a + lo : a + hi])
-            take = ids != skip
-            if len(best) == k:
-                take &= scores >= best[-1][0]
-            elif floor is not None:
-                take &= scores >= floor
-            if take.any():
-                best = sorted([*best, *zip(scores[take].tolist(), ids[take].tolist())], key=lambda r: (-r[0], r[1]))[:k]
-                far = reach()
-        return best
+            found.append((asking[row], self.ids[a + member], scores[row, member]))
+            held = np.sort(np.c_[best[asking], np.where(take, scores, NONE)], axis=1)[:, -k:]
+            best[asking], bar[asking] = held, np.maximum(bar[asking], held[:, 0])
+            far[asking] = _reach(norm[asking], self.top, bar[asking])
+        which, ids, scores = (np.concatenate(part) for part in zip(*found))
+        kept = scores >= bar[which]
+        which, ids, scores = which[kept], ids[kept], scores[kept]
+        order = np.lexsort((ids, -scores, which))
+        which, ids, scores = which[order], ids[order], scores[order]
+        first = np.arange(len(which)) - np.searchsorted(which, which) < k
+        return which[first], ids[first], scores[first]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -178,27 +186,32 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             for b in batches:
                 q = _matrix(b["v"], width)
                 gap = _distances(np.c_[q, np.zeros(len(q))], centers)
-                near = np.where(pages > 0, gap, np.inf).argmin(1)
-                for i, row in enumerate(b.itertuples(index=False)):
-                    if first:
-                        where = [(near[i], row.key % pages[near[i]])]
-                    else:
-                        far = _reach(float((q[i] * q[i]).sum()), top, int(row.floor))
-                        where = [(j, c) for j in np.flatnonzero((pages > 0) & (gap[i] - radius <= far)) for c in range(pages[j])]
+                if first:
+                    row, route = np.arange(len(b)), np.where(pages > 0, gap, np.inf).argmin(1)
+                    part = b["key"].to_numpy() % pages[route]
+                else:
+                    far = _reach((q * q).sum(1), top, b["floor"].to_numpy())
+                    row, route = np.nonzero((pages > 0) & (gap - radius <= far[:, None]))
+                    times = pages[route]
+                    row, route = np.repeat(row, times), np.repeat(route, times)
+                    part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                for at in range(0, len(row), SENT):
+                    i, j, c = row[at : at + SENT], route[at : at + SENT], part[at : at + SENT]
+                    asked = b.iloc[i]
                     yield pd.DataFrame({
-                        "page": [int(j) * (1 << 32) + int(c) for j, c in where], "block": row.key % blocks, "key": row.key, "id": row.id,
-                        "v": [row.v] * len(where), "gap": [gap[i, j] for j, _ in where], "floor": NONE if first else row.floor,
+                        "page": j * (1 << 32) + c, "block": asked["key"].to_numpy() % blocks, "key": asked["key"].to_numpy(), "id": asked["id"].to_numpy(),
+                        "v": asked["v"].to_numpy(), "gap": gap[i, j], "floor": NONE if first else asked["floor"].to_numpy(),
                     })
 
         return run
 
     def search(page: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(page) and len(block):
-            tree = Page(page["id"].to_numpy(), _matrix(page["v"], width), page["far"].to_numpy(), top)
-            for q in block.itertuples(index=False):
-                rows += [(q.key, q.id, i, s) for s, i in tree.search(_matrix([q.v], width)[0], q.id, q.gap, int(q.floor), k)]
-        return pd.DataFrame(rows, columns=["key", "query_id", "vec_id", "score"])
+        if not len(page) or not len(block):
+            return pd.DataFrame([], columns=["key", "query_id", "vec_id", "score"])
+        tree = Page(page["id"].to_numpy(), _matrix(page["v"], width), page["far"].to_numpy(), top)
+        key, id, gap, floor = (block[c].to_numpy() for c in ("key", "id", "gap", "floor"))
+        which, ids, scores = tree.search(_matrix(block["v"], width), id, gap, floor, k)
+        return pd.DataFrame({"key": key[which], "query_id": id[which], "vec_id": ids, "score": scores})
 
     def answered(asking: DataFrame, first: bool) -> DataFrame:
         sent = asking.mapInPandas(visits(first), "page bigint, block bigint, key bigint, id bigint, v array<double>, gap double, floor bigint")

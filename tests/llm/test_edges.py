@@ -354,3 +354,27 @@ def test_top_k(spark):
             assert [got[q, k + 1] for k in range(4)] == [(i, -s) for s, i in best]
     assert mtree.top_k(v.where("id < 0"), v, 3).count() == 0 and mtree.top_k(v, v.where("id < 0"), 3).count() == 0
     assert mtree.top_k(v.where("id < 2"), v.where("id = 1"), 3).count() == 1
+
+
+def test_queries_go_through_a_page_together(monkeypatch):
+    """A node costs one product for all queries of a block, and each query's answers are those of brute force."""
+    draw = np.random.default_rng(4)
+    v = draw.integers(-40, 40, (500, 8)).astype(float)
+    v[100:160] = v[7]  # many equal scores
+    top = float((v * v).sum(1).max())
+    route = mtree._lifted(v[:1], top)
+    tree = mtree.Page(np.arange(500), v, mtree._distances(mtree._lifted(v, top), route)[:, 0], top)
+    q = v[::5]
+    gap = mtree._distances(np.c_[q, np.zeros(len(q))], route)[:, 0]
+    scores = (q @ v.T).astype(int)
+    floor = np.where(np.arange(len(q)) % 3 == 0, mtree.NONE, np.sort(scores, axis=1)[:, -9])
+    products = []
+    plain_scores = mtree.Page._scores
+    monkeypatch.setattr(mtree.Page, "_scores", lambda self, *a: products.append(1) or plain_scores(self, *a))
+    which, ids, found = tree.search(q, np.arange(0, 500, 5), gap, floor, 4)
+    want = []
+    for i in range(len(q)):
+        others = [(-scores[i, j], j) for j in range(500) if j != 5 * i]
+        want += [(i, j, -s) for s, j in sorted(others)[:4]]
+    assert list(zip(which.tolist(), ids.tolist(), found.tolist())) == want
+    assert len(products) <= -(-500 // mtree.NODE)
