@@ -150,17 +150,19 @@ class Vocabulary:
         ids.reverse()
         return ids, best[n]
 
-    def remember(self, texts, memo: dict) -> None:
-        """Put all words of the texts that are short enough into the memo, new ones in one vectorised pass."""
-        words = {w for t in texts for w in self.parts.findall(t) if len(w) <= LONGEST}
-        new = words - memo.keys()
+    def remember(self, texts, memo: dict) -> list[list[str]]:
+        """Put all words of the texts that are short enough into the memo, new ones in one vectorised pass; the words of each text."""
+        cut = [self.parts.findall(t) for t in texts]
+        words = set().union(*cut)
+        new = [w for w in words - memo.keys() if len(w) <= LONGEST]
         if len(memo) + len(new) > MEMO:
             memo.clear()
-            new = words
-        new = sorted(new, key=len, reverse=True)
+            new = [w for w in words if len(w) <= LONGEST]
+        new.sort(key=len, reverse=True)
         for at in range(0, len(new), WORDS):
             part = new[at : at + WORDS]
             memo.update(zip(part, self.viterbi_all(part)))
+        return cut
 
     def viterbi_all(self, words: list[str]) -> list[tuple[bytes, int]]:
         """What :meth:`viterbi` gives for each word, its pieces packed; ``words`` from long to short, none empty."""
@@ -216,7 +218,7 @@ class Vocabulary:
 
     def encode(self, text: str, memo: dict, stop: int | None = None) -> tuple[bytes, int]:
         """Pieces, packed in four bytes each, and score of a text; with ``stop``, its last piece starts before that place and ends at the end."""
-        parts, tail = self.parts.findall(text), []
+        parts, tail = self.parts.findall(text), (b"", 0)
         if stop is not None and stop < len(text):
             held = 0
             while parts and len(text) - held - len(parts[-1]) > stop:  # later places are inside the last piece
@@ -224,8 +226,15 @@ class Vocabulary:
             held += len(parts.pop()) if parts else 0
             at = len(text) - held
             ids, total = self.viterbi(text[at:], stop - at)
-            tail = [(_packed(ids), total)]
-        found = [*map(memo.get, parts), *tail]
+            tail = (_packed(ids), total)
+        found = [*self.looked_up(parts, memo), tail]
+        return b"".join([ids for ids, _ in found]), sum([total for _, total in found])
+
+    def looked_up(self, parts: list[str], memo: dict) -> list[tuple[bytes, int]]:
+        """Packed pieces and score of each word."""
+        found = list(map(memo.get, parts))
+        if None not in found:
+            return found
         for i, hit in enumerate(found):
             if hit is None:  # too long for the memo, or met for the first time
                 ids, total = self.viterbi(parts[i])
@@ -234,7 +243,7 @@ class Vocabulary:
                     if len(memo) >= MEMO:
                         memo.clear()
                     memo[parts[i]] = found[i]
-        return b"".join([ids for ids, _ in found]), sum([total for _, total in found])
+        return found
 
     @cached_property
     def spelled(self) -> np.ndarray:
@@ -246,20 +255,18 @@ class Vocabulary:
     def decode(self, ids, whole: bool = True) -> str:
         """The text of pieces; the blank put before every ``whole`` text goes."""
         ids = np.asarray(ids, np.int64)
-        if not self.spelled[ids].any():
-            return "".join(map(self.pieces.__getitem__, ids.tolist()))[1 if whole else 0 :]
-        out, raw = [], bytearray()
-        for i in ids.tolist():
-            b = self.bytes.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(self.pieces[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
+        raw = np.flatnonzero(self.spelled[ids])
+        listed, name, byte = ids.tolist(), self.pieces.__getitem__, self.bytes.__getitem__
+        if not len(raw):
+            return "".join(map(name, listed))[1 if whole else 0 :]
+        out, at = [], 0
+        # only runs of byte pieces are looked at one by one
+        first, last = raw[np.diff(raw, prepend=-2) != 1], raw[np.diff(raw, append=len(ids) + 1) != 1] + 1
+        for a, b in zip(first.tolist(), last.tolist()):
+            out += map(name, listed[at:a])
+            out.append(bytes(map(byte, listed[a:b])).decode("utf-8", "replace"))
+            at = b
+        out += map(name, listed[at:])
         return "".join(out)[1 if whole else 0 :]
 
     def transfer(self, text: str, size: int, memo: dict) -> np.ndarray:
@@ -353,8 +360,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
         for texts in batches:
             for (part,) in _slices(texts.fillna("")):
                 part = [f" {t}" if t else "" for t in part]
-                v.remember(part, memo)
-                ids = [np.frombuffer(v.encode(t, memo)[0], np.int32) for t in part]
+                # the words are cut once, for the memo and for the texts
+                found = (v.looked_up(words, memo) for words in v.remember(part, memo))
+                ids = [np.frombuffer(b"".join([ids for ids, _ in f]), np.int32) for f in found]
                 same = [not check or v.decode(i) == t[1:] for i, t in zip(ids, part)]
                 yield pd.DataFrame({"p": ids, "ok": same})
 

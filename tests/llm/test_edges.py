@@ -378,3 +378,18 @@ def test_queries_go_through_a_page_together(monkeypatch):
         want += [(i, j, -s) for s, j in sorted(others)[:4]]
     assert list(zip(which.tolist(), ids.tolist(), found.tolist())) == want
     assert len(products) <= -(-500 // mtree.NODE)
+
+
+def test_words_are_cut_once():
+    """The words that fill the memo are those that are looked up; runs of byte pieces decode together."""
+    v = pieces.load_vocabulary()
+    texts = [" one two  two\nthree", "", " \u4e00\u9f98\U0001f9ff\U0001fabf end \U0001fabf", " " + "x" * 100 + " one"]
+    memo = {}
+    cut = v.remember(texts, memo)
+    assert ["".join(words) for words in cut] == texts
+    for t, words in zip(texts, cut):
+        ids = np.frombuffer(b"".join(p for p, _ in v.looked_up(words, memo)), np.int32)
+        assert ids.tolist() == (v.viterbi(t)[0] if t else [])
+        assert v.decode(ids) == t[1:] and v.decode(ids, whole=False) == t
+    raw = [v.byte_ids[b] for b in (0xE4, 0xB8, 0x80)]
+    assert v.decode([*raw[:1], v.trie["a"][0], *raw, *raw[:2]], whole=False) == "\ufffda\u4e00\ufffd"
