@@ -7,7 +7,8 @@ differ by D in all. The index has two levels.
 
 * Directory: the groups are dealt into more than D blocks, so that similar documents
   have the same point in at least one block. The blocks of a document, which
-  use fine groups (their point is a hash of the block's shingles), are its directory keys.
+  use fine groups (their point is a hash of the block's shingles), are its directory keys; a
+  document that fills more than D blocks needs the first D + 1 of these alone.
   Nothing similar is ever missed, and unlike a single shingle a block is
   rarely shared by chance, even through a passage that many documents hold.
 * Pages: documents that directory keys bring together are paged by size, with the
@@ -19,9 +20,8 @@ Equal sets are linked by their hash, and only the first of them is looked up fur
 document is then paired with one leader only, and components are
 formed. Pages are joined just where a key still holds several
 components, so a group of near copies costs a link per copy, not all pairs, and no link
-that joins components is lost. Keys combine by minimum before their
-shuffle, and the joins that find a key's members are of stored sides, which adaptive execution
-splits where a key is hot.
+that joins components is lost. Keys are shuffled once, and a window finds those that several
+documents have: a task holds a hot key's (key, id) rows, one per document, and spills them.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,12 +100,16 @@ class Directory:
         out = []
         for c in self.classes(len(s)):
             d = self.differences(c)
-            m = d + 1 + d // 32
+            # an empty block is shared by much that is not alike; with this many blocks nearly every set fills more than d
+            m = d + 1 + d // 2
             block = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
             start = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
             point = np.add.reduceat(_mix(s ^ _MIX[2]), start)
             own = block[start]
-            if len(start) <= d:  # too few filled blocks to be sure: empty ones count as well
+            if len(start) > d:
+                # among the first d + 1 filled blocks of the set that gets there sooner one is equal, and both sets have it
+                own, point = own[: d + 1], point[: d + 1]
+            else:  # too few filled blocks to be sure: empty ones count as well
                 empty = np.setdiff1d(np.arange(m, dtype=np.uint64), own)
                 own, point = np.r_[own, empty], np.r_[point, np.zeros(len(empty), np.uint64)]
             out.append(_mix(point + _mix(own + np.uint64(c << 40))))
@@ -186,22 +190,24 @@ def _unfinished(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _within(left: pd.DataFrame, right: pd.DataFrame, same: bool, percent: int) -> list[tuple[int, int]]:
-    """Pairs of two pages whose sizes and coordinate minima can reach the overlap asked for."""
+    """Pairs of two pages that share a key and whose sizes and coordinate minima can reach the overlap asked for."""
     out = []
     if not len(left) or not len(right):
         return out
     order = np.argsort(right["n"].to_numpy(), kind="stable")
     points = np.stack(right["c"].to_numpy()[order])
-    sizes, ids, comps = (right[c].to_numpy()[order] for c in ("n", "id", "comp"))
-    for n, i, comp, point in zip(left["n"], left["id"], left["comp"], left["c"]):
+    sizes, ids, comps, keys = (right[c].to_numpy()[order] for c in ("n", "id", "comp", "keys"))
+    for n, i, comp, point, own in zip(left["n"], left["id"], left["comp"], left["c"], left["keys"]):
         lo, hi = np.searchsorted(sizes, -(-percent * n // 100)), np.searchsorted(sizes, 100 * n // percent, side="right")
         other = lo + np.flatnonzero((comps[lo:hi] != comp) & ((ids[lo:hi] > i) | (not same)))
-        for k in range(0, len(other), 4096):
-            part = other[k : k + 4096]
+        for at in range(0, len(other), 4096):
+            part = other[at : at + 4096]
             overlap = np.minimum(points[part], point).sum(1, dtype=np.int64)
             full = ((points[part] == FULL) & (point == FULL)).any(1)
             good = part[full | (overlap * (100 + percent) >= (sizes[part] + n) * percent)]
-            out += [(min(i, j), max(i, j)) for j in ids[good].tolist()]
+            if len(good):
+                held = set(own.tolist())
+                out += [(min(i, j), max(i, j)) for j, k in zip(ids[good].tolist(), keys[good]) if not held.isdisjoint(k.tolist())]
     return out
 
 
@@ -210,11 +216,12 @@ def _page_pairs(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFram
 
     Documents that share keys, directly or through others, are a family. A family of at most PAGE
     documents is one page, and such pages travel together. A larger one is paged by
-    size, then at random. Pages of a family meet if their bounds allow it.
+    size, then at random. Pages of a family meet if their bounds allow it. Each document brings
+    its keys: similar ones share one themselves, and the points of long texts bound little.
     """
     hub = stored(open_.groupBy("key").agg(F.min("id").alias("a")), "jaccard-hubs")
     family = components(open_.join(hub, "key").select("a", F.col("id").alias("b")).distinct()).select("id", F.col("component").alias("family"))
-    docs = open_.select("id", "comp").distinct().join(small_enough(family, IDS_SENT), "id")
+    docs = open_.groupBy("id", "comp").agg(F.collect_set("key").alias("keys")).join(small_enough(family, IDS_SENT), "id")
     full = stored(docs.join(sketches.select("id", "n", "c"), "id"), "jaccard-points")
     sizes = checkpointed(full.groupBy("family").count())
     large = F.col("count") > PAGE
@@ -226,7 +233,7 @@ def _page_pairs(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFram
     placed = placed.join(small_enough(checkpointed(parts), IDS_SENT), ["family", "step"], "left")
     page = F.when(large, F.col("step") * (1 << 32) + F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(0)
     lot = F.when(large, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(lots)))
-    placed = stored(placed.select("id", "comp", "family", "n", "c", lot.alias("lot"), page.alias("page"), large.alias("large")), "jaccard-placed")
+    placed = stored(placed.select("id", "comp", "keys", "family", "n", "c", lot.alias("lot"), page.alias("page"), large.alias("large")), "jaccard-placed")
 
     folded = F.transform(F.sequence(F.lit(0), F.lit(FOLDED - 1)), lambda g: F.aggregate(F.sequence(g, F.lit(GROUPS - 1), F.lit(FOLDED)), F.lit(0), lambda t, i: t + F.get("c", i)))
     top = [F.max(F.get("f", i)).alias(f"t{i}") for i in range(FOLDED)]
@@ -245,8 +252,8 @@ def _page_pairs(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFram
             found = _within(one, two, False, percent)
         return pd.DataFrame(found, columns=["a", "b"])
 
-    columns = ["lot", "pagea", "pageb", "id", "comp", "family", "n", "c"]
-    held = lambda x: placed.select("lot", F.col("page").alias(f"page{x}"), "id", "comp", "family", "n", "c")
+    columns = ["lot", "pagea", "pageb", "id", "comp", "keys", "family", "n", "c"]
+    held = lambda x: placed.select("lot", F.col("page").alias(f"page{x}"), "id", "comp", "keys", "family", "n", "c")
     one = met.join(held("a"), ["lot", "pagea"]).select(*columns).toDF(*columns)
     two = met.where("pagea < pageb").join(held("b"), ["lot", "pageb"]).select(*columns).toDF(*columns)
     keys = ["lot", "pagea", "pageb"]
@@ -276,8 +283,10 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     copies = checkpointed(copies)
     first = small_enough(groups.select(F.col("a").alias("id")).distinct(), IDS_SENT)
     rows = whole.join(first, "id", "left_semi").select(F.explode("keys").alias("key"), "id")
-    leaders = rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
-    members = stored(rows.join(stored(leaders, "jaccard-leaders"), "key"), "jaccard-members")
+    # most keys have one document; these rows are shuffled once and go before anything is stored
+    per_key = Window.partitionBy("key")
+    held = rows.withColumns({"a": F.min("id").over(per_key), "z": F.max("id").over(per_key)}).where("a < z")
+    members = stored(held.select("key", "id", "a"), "jaccard-members")
     verified = lambda pairs: _verified(pairs, sketches, light, words, percent)
 
     # each document with the leader it shares most keys with

@@ -286,6 +286,23 @@ def test_directory_misses_no_similar_pair():
                 assert np.intersect1d(index.keys(x), index.keys(y)).size
 
 
+def test_directory_keeps_apart_what_is_not_alike():
+    """Empty blocks are no keys of an ordinary set, and no set has more keys of a class than it needs."""
+    rng = np.random.default_rng(8)
+    index = jaccard.Directory(80)
+    sets = [np.unique(rng.integers(0, 1 << 63, int(n), dtype=np.uint64) * np.uint64(2)) for n in rng.uniform(1700, 2600, 40)]
+    keys = [index.keys(s) for s in sets]
+    assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+    assert all(len(k) == sum(index.differences(c) + 1 for c in index.classes(len(s))) for s, k in zip(sets, keys))
+
+
+def test_pages_pair_only_documents_that_share_a_key(spark):
+    """Long texts, whose points bound nothing: 0 and 1 share a key, 1 and 2 another, 0 and 2 none."""
+    open_ = spark.createDataFrame([(7, 0, 0), (7, 1, 1), (9, 1, 1), (9, 2, 2)], "key bigint, id bigint, comp bigint")
+    sketches = spark.createDataFrame([(i, 256 * 100, i, [100] * 256) for i in range(3)], "id bigint, n bigint, h bigint, c array<smallint>")
+    assert sorted(map(tuple, jaccard._page_pairs(open_, sketches, 80).collect())) == [(0, 1), (1, 2)]
+
+
 def test_jaccard_with_chains(spark):
     """Chains of near copies whose ends are not similar, and pairs just below the threshold."""
     rnd = random.Random(5)
