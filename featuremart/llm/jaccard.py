@@ -315,4 +315,4 @@ def one_per_group(docs: DataFrame, id: str = "doc_id", text: str = "text", words
     """The rows of ``docs`` whose id is the smallest of its component, and all rows that link with nothing."""
     _, found = similar(docs, id, text, words, percent)
     gone = found.where("id <> component").select(F.col("id").alias(id))
-    return docs.join(gone, id, "left_anti")
+    return docs.join(small_enough(gone, IDS_SENT), id, "left_anti")
