@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featuremart.functions.calendar import month_start
 from featuremart.functions.temporal import days_since, valid_on
@@ -19,8 +20,8 @@ from featuremart.functions.units import to_gb
 from featuremart.operators import categorical, services, tickets
 from featuremart.operators.identity import dual_identity, mask_by_role
 from featuremart.operators.intervals import day_masks, mask_names, masked_days
-from featuremart.operators.joins import assemble, enrich, enrich_spread, stack, stamp, unused
-from featuremart.operators.rollup import rollup_entity
+from featuremart.operators.joins import assemble, attach_by, enrich_spread, stack, stamp, unused
+from featuremart.operators.rollup import pair_is_exact, rollup_entity, rollup_pair
 from featuremart.operators.slots import month_slots, payment_block, slot_name
 from featuremart.operators.snapshots import (
     latest_by,
@@ -268,6 +269,47 @@ def finish_entities(
     return rollup_entity(masked, keys, entity_spec(mobile) if spec is None else spec)
 
 
+def account_rows(
+    accounts: DataFrame,
+    sources: Mapping[str, DataFrame],
+    as_of: date,
+    wanted: Sequence[str],
+    *,
+    align: str = "month",
+    ties: Sequence[str] = ("contract_id",),
+    equipment: Mapping[str, Sequence[int]] = EQUIPMENT_VALUES,
+    cols: tickets.TicketColumns = tickets.TicketColumns(),
+) -> tuple[DataFrame, dict[str, str]]:
+    """Per account with any row in a block, all blocks as one column ``_blocks``; and the field of it that holds each column.
+
+    Joins are on unique keys. Each block is one struct, null for accounts it lacks, so that
+    most accounts stay narrow. Contracts meet their requests and profiles first, when no
+    account without a contract is with them; the other joins share one partitioning.
+    """
+    requests = tickets.contract_statistics(sources["complaints"], as_of, cols=cols)
+    contracts = attach_by(accounts, latest_contracts(sources["contracts"], ties), ACCOUNT)
+    contracts = enrich_spread(contracts, requests, [cols.contract], ACCOUNT)
+    contracts = enrich_spread(contracts, profile_block(sources["profiles"]), PROFILE_KEY, ACCOUNT)
+    blocks = {
+        "contract": contracts.withColumn("total_live_dur", days_since("dt_from", as_of)),
+        "lifetime": lifetime_block(sources["lifetimes"], as_of),
+        "payment": payments_block(sources["payments"], as_of),
+        "traffic": traffic_block(sources["traffic"], as_of, align),
+        "equipment": equipment_masks(sources["equipment"], as_of, equipment),
+        "service": service_block(sources["services"], sources["discounts"], as_of),
+    }
+    fields, packed = {}, []
+    for name, block in blocks.items():
+        own = [c for c in block.columns if c not in ACCOUNT]
+        if clash := set(own) & set(fields):
+            raise ValueError(f"two blocks have {sorted(clash)}")
+        fields |= dict.fromkeys(own, name)
+        packed.append((block.select(*ACCOUNT, F.struct(*[c for c in own if c in wanted]).alias(name)), ACCOUNT))
+    known = reduce(Column.__or__, [F.col(name).isNotNull() for name in blocks])
+    rows = assemble(accounts, packed).where(known).select(*ACCOUNT, F.struct(*blocks).alias("_blocks"))
+    return rows, {c: f"{name}.{c}" for c, name in fields.items()}
+
+
 def fixed_mart(
     sources: Mapping[str, DataFrame],
     as_of: date,
@@ -281,35 +323,74 @@ def fixed_mart(
 ) -> DataFrame:
     """One row per mobile line with all blocks, stamped with the month of ``as_of``.
 
-    Everything but the role of a line depends on the account alone. So the
-    blocks are joined once per account, where every join is on unique keys, and
-    the wide account rows then meet the identities in a single join. The two
-    joins with keys of their own come first, while the rows are narrow; the
-    others share one partitioning by account.
+    Everything but the role of a line depends on the account alone, so the blocks are joined once per account.
+    A line has one mobile account, and hardly any has more than one fixed account: these lines meet the rows of
+    both accounts in two joins and merge them in a projection. Only the identities of the
+    others go through an aggregation of wide rows.
     """
     current = snapshot(stack(sources["convergent_a"], sources["convergent_b"]), as_of)
-    identities = line_identities(current, mobile, fixed)
-    accounts = line_identities(current, mobile, fixed, distinct=False).select(*ACCOUNT)
-    contracts = enrich(accounts.distinct(), latest_contracts(sources["contracts"], ties), ACCOUNT)
-
-    requests = tickets.contract_statistics(sources["complaints"], as_of, cols=cols)
-    wide = enrich_spread(contracts, requests, [cols.contract], ACCOUNT)
-    wide = enrich_spread(wide, profile_block(sources["profiles"]), PROFILE_KEY, ACCOUNT)
-    wide = assemble(
-        wide,
-        [
-            (lifetime_block(sources["lifetimes"], as_of), ACCOUNT),
-            (payments_block(sources["payments"], as_of), ACCOUNT),
-            (traffic_block(sources["traffic"], as_of, align), ACCOUNT),
-            (equipment_masks(sources["equipment"], as_of, equipment), ACCOUNT),
-            (service_block(sources["services"], sources["discounts"], as_of), ACCOUNT),
-        ],
-    )
-    joined = enrich_spread(identities, wide, ACCOUNT)
-    # an account without a number has no complaint row of its own
-    request_columns = [c for c in requests.columns if c != cols.contract]
-    joined = mask_by_role(joined, F.col("acc_num").isNotNull(), request_columns)
+    identities = line_identities(current, mobile, fixed, distinct=False)
+    accounts = identities.select(*ACCOUNT).distinct()
     # packed, the flags take two columns through the joins and the rollup, not 76
     spec = entity_spec(mobile, equipment, cols=cols, packed=True)
-    mart = unpack_equipment(finish_entities(joined, as_of, mobile=mobile, spec=spec), equipment)
+    own = [*ACCOUNT, "acc_num", f"{mobile}_contract_num"]
+    wanted = [*[c for c in spec if c not in own], "contract_num"]
+    rows, fields = account_rows(accounts, sources, as_of, wanted, align=align, ties=ties, equipment=equipment, cols=cols)
+    if clash := set(fields) & set(identities.columns):
+        raise ValueError(f"both sides have {sorted(clash)}")
+    # an account without a number has no complaint row of its own
+    request_columns = {f"min_{cols.hours}", f"max_{cols.hours}", cols.count, *tickets.flag_names(cols=cols)}
+
+    def of_account(blocks: str, role: Column, account: Mapping[str, Column]) -> dict[str, Column]:
+        """The columns of the rollup for one identity, ``blocks`` being the row of its account."""
+        field = lambda c: F.col(f"{blocks}.{fields[c]}")
+        values = {c: F.when(account["acc_num"].isNotNull(), field(c)) if c in request_columns else field(c) for c in wanted}
+        masked = {c: F.when(role == 0, column) for c, column in account.items()}
+        return values | masked | {f"{mobile}_contract_num": F.when(role == 1, values["contract_num"])}
+
+    number = "personal_account_number"
+    keys = [f"{mobile}_id", f"{mobile}_acc_id", number, f"{mobile}_msisdn", f"{mobile}_tariff_plan"]
+    triple = [*ACCOUNT, "acc_num"]
+    kinds = {c: identities.schema[c].dataType for c in triple}
+    exact = all(pair_is_exact(rows.select(f"_blocks.{fields[c]}").schema[0].dataType) for c, rule in spec.items() if rule == "sum")
+    one, lines = _lines(current, keys, dict(zip(triple, (f"{fixed}_billing_id", f"{fixed}_acc_id", f"{fixed}_acc_num"))), kinds)
+
+    one = one & F.lit(exact)
+    several = lines.where(~one).select(*[F.col(k).alias(f"_of_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    many = line_identities(current.join(several, same, "left_semi"), mobile, fixed)
+    joined = enrich_spread(many, rows, ACCOUNT)
+    columns = of_account("_blocks", F.col(f"is_{mobile}"), {c: F.col(c) for c in triple})
+    rolled = rollup_entity(joined.select(*keys, *[columns[c].alias(c) for c in spec]), keys, spec)
+
+    types = {c: rolled.schema[c].dataType for c in spec}
+    placed = lines.where(one).select(
+        *keys,
+        *[F.col(source).cast(kinds[c]).alias(f"_{c}_1") for c, source in zip(triple, (f"{mobile}_id", f"{mobile}_acc_id", number))],
+        *[F.col(f"_least_{c}").alias(f"_{c}_0") for c in triple],
+        # not as literals: the optimizer would cut unused fields from the rows of one role, which then are made once more
+        *[F.when(F.col("_rows") > 0, role).alias(f"_role_{role}") for role in (1, 0)],
+    )
+    for role in (1, 0):
+        names = {c: f"_{c}_{role}" for c in ACCOUNT} | {"_blocks": f"_blocks_{role}"}
+        placed = enrich_spread(placed, rows.withColumnsRenamed(names), [names[c] for c in ACCOUNT], keys)
+    sides = [of_account(f"_blocks_{role}", F.col(f"_role_{role}"), {c: F.col(f"_{c}_{role}") for c in triple}) for role in (1, 0)]
+    merged = placed.select(*keys, *rollup_pair(spec, *sides, types))
+    mart = unpack_equipment(stack(merged, rolled), equipment)
     return stamp(mart, {"table_business_month": month_start(as_of).isoformat()})
+
+
+def _lines(
+    current: DataFrame, keys: Sequence[str], account: Mapping[str, str], kinds: Mapping[str, T.DataType]
+) -> tuple[Column, DataFrame]:
+    """One narrow row per line with the least fixed ``account``; and whether it is its only one."""
+    known = current.select(*keys, *[F.col(source).cast(kinds[c]).alias(f"_{c}") for c, source in account.items()])
+    lines = known.groupBy(*keys).agg(
+        F.count("*").alias("_rows"),
+        *[f(f"_{c}").alias(f"_{name}_{c}") for c in account for name, f in (("least", F.min), ("most", F.max), ("held", F.count))],
+    )
+    alike = [
+        (F.col(f"_held_{c}") == 0) | ((F.col(f"_held_{c}") == F.col("_rows")) & (F.col(f"_least_{c}") == F.col(f"_most_{c}")))
+        for c in account
+    ]
+    return F.coalesce(reduce(Column.__and__, alike), F.lit(False)), lines

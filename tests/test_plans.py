@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from decimal import Decimal
 from functools import reduce
 
 import pytest
@@ -9,8 +10,9 @@ from featuremart.catalogue import fixed as fixed_queries
 from featuremart.catalogue import mobile as mobile_queries
 from featuremart.catalogue.registry import AS_OF, Tables
 from featuremart.operators.categorical import category_matrix, category_vectors, merge_vectors, spread_vectors
-from featuremart.operators.joins import as_of_join, assemble_known
-from featuremart.operators.snapshots import assert_grain
+from featuremart.operators.joins import as_of_join, assemble_known, enrich_spread
+from featuremart.operators.rollup import rollup_entity, rollup_pair
+from featuremart.operators.snapshots import assert_grain, snapshot
 from featuremart.plans import fixed, mobile, training
 from featuremart.sources import tables
 
@@ -269,3 +271,58 @@ def test_identity_months_are_those_of_each_day(spark):
     text = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
     depth = {k: min(i for i, line in enumerate(text) if k in line) for k in ("Generate explode", "Aggregate", "Join")}
     assert depth["Generate explode"] < min(depth["Aggregate"], depth["Join"])
+
+
+def test_the_mart_of_lines_with_any_number_of_fixed_accounts(t):
+    """Two joins for lines with one fixed account, the rollup for the others: as the rollup of all identities."""
+    a = t.convergent_a
+    other = a.where("mobile_acc_id % 5 = 0").withColumn("fix_acc_id", F.expr("if(mobile_acc_id % 2 = 0, fix_acc_id + 1, null)"))
+    more = other.unionByName(a.where("mobile_acc_id % 3 = 0")).unionByName(a.where("mobile_acc_id % 7 = 0").withColumn("fix_acc_num", F.lit(None)))
+    null_line = a.withColumns({c: F.lit(None) for c in ("mobile_id", "mobile_acc_id", "personal_account_number", "mobile_msisdn", "mobile_tariff_plan")})
+    no_number = a.where("mobile_acc_id % 11 = 0").withColumns({"personal_account_number": F.lit(None), "fix_billing_id": F.lit(None)})
+    sources = {name: getattr(t, name) for name in fixed_queries.FIXED_SOURCES}
+    sources["convergent_a"] = reduce(DataFrame.unionByName, [a, more, null_line.limit(40), no_number])
+    got = fixed.fixed_mart(sources, AS_OF)
+
+    current = snapshot(sources["convergent_a"].unionByName(sources["convergent_b"]), AS_OF)
+    identities = fixed.line_identities(current)
+    spec = fixed.entity_spec(packed=True)
+    wanted = [c for c in spec if c not in (*fixed.ACCOUNT, "acc_num", "mobile_contract_num")] + ["contract_num"]
+    rows, fields = fixed.account_rows(identities.select(*fixed.ACCOUNT).distinct(), sources, AS_OF, wanted)
+    joined = enrich_spread(identities, rows, fixed.ACCOUNT)
+    requests = [c for c in wanted if c.startswith(("complaints_", "cnt_", "min_", "max_"))]
+    number = F.col("acc_num").isNotNull()
+    values = {c: F.when(number, F.col(f"_blocks.{fields[c]}")) if c in requests else F.col(f"_blocks.{fields[c]}") for c in wanted}
+    role = F.col("is_mobile")
+    values |= {c: F.when(role == 0, F.col(c)) for c in (*fixed.ACCOUNT, "acc_num")}
+    values |= {"mobile_contract_num": F.when(role == 1, values["contract_num"])}
+    keys = fixed_queries.MART_KEYS
+    want = fixed.unpack_equipment(rollup_entity(joined.select(*keys, *[values[c].alias(c) for c in spec]), keys, spec))
+    names = [c for c in want.columns if c not in fixed_queries.MART_KEYS] + list(keys)
+    assert got.count() == want.count() > 100
+    assert got.select(names).exceptAll(want.select(names)).count() == 0
+    assert [d for d in got.dtypes if d[0] != training.MONTH] == want.dtypes
+
+
+def test_lines_with_one_fixed_account_go_through_no_wide_aggregation(t):
+    text = fixed_queries.fixed_mart_frame(t)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = next(i for i, line in enumerate(text) if "Union" in line)
+    # the branch of these lines comes first
+    above = text[first + 1 : next(i for i, line in enumerate(text) if i > first and "Join" in line)]
+    assert above and not any("Aggregate" in line for line in above)
+
+
+def test_a_pair_rolls_up_as_two_rows(spark):
+    kinds = "side int, a int, b string, f int, m double, s decimal(12,2), n int, w double, bits bigint"
+    one = (1, None, "x", 3, float("nan"), None, 2_000_000_000, 0.5, 5)
+    cases = [(one, (0, 2, "a", None, 1.0, None, 2_000_000_000, None, 9)), (one, (0,) + (None,) * 8), ((1,) + (None,) * 8, (0,) + (None,) * 8)]
+    cases.append(((1, 1, None, 3, 2.0, 1, 1, 0.25, None), (0, 1, "b", 2, None, 2, None, 0.5, 1)))
+    spec = {"a": "row:one", "b": "row:one", "f": "first", "m": "max", "s": "sum", "n": "sum", "w": "sum", "bits": "bits"}
+    for pair in cases:
+        pair = [tuple(Decimal(v) if k == 5 and v is not None else v for k, v in enumerate(row)) for row in pair]
+        rows = spark.createDataFrame(pair, kinds)
+        rolled = rollup_entity(rows.withColumn("k", F.lit(1)), ["k"], spec).drop("k")
+        both = rows.where("side = 1").select(F.struct("*").alias("l")).crossJoin(rows.where("side = 0").select(F.struct("*").alias("r")))
+        sides = [{c: F.col(f"{s}.{c}") for c in spec} for s in "lr"]
+        merged = both.select(*rollup_pair(spec, *sides, {c: rolled.schema[c].dataType for c in spec}))
+        assert merged.dtypes == rolled.dtypes and str(merged.collect()) == str(rolled.collect())
