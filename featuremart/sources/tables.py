@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -89,6 +89,12 @@ def _sql_literal(value) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _repeated(df: DataFrame, keys: Sequence[str], known: Sequence[str]) -> int:
+    """How many rows repeat the keys of an earlier one; those with a null in ``known`` don't count. Reads the keys alone."""
+    rows = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in known])).groupBy(*keys).count()
+    return rows.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0))).first()[0]
+
+
 def replace_partition(
     df: DataFrame, name: str, col: str, *, fmt: str = "orc", path: str | None = None, unique: Sequence[str] = ()
 ) -> list[str]:
@@ -98,9 +104,11 @@ def replace_partition(
     switched to it in the catalog, one statement each, so a write that fails
     leaves every old partition as it was, no session setting is touched, and a
     reader sees a partition's old files or its new ones. A null and the empty
-    text are one partition. Returns the folders that are no longer in use; they
-    may be deleted once no reader that started before is left. The partitions
-    are to be read by the table's name, not by its folder.
+    text are one partition. With ``unique``, rows that repeat a key are refused; they are
+    looked for in the key columns of the staged files, so that no wide row moves for it.
+    Returns the folders that are no longer in use; they may be deleted once no
+    reader that started before is left. The partitions are to be read by the
+    table's name, not by its folder.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
@@ -108,17 +116,10 @@ def replace_partition(
     table = spark.table(name)
     # the files hold the table's other columns, in its order and types
     ordered = df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
-    seen = Observation()
-    if unique:
-        mark = "_" + uuid.uuid4().hex
-        nth = F.row_number().over(Window.partitionBy(col, *unique).orderBy(F.lit(0)))
-        known_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique])
-        marked = ordered.withColumn(mark, nth).observe(seen, F.count_if(known_key & (F.col(mark) > 1)).alias("repeated"))
-        ordered = marked.drop(mark)
     staged = f"{table_location(spark, name).rstrip('/')}/_run-{uuid.uuid4().hex}"
     ordered.hint("rebalance", F.col(col)).write.format(fmt).partitionBy(col).save(staged)
-    if unique and seen.get["repeated"]:
-        raise ValueError(f"{seen.get['repeated']} rows of {name} repeat their {list(unique)}; the table was not changed")
+    if unique and (repeated := _repeated(spark.read.format(fmt).schema(table.schema).load(staged), [col, *unique], unique)):
+        raise ValueError(f"{repeated} rows of {name} repeat their {list(unique)}; the table was not changed")
     known, unused = set(partition_values(spark, name, col)), []
     # folders of the run, from its file names: no job, and bounded by the files written
     folders = {f.rsplit("/", 1)[0] for f in spark.read.format(fmt).load(staged).inputFiles()}

@@ -326,3 +326,18 @@ def test_a_pair_rolls_up_as_two_rows(spark):
         sides = [{c: F.col(f"{s}.{c}") for c in spec} for s in "lr"]
         merged = both.select(*rollup_pair(spec, *sides, {c: rolled.schema[c].dataType for c in spec}))
         assert merged.dtypes == rolled.dtypes and str(merged.collect()) == str(rolled.collect())
+
+
+def test_a_mart_is_not_sorted_to_look_for_repeated_keys(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS unique_test")
+    try:
+        df = spark.createDataFrame([(1, 2, "2001-01-01"), (None, 2, "2001-01-01"), (None, 3, "2001-01-01")], f"k int, v int, {training.MONTH} string")
+        plans, hint = [], type(df).hint
+        monkeypatch.setattr(type(df), "hint", lambda self, *a: plans.append(self._jdf.queryExecution().optimizedPlan().toString()) or hint(self, *a))
+        training.publish_month(df, "unique_test.mart", unique=["k"])
+        assert plans and not any("Window" in p for p in plans)
+        with pytest.raises(ValueError, match="^1 rows"):
+            training.publish_month(df.union(df.where("k = 1")), "unique_test.mart", unique=["k"])
+        assert spark.table("unique_test.mart").count() == 3
+    finally:
+        spark.sql("DROP DATABASE unique_test CASCADE")
