@@ -303,6 +303,68 @@ def test_pages_pair_only_documents_that_share_a_key(spark):
     assert sorted(map(tuple, jaccard._page_pairs(open_, sketches, 80).collect())) == [(0, 1), (1, 2)]
 
 
+def test_similar_sets_share_as_many_keys_as_their_sizes_ask_for():
+    rng = np.random.default_rng(6)
+    for percent in (63, 80, 85):
+        index = jaccard.Directory(percent)
+        for _ in range(2000):
+            n = int(np.exp(rng.uniform(0, 7)))
+            x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            gone = int(rng.integers(0, max(1, len(x) * (100 - percent) // 100) + 1))
+            y = np.unique(np.r_[rng.permutation(x)[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, 1 + len(x) // 8)), dtype=np.uint64)])
+            common = len(np.intersect1d(x, y))
+            if len(y) and 100 * common >= percent * (len(x) + len(y) - common):
+                keys = np.intersect1d(index.keys(x), index.keys(y))
+                least = index.class_of(min(len(x), len(y)))
+                held = int((keys & 1 == least & 1).sum())
+                assert held >= index.shared(least, len(x), len(y)) >= max(index.needs(len(x))[least & 1], index.needs(len(y))[least & 1], 1)
+
+
+def test_texts_with_a_passage_in_common_do_not_meet(spark, monkeypatch):
+    """Each text has a fifth of its words from the one before: they share keys, but fewer than similar ones must."""
+    rnd = random.Random(9)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(240 * 40 + 60)]
+    texts = [(i, " ".join(words[240 * i : 240 * i + 300])) for i in range(40)]
+    met, pairs = [], jaccard._page_pairs
+    monkeypatch.setattr(jaccard, "_page_pairs", lambda open_, *rest: met.append(open_.count()) or pairs(open_, *rest))
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(frame(spark, texts), percent=80).collect()}
+    assert got == {i: i for i in range(40)} and not met
+
+
+def test_rare_keys_bring_similar_texts_together(spark):
+    """Copies of one text, each with other words changed: some pairs are similar, most are not, and all share keys."""
+    rnd = random.Random(12)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rnd.randrange(4, 14)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+        texts.append((i, " ".join(w)))
+    texts += [(100 + i, t.replace(" ", "  ").upper()) for i, t in texts[::9]]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame(spark, texts), percent=80).collect()}
+    assert got == brute.components(texts, 4, 80)
+    assert 1 < len({c for _, c in got.values()}) < 60
+
+
+def test_shingles_of_many_texts_are_those_of_each():
+    rnd = random.Random(2)
+    texts = ["", None, " \n", "a", "A b", "a B c d", "d c b a", "ab c d e", "a bc d e", "\ud800 b c d \xa0 e", "a\x1cb c", "é É ç d", "x" * (3 * jaccard.STRETCH) + " b c d e"]
+    texts += [" ".join(rnd.choice(["a", "B", "b", "cc", "\t\x0b", "dé"]) for _ in range(rnd.randrange(200))) for _ in range(300)]
+    values, n = jaccard.shingle_sets(texts, 4)
+    sets = np.split(values, np.cumsum(n)[:-1])
+    index = jaccard.Directory(80)
+    told = {}
+    for text, s, keys in zip(texts, sets, index.keys_of(values, n)):
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        plain = {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} - {()}
+        assert len(s) == len(plain) and (s[1:] > s[:-1]).all() and (s == jaccard.shingles(text, 4)).all()
+        assert not len(s) or (keys == index.keys(s)).all()
+        told.setdefault(frozenset(plain), s.tolist())
+        assert told[frozenset(plain)] == s.tolist()
+    assert len(np.unique(values)) == len(frozenset().union(*told))
+
+
 def test_jaccard_with_chains(spark):
     """Chains of near copies whose ends are not similar, and pairs just below the threshold."""
     rnd = random.Random(5)
