@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featuremart.sources.storage import checkpoint_dir, scratch_path
+from featuremart.sources.storage import checkpoint_dir, scratch_path, shuffles_released
 
 #: A word is a run of anything but the six ASCII blanks.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -20,9 +20,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read back: a lost executor cannot change it."""
+    """``df`` written once to the shared checkpoint folder and read back: a lost executor cannot change it.
+
+    The shuffle files of the write go when it ends.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -119,9 +119,10 @@ def publish_month(
 ) -> list[str]:
     """Store a mart under the month it is stamped with; rerunning a month replaces it and no other.
 
-    With ``unique``, the columns of its grain, a mart that repeats a key is refused.
+    With ``unique``, the columns of its grain, a mart that repeats a key is refused. The wide rows
+    have one month, so they are written where the last join leaves them and not shuffled again.
     """
-    return replace_partition(mart, name, MONTH, fmt=fmt, path=path, unique=unique)
+    return replace_partition(mart, name, MONTH, fmt=fmt, path=path, unique=unique, sized=True)
 
 
 def training_set(

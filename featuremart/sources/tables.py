@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from featuremart.sources.storage import shuffles_released
+
 # the folder name of a null partition
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -96,15 +98,17 @@ def _repeated(df: DataFrame, keys: Sequence[str], known: Sequence[str]) -> int:
 
 
 def replace_partition(
-    df: DataFrame, name: str, col: str, *, fmt: str = "orc", path: str | None = None, unique: Sequence[str] = ()
+    df: DataFrame, name: str, col: str, *, fmt: str = "orc", path: str | None = None, unique: Sequence[str] = (), sized: bool = False
 ) -> list[str]:
     """Replace only the partitions present in ``df``; a rerun leaves the same table.
 
     The rows are written to a fresh folder first. Only then are the partitions
     switched to it in the catalog, one statement each, so a write that fails
-    leaves every old partition as it was, no session setting is touched, and a
-    reader sees a partition's old files or its new ones. A null and the empty
-    text are one partition. With ``unique``, rows that repeat a key are refused; they are
+    leaves every old partition as it was, no session setting that bears on results is
+    touched, and a reader sees a partition's old files or its new ones. Shuffle files go
+    as soon as the rows are written. A null and the empty text are one partition. With
+    ``sized`` each task writes its rows as they come, which suits rows of one partition; else
+    they are dealt by partition first. With ``unique``, rows that repeat a key are refused; they are
     looked for in the key columns of the staged files, so that no wide row moves for it.
     Returns the folders that are no longer in use; they may be deleted once no
     reader that started before is left. The partitions are to be read by the
@@ -117,8 +121,11 @@ def replace_partition(
     # the files hold the table's other columns, in its order and types
     ordered = df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
     staged = f"{table_location(spark, name).rstrip('/')}/_run-{uuid.uuid4().hex}"
-    ordered.hint("rebalance", F.col(col)).write.format(fmt).partitionBy(col).save(staged)
-    if unique and (repeated := _repeated(spark.read.format(fmt).schema(table.schema).load(staged), [col, *unique], unique)):
+    with shuffles_released(spark):
+        dealt = ordered if sized else ordered.hint("rebalance", F.col(col))
+        dealt.write.format(fmt).partitionBy(col).save(staged)
+        repeated = _repeated(spark.read.format(fmt).schema(table.schema).load(staged), [col, *unique], unique) if unique else 0
+    if repeated:
         raise ValueError(f"{repeated} rows of {name} repeat their {list(unique)}; the table was not changed")
     known, unused = set(partition_values(spark, name, col)), []
     # folders of the run, from its file names: no job, and bounded by the files written

@@ -1,3 +1,4 @@
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -29,6 +30,43 @@ def test_partition_replace_is_repeatable(spark, db, rows):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_write(spark, db):
+    setting = storage._RELEASE
+    own = spark.conf.get(setting, None)
+    counted = spark.range(1000).groupBy((F.col("id") % 100).alias("id")).count().withColumn("m", F.lit("a"))
+    before = shuffle_files(spark)
+    tables.replace_partition(counted, f"{db}.released", "m", unique=["id"])
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(setting, None) == own
+    with pytest.raises(ValueError, match="repeat"):
+        tables.replace_partition(counted.union(counted), f"{db}.released", "m", unique=["id"])
+    assert spark.conf.get(setting, None) == own
+    # a frame that is run once more gives the same rows
+    assert counted.agg(F.sum("count")).first()[0] == 1000 == tables.load(spark, f"{db}.released").agg(F.sum("count")).first()[0]
+
+
+def test_rows_of_one_partition_are_written_where_they_are(spark, db, tmp_path, rows):
+    one = frame(spark).withColumn("m", F.lit("a")).repartition(3)
+    with storage.shuffles_released(spark), storage.shuffles_released(spark):
+        pass
+    assert spark.conf.get(storage._RELEASE, None) != "true"
+    tables.replace_partition(one, f"{db}.sized", "m", sized=True)
+    tables.replace_partition(frame(spark), f"{db}.sized", "m", sized=True)
+    assert rows(tables.refresh(spark, f"{db}.sized"), "id", "m") == {(i, "a") for i in range(10)} | {(i, str(i % 3)) for i in range(10)}
+
+
 def test_partition_filter_is_pruned(spark, db):
     tables.write_table(frame(spark), f"{db}.parts", partition_by=["m"])
     plan = tables.load(spark, f"{db}.parts").where("m = '1'")._jdf.queryExecution().executedPlan().toString()
